@@ -20,6 +20,7 @@ import os
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -129,7 +130,7 @@ def count_tokens(
         for batch in batches:
             texts = batch.column(1).to_pylist()
             found = _counts(tokenizer, texts, chunk_chars, overlap_chars)
-            sizes = pa.compute.binary_length(batch.column(1)).cast(pa.int64())
+            sizes = pc.binary_length(batch.column(1)).cast(pa.int64())
             parts = [pa.array([x[i] for x in found], kind) for i, kind in ((0, pa.int64()), (1, pa.int32()), (2, pa.int32()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), sizes, *parts], ["id", "n_bytes", "n_tokens", "n_chunks", "n_widened"])
 
