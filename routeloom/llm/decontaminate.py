@@ -26,7 +26,6 @@ other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -36,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routeloom.llm.shingles import mix
+from routeloom.llm.shingles import mix, powers, slice_end, text_bytes
 from routeloom.session import ship, written
 
 WINDOW, LEAST_WORDS = 8, 13
@@ -44,8 +43,8 @@ WINDOW, LEAST_WORDS = 8, 13
 LEAST_LITERAL = 4
 #: Benchmark tokens of a pass, at most.
 GROUP_TOKENS = 1_000_000
-#: Tokens of documents handled at a time, and words a process remembers.
-SLICE_CHARS, REMEMBERED = 2_000_000, 600_000
+#: Bytes of documents handled at a time.
+SLICE_BYTES = 2_000_000
 
 # Units of measure and number words.
 UNITS = (
@@ -61,66 +60,118 @@ NUMBER_WORDS = (
     "fifty", "sixty", "seventy", "eighty", "ninety", "hundred", "thousand", "million",
 )
 
-_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?:\n]|[%$€£°]")
-_NUMBER, _UNIT, _CAPITAL, _STOP, _MARK = 1, 2, 4, 8, 16
 _SLOTS = {"number": 11, "unit": 12, "name": 13}
-
-
-class Lexer:
-    """Turns texts into arrays of token hashes and slot types; remembers tokens."""
-
-    def __init__(self):
-        self.place: dict[str, int] = {}
-        self.hashes = np.zeros(0, np.uint64)
-        self.flags = np.zeros(0, np.uint8)
-
-    def _learn(self, fresh: list[str]) -> None:
-        if len(self.place) > REMEMBERED:
-            self.__init__()
-        base = len(self.place)
-        units, numbers = frozenset(UNITS), frozenset(NUMBER_WORDS)
-        hashes, flags = np.zeros(len(fresh), np.uint64), np.zeros(len(fresh), np.uint8)
-        for k, token in enumerate(fresh):
-            low, flag = token.lower(), 0
-            if token[0].isdigit() or low in numbers:
-                flag |= _NUMBER
-            if low in units:
-                flag |= _UNIT
-            if token in ".!?:\n":
-                flag |= _STOP
-            elif not token[0].isalnum():
-                flag |= _MARK
-            elif len(token) > 1 and token[0].isupper() and token[1:].islower():
-                flag |= _CAPITAL
-            value = 0
-            for byte in low.encode("utf-8", "surrogatepass"):
-                value = (value * 0x100000001B3 + byte + 1) & 0xFFFFFFFFFFFFFFFF
-            hashes[k], flags[k] = value, flag
-            self.place[token] = base + k
-        self.hashes, self.flags = np.concatenate([self.hashes, mix(hashes)]), np.concatenate([self.flags, flags])
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(word hashes, slot types, first token of each text and one more) without stops and lone marks."""
-        found = [_TOKEN.findall(t) for t in texts]
-        every = [t for part in found for t in part]
-        fresh = list(set(every).difference(self.place))
-        if fresh:
-            if len(self.place) > REMEMBERED:
-                fresh = list(set(every))
-            self._learn(fresh)
-        where = np.fromiter(map(self.place.__getitem__, every), np.int64, len(every))
-        hashes, flags = self.hashes[where], self.flags[where]
-        bounds = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int64)
-        before = np.empty(len(flags), np.uint8)
-        before[1:] = flags[:-1]
-        before[bounds[:-1][bounds[:-1] < len(flags)]] = _STOP
-        number = (flags & _NUMBER) > 0
-        unit = ((flags & _UNIT) > 0) & ((before & _NUMBER) > 0) & ~number
-        name = ((flags & _CAPITAL) > 0) & ((before & _STOP) == 0) & ~number & ~unit
-        slots = np.where(number, _SLOTS["number"], np.where(unit, _SLOTS["unit"], np.where(name, _SLOTS["name"], 0))).astype(np.int64)
-        keep = ((flags & _STOP) == 0) & (((flags & _MARK) == 0) | unit)
-        count = np.concatenate([[0], np.cumsum(keep)])
-        return hashes[keep], slots[keep], count[bounds]
+_DOT, _COMMA, _QUOTE, _NEWLINE = b".,'\n"
+
+
+def _word_hash(word: str) -> int:
+    return int(lex(pa.array(["0 " + word]))[0][-1])
+
+
+def _classes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(class of each byte: 0 none, 1 letter, 2 digit, 3 unit sign; bytes in lower case).
+
+    Bytes of code points from U+0080 on are letters, but for U+0080 to U+00BF, U+2000 to
+    U+2FFF and U+3000 to U+303F, which are marks.  Lower case covers ASCII and Latin-1.
+    """
+    ascii_upper = (raw >= 65) & (raw <= 90)
+    kind = np.zeros(len(raw), np.uint8)
+    kind[ascii_upper | ((raw >= 97) & (raw <= 122)) | (raw >= 128)] = 1
+    kind[(raw >= 48) & (raw <= 57)] = 2
+    kind[(raw == 37) | (raw == 36)] = 3
+    low = raw.copy()
+    low[ascii_upper] += 32
+    lead = np.flatnonzero(raw == 0xC3)
+    lead = lead[lead + 1 < len(raw)]
+    lead = lead[(raw[lead + 1] >= 0x80) & (raw[lead + 1] <= 0x9E) & (raw[lead + 1] != 0x97)]
+    low[lead + 1] += 32
+    for byte, more in ((0xC2, 1), (0xE2, 2)):
+        at = np.flatnonzero(raw == byte)
+        at = at[at + more < len(raw)]
+        for k in range(more + 1):
+            kind[at + k] = 0
+        if byte == 0xC2:
+            kind[at[np.isin(raw[at + 1], (0xA3, 0xB0))]] = 3
+        else:
+            kind[at[(raw[at + 1] == 0x82) & (raw[at + 2] == 0xAC)]] = 3
+    at = np.flatnonzero(raw == 0xE3)
+    at = at[at + 2 < len(raw)]
+    at = at[raw[at + 1] == 0x80]
+    for k in range(3):
+        kind[at + k] = 0
+    if len(raw) > 2:  # marks inside numbers and words belong to them
+        inner = raw[1:-1]
+        kind[1:-1][((inner == _DOT) | (inner == _COMMA)) & (kind[:-2] == 2) & (kind[2:] == 2)] = 2
+        kind[1:-1][(inner == _QUOTE) & (kind[:-2] == 1) & (kind[2:] == 1)] = 1
+    return kind, low
+
+
+def _tokens(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, starts, classes with 4 added for a name-like word, places of stops) of ``raw``."""
+    kind, low = _classes(raw)
+    changes = np.ones(len(raw), bool)
+    changes[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 3)
+    changes[cuts[(cuts > 0) & (cuts < len(raw))]] = True
+    stops = np.flatnonzero((kind == 0) & ((raw == _DOT) | (raw == 33) | (raw == 63) | (raw == 58) | (raw == _NEWLINE)))
+    starts = np.flatnonzero(changes)
+    place = np.arange(len(raw)) - np.repeat(starts, np.diff(starts, append=len(raw)))
+    value = low.astype(np.uint64)
+    value += np.uint64(1)
+    value *= powers(int(place.max(initial=0)) + 1)[place]
+    hashes = np.add.reduceat(value, starts) if len(starts) else np.zeros(0, np.uint64)
+    upper = low != raw
+    count = np.add.reduceat(upper.astype(np.int32), starts) if len(starts) else np.zeros(0, np.int32)
+    first = upper[starts] | ((raw[starts] == 0xC3) & upper[np.minimum(starts + 1, len(raw) - 1)])
+    size = np.diff(starts, append=len(raw))
+    name = first & (count == 1) & (size > np.where(raw[starts] == 0xC3, 2, 1))
+    use = kind[starts] > 0
+    return mix(hashes[use]), starts[use], (kind[starts] + 4 * name)[use], stops
+
+
+def lex(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word hashes, slot types, number of the first token of each text and one more)."""
+    raw, offsets = text_bytes(column)
+    parts = [tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.uint8, np.int64))]
+    at = 0
+    while at < len(raw):
+        end = slice_end(raw, at)
+        hashes, starts, kinds, stops = _tokens(raw[at:end], offsets - at)
+        parts.append((hashes, starts + at, kinds, stops + at))
+        at = end
+    hashes, starts, kinds, stops = (np.concatenate(x) for x in zip(*parts, strict=True))
+    bounds = np.searchsorted(starts, offsets)
+    stopped = np.searchsorted(stops, starts)
+    after_stop = np.ones(len(starts), bool)
+    after_stop[1:] = stopped[1:] > stopped[:-1]
+    after_stop[bounds[:-1][bounds[:-1] < len(starts)]] = True
+    number = (kinds & 3) == 2
+    if _LISTS:
+        number |= _isin(hashes, _LISTS["numbers"])
+        behind = np.zeros(len(starts), bool)
+        behind[1:] = number[:-1]
+        behind[bounds[:-1][bounds[:-1] < len(starts)]] = False
+        unit = behind & ~number
+        unit[unit] = _isin(hashes[unit], _LISTS["units"])
+    else:
+        unit = np.zeros(len(starts), bool)
+    name = (kinds >= 4) & ~after_stop & ~number & ~unit
+    slots = np.where(number, _SLOTS["number"], np.where(unit, _SLOTS["unit"], np.where(name, _SLOTS["name"], 0))).astype(np.int64)
+    keep = ((kinds & 3) != 3) | unit | (not _LISTS)  # a unit sign counts after a number alone
+    count = np.concatenate([[0], np.cumsum(keep)])
+    return hashes[keep], slots[keep], count[bounds]
+
+
+def _isin(values: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    sieve = np.zeros(1 << 12, bool)
+    sieve[listed & np.uint64(4095)] = True
+    out = sieve[values & np.uint64(4095)]
+    out[out] = np.isin(values[out], listed)
+    return out
+
+
+#: Hashes of the fixed lists, made from them on import.
+_LISTS: dict[str, np.ndarray] = {}
+_LISTS |= {name: np.array([_word_hash(w) for w in words], np.uint64) for name, words in (("units", UNITS), ("numbers", NUMBER_WORDS))}
 
 
 def _forms(hashes: np.ndarray, slots: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -156,7 +207,7 @@ class Benchmark:
     def __init__(self, items: list[tuple[int | None, str]], window: int):
         self.ids = [i for i, _ in items]
         self.window = window
-        self.hashes, self.slots, self.bounds = Lexer()([t for _, t in items])
+        self.hashes, self.slots, self.bounds = lex(pa.array([t for _, t in items], pa.string()))
         self.index: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
         sizes = np.diff(self.bounds)
         lengths = sorted({int(min(window, s)) for s in sizes if s})
@@ -230,19 +281,16 @@ def _groups(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[t
             yield sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
 
 
-def _slices(ids: pa.Array, texts: pa.Array) -> Iterator[tuple[pa.Array, list[str]]]:
+def _slices(ids: pa.Array, texts: pa.Array) -> Iterator[tuple[pa.Array, pa.Array]]:
     sizes = pc.binary_length(texts).fill_null(0).to_pylist()
     first, total = 0, 0
     for k, size in enumerate(sizes):
         total += size
-        if total >= SLICE_CHARS or k == len(sizes) - 1:
-            yield ids.slice(first, k + 1 - first), texts.slice(first, k + 1 - first).to_pylist()
+        if total >= SLICE_BYTES or k == len(sizes) - 1:
+            yield ids.slice(first, k + 1 - first), texts.slice(first, k + 1 - first)
             first, total = k + 1, 0
 
 
-_LEXERS: list[Lexer] = []
-
-
 def leaks(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_words: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
@@ -257,12 +305,10 @@ def leaks(
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             bench = held.value
-            if not _LEXERS:
-                _LEXERS.append(Lexer())
             sizes = np.diff(bench.bounds)
             for batch in batches:
                 for ids, texts in _slices(batch.column(0), batch.column(1)):
-                    hashes, slots, bounds = _LEXERS[0](texts)
+                    hashes, slots, bounds = lex(texts)
                     hit: dict[int, list[tuple[int, int]]] = defaultdict(list)
                     for (text, item), found in bench.matches(hashes, slots, bounds).items():
                         words = bench.covered(found, hashes, slots)

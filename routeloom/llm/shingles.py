@@ -25,18 +25,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> np.ndarray:
-    if len(_powers.table) < n:
+def powers(n: int) -> np.ndarray:
+    """The first ``n`` powers of the base, at least."""
+    if len(powers.table) < n:
         steps = np.full(max(n, 64), _BASE, np.uint64)
         steps[0] = 1
-        _powers.table = np.cumprod(steps, dtype=np.uint64)
-    return _powers.table
+        powers.table = np.cumprod(steps, dtype=np.uint64)
+    return powers.table
 
 
-_powers.table = np.ones(1, np.uint64)
+powers.table = np.ones(1, np.uint64)
 
 
-def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets of the texts) of a text column; nulls are empty."""
     column = column.cast(pa.large_binary())
     _, offsets, data = column.buffers()
@@ -62,22 +63,27 @@ def _word_hashes(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndar
     np.maximum.accumulate(first, out=first)
     place -= first
     value = low.astype(np.uint64) + np.uint64(1)
-    value *= _powers(int(place.max()) + 1)[place]
+    value *= powers(int(place.max()) + 1)[place]
     value[blank] = 0
     return mix(np.add.reduceat(value, starts)), starts
 
 
+def slice_end(raw: np.ndarray, at: int) -> int:
+    """Where a slice that begins at ``at`` ends: at a blank or at the end of all bytes."""
+    end = min(len(raw), at + _SLICE)
+    while end < len(raw):
+        window = raw[end : end + 4096]
+        blank = np.flatnonzero((window == 32) | ((window >= 9) & (window <= 13)))
+        if len(blank):
+            return end + int(blank[0])
+        end += len(window)
+    return end
+
+
 def _sliced_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     hashes, starts, at = [], [], 0
     while at < len(raw):
-        end = min(len(raw), at + _SLICE)
-        while end < len(raw):  # a slice ends at a blank or where a text ends
-            window = raw[end : end + 4096]
-            blank = np.flatnonzero((window == 32) | ((window >= 9) & (window <= 13)))
-            if len(blank):
-                end += int(blank[0])
-                break
-            end += len(window)
+        end = slice_end(raw, at)
         h, s = _word_hashes(raw[at:end], offsets - at)
         hashes.append(h)
         starts.append(s + at)
@@ -87,7 +93,7 @@ def _sliced_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
     """For each text of ``column`` its distinct shingles, sorted."""
-    raw, offsets = _bytes_of(column)
+    raw, offsets = text_bytes(column)
     words, starts = _sliced_words(raw, offsets)
     bounds = np.searchsorted(starts, offsets)
     factors = mix(np.arange(1, width + 1, dtype=np.uint64)) | np.uint64(1)
