@@ -23,6 +23,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from routeloom.llm.decontaminate import leaks
+
+    return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from routeloom.llm.quality import fit_quality, score_quality
 
@@ -43,6 +49,24 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, fit_toxicity(docs, read(spark, sf_dir, "labels")))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from routeloom.llm.ngram_join import ngram_components
+
+    return ngram_components(read(spark, sf_dir, "documents"), width=4, percent=85)
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from routeloom.llm.line_dedup import line_report
+
+    return line_report(read(spark, sf_dir, "documents"))
+
+
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from routeloom.llm.topk import search
+
+    return search(read(spark, sf_dir, "embeddings"))
+
+
 def op9_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from routeloom.llm.sharding import shard_documents
 
@@ -66,9 +90,13 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts,
+        op2_template_decontamination,
         op3_quality,
         op4_best_fit_packing,
         op5_toxicity,
+        op6_ngram_jaccard_join,
+        op7_line_dedup,
+        op8_exact_topk,
         op9_rendezvous_sharding,
         op10_chat_formatting,
     )
