@@ -13,8 +13,10 @@ shorter must stand in the longer as it is, moved by no more than the edits allow
    (one bit a word hash) that differ by no more than ``3 * max_edits`` bits, as an
    edit changes three words at most; that is part of the join itself, so
    a family of lines that differ in many words gives no rows.
-3. *Verification.*  The band of 2 * max_edits + 1 diagonals of the edit table is
-   kept in two words of bits per column, by the recurrence of Hyyro for bands.
+3. *Verification.*  Pairs whose character parities differ by more than
+   ``2 * max_edits`` bits are out.  For the rest the common beginning and end are
+   taken off, and the band of 2 * max_edits + 1 diagonals of what is left of the edit
+   table is kept in two words of bits per column, by the recurrence of Hyyro.
 
 Linked lines form classes (connected components), and of a class the first line
 in order of (doc_id, line number) stays.
@@ -68,9 +70,9 @@ def probe_places(max_edits: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def _parity(line: Column) -> Column:
-    """64 bits: how often, even or odd, the words of a hash class come."""
-    return F.aggregate(F.split(line, " "), F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(w).bitwiseAND(F.lit(63)).cast("int"))))
+def _parity(parts: Column) -> Column:
+    """64 bits: how often, even or odd, the parts of a hash class come."""
+    return F.aggregate(parts, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(w).bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def within_edits(a: Column, b: Column, max_edits: int) -> Column:
@@ -119,9 +121,42 @@ def within_edits(a: Column, b: Column, max_edits: int) -> Column:
         start = F.struct(word(band & ~((1 << k) - 1)).alias("up"), word(0).alias("down"), word(k).alias("score"))
         return F.aggregate(F.sequence(F.lit(1), F.greatest(width, F.lit(1))), start, column, lambda s: s["score"])
 
-    near = F.abs(F.char_length(a) - F.char_length(b)) <= k
-    short = F.least(F.char_length(a), F.char_length(b)) <= k  # the band would lie over the edge
-    return F.when(a == b, F.lit(True)).when(~near, F.lit(False)).when(short, F.levenshtein(a, b) <= k).otherwise(table(F.split(a, ""), F.split(b, "")) <= k)
+    def apart(pair: Column) -> Column:
+        x, y = pair["x"], pair["y"]
+        near = F.abs(F.char_length(x) - F.char_length(y)) <= k
+        # with so few characters left the band would lie over the edge; no more than k edits are left either
+        few = F.greatest(F.char_length(x), F.char_length(y)) <= k
+        tight = F.least(F.char_length(x), F.char_length(y)) <= k
+        return F.when(~near, F.lit(False)).when(few, F.lit(True)).when(tight, F.levenshtein(x, y) <= k).otherwise(table(F.split(x, ""), F.split(y, "")) <= k)
+
+    return F.when(a == b, F.lit(True)).when(F.abs(F.char_length(a) - F.char_length(b)) > k, F.lit(False)).otherwise(_let(_trimmed(a, b), apart))
+
+
+def _common(a: Column, b: Column, part) -> Column:
+    """Length of the longest equal ``part(text, n)`` of two texts, by halving."""
+    most = F.least(F.char_length(a), F.char_length(b)).cast("int")
+    steps = F.sequence(F.lit(1), F.lit(31))  # enough for any text
+
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.floor((state["low"] + state["high"] + 1) / 2).cast("int")
+        same = part(a, middle) == part(b, middle)
+        return F.struct(F.when(same, middle).otherwise(state["low"]).alias("low"), F.when(same, state["high"]).otherwise(F.greatest(middle - 1, state["low"])).alias("high"))
+
+    return F.aggregate(steps, F.struct(F.lit(0).alias("low"), most.alias("high")), halve, lambda s: s["low"])
+
+
+def _trimmed(a: Column, b: Column) -> Column:
+    """(x, y): the texts without their common beginning and then their common end."""
+    rest = lambda x, n: F.substr(x, n + 1)
+    ahead = _let(_common(a, b, lambda x, n: F.substr(x, F.lit(1), n)), lambda n: F.struct(rest(a, n).alias("x"), rest(b, n).alias("y")))
+
+    def behind(pair: Column) -> Column:
+        x, y = pair["x"], pair["y"]
+        cut = lambda z, n: F.substr(z, F.lit(1), (F.char_length(z) - n).cast("int"))
+        end = lambda z, n: F.substr(z, (F.char_length(z) - n + 1).cast("int"), n)
+        return _let(_common(x, y, end), lambda n: F.struct(cut(x, n).alias("x"), cut(y, n).alias("y")))
+
+    return _let(ahead, behind)
 
 
 def _linked(docs: DataFrame, distinct: DataFrame, max_edits: int, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -140,8 +175,11 @@ def _linked(docs: DataFrame, distinct: DataFrame, max_edits: int, id_col: str, t
     holders = where.select("doc").distinct()
     keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("doc"), F.col(text_col).alias("text")).join(holders, "doc", "left_semi")
     texts = _lines(keyed, "doc", "text", min_chars).select("h", "doc", "line").join(where, ["h", "doc"]).groupBy("h").agg(F.min("line").alias("line"))
-    texts = written(texts, "texts")
-    full = pairs.join(texts.select(F.col("h").alias("u"), F.col("line").alias("line_u")), "u").join(texts.select(F.col("h").alias("v"), F.col("line").alias("line_v")), "v")
+    texts = written(texts.withColumn("letters", _parity(F.split("line", ""))), "texts")
+    side = lambda c: texts.select(F.col("h").alias(c), F.col("line").alias(f"line_{c}"), F.col("letters").alias(f"letters_{c}"))
+    full = pairs.join(side("u"), "u").join(side("v"), "v")
+    # an edit takes one character away or puts one in, or both
+    full = full.where(F.bit_count(F.col("letters_u").bitwiseXOR(F.col("letters_v"))) <= 2 * max_edits)
     return full.where(within_edits(F.col("line_u"), F.col("line_v"), max_edits)).select("u", "v")
 
 
@@ -156,7 +194,7 @@ def repeated_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_
     keys = {f"i{k}": _segment_key(F.col("line"), F.col("length"), k, segments, 0) for k in range(segments)}
     for n, (longer, k, shift) in enumerate(probe_places(max_edits)):
         keys[f"p{n}"] = _segment_key(F.col("line"), F.col("length") - longer, k, segments, shift)
-    keyed = lines.select("doc", "h", "crc", "length", _parity(F.col("line")).alias("parity"), *[v.alias(n) for n, v in keys.items()])
+    keyed = lines.select("doc", "h", "crc", "length", _parity(F.split("line", " ")).alias("parity"), *[v.alias(n) for n, v in keys.items()])
     distinct = written(
         keyed.groupBy("h", "crc", "length").agg(F.min("doc").alias("doc"), F.count("*").alias("places"), F.max("parity").alias("parity"), *[F.max(n).alias(n) for n in keys]), "distinct"
     )
