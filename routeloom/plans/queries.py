@@ -1,4 +1,8 @@
-"""Named queries and their SQL."""
+"""All named queries and their SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from routeloom.plans import control, pages, routes
+
+QUERIES = {**control.QUERIES, **routes.QUERIES, **pages.QUERIES}
+ORACLES = {**control.ORACLES, **routes.ORACLES, **pages.ORACLES}
