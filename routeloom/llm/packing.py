@@ -38,7 +38,7 @@ from routeloom.llm.token_counts import BATCH_CHARS, load_tokenizer
 from routeloom.session import ship, written
 
 #: Words that a Python process remembers the ids of; the memory is emptied beyond.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 #: Code points for which the normalizer does nothing but lower-case and for which
 #: letters, digits and white space are told apart here as the library does.
