@@ -74,10 +74,10 @@ class WordIds:
         fresh = list(set(chain.from_iterable(x for x in split if x)).difference(known))
         if fresh:
             encoding = self.tokenizer.encode(" ".join(fresh), add_special_tokens=False)
-            ids = np.array(encoding.ids, "<u4")
+            raw = _packed(encoding.ids)
             # pieces between white space are numbered as they come, so by word
-            cuts = np.flatnonzero(np.diff(np.array(encoding.word_ids))) + 1
-            known.update(zip(fresh, map(bytes, np.split(ids, cuts)), strict=True))
+            ends = (np.flatnonzero(np.diff(np.array(encoding.word_ids), append=-1)) * 4 + 4).tolist()
+            known.update(zip(fresh, [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
         return [
             _packed(self.tokenizer.encode(text, add_special_tokens=False).ids) if words is None else b"".join(map(known.__getitem__, words))
             for text, words in zip(texts, split, strict=True)
