@@ -103,3 +103,59 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {}
+
+
+# --- the same in the SQL of a second engine -----------------------------------
+
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+
+ORACLES["op6_ngram_jaccard_join"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3])) END AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n FROM sets),
+e AS (SELECT doc_id, unnest(s) AS g FROM sets),
+c AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT u, v FROM c JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * k >= 85 * (a.n + b.n - k)),
+both_ways AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
+r AS (SELECT doc_id, doc_id AS m FROM n UNION SELECT r.doc_id, b.v FROM r JOIN both_ways b ON r.m = b.u)
+SELECT n.doc_id, n.n::bigint AS n_shingles, min(r.m) AS component_id FROM n JOIN r ON n.doc_id = r.doc_id GROUP BY 1, 2"""
+
+ORACLES["op7_line_dedup"] = """
+WITH RECURSIVE lines AS (SELECT doc_id, i - 1 AS line_no, l[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
+d AS (SELECT line, length(line) AS n, row_number() OVER (ORDER BY line) AS id FROM (SELECT DISTINCT line FROM lines WHERE length(line) >= 16)),
+near AS (SELECT a.id AS u, b.id AS v FROM d a JOIN d b ON a.id <> b.id AND abs(a.n - b.n) <= 1
+    AND (substr(a.line, 1, (least(a.n, b.n) // 2)) = substr(b.line, 1, (least(a.n, b.n) // 2))) AND levenshtein(a.line, b.line) <= 1
+  UNION SELECT a.id, b.id FROM d a JOIN d b ON a.id <> b.id AND abs(a.n - b.n) <= 1
+    AND (right(a.line, least(a.n, b.n) - least(a.n, b.n) // 2) = right(b.line, least(a.n, b.n) - least(a.n, b.n) // 2)) AND levenshtein(a.line, b.line) <= 1),
+r AS (SELECT id, id AS m FROM d UNION SELECT r.id, near.v FROM r JOIN near ON r.m = near.u),
+cl AS (SELECT id, min(m) AS c FROM r GROUP BY 1),
+p AS (SELECT l.doc_id, l.line_no, c, first_value(l.doc_id) OVER k AS fd, first_value(l.line_no) OVER k AS fl FROM lines l JOIN d USING (line) JOIN cl USING (id) WINDOW k AS (PARTITION BY c ORDER BY l.doc_id, l.line_no)),
+x AS (SELECT doc_id, count(*) AS n, string_agg(line_no || '=' || fd || ':' || fl, ',' ORDER BY line_no) AS removed FROM p WHERE doc_id <> fd OR line_no <> fl GROUP BY 1)
+SELECT doc_id, len(string_split(text, chr(10)))::int AS n_lines, coalesce(n, 0)::int AS n_removed, coalesce(removed, '') AS removed FROM documents LEFT JOIN x USING (doc_id)"""
+
+ORACLES["op8_exact_topk"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint AS score FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank, vec_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20"""
+
+# checksum by bytes: the table of 256 entries comes from the polynomial
+ORACLES["op9_rendezvous_sharding"] = """
+WITH t AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c FROM range(256) r(i))),
+b AS (SELECT doc_id, coalesce(text, '') AS x, hex(encode(coalesce(text, ''))) AS h FROM documents),
+k AS (SELECT doc_id, (length(h) // 2 + 1)::bigint AS size,
+    xor(list_reduce(list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::bigint), lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1]), 4294967295::bigint), 4294967295::bigint) AS text_crc32 FROM b, t),
+d AS (SELECT doc_id, s, -ln((('0x' || substr(md5(doc_id || '#' || s), 1, 13))::bigint::double + 0.5::double) / pow(16, 13)) AS cost FROM documents, range(17) r(s)),
+p AS (SELECT doc_id, arg_min(s, cost) FILTER (s < 16) AS shard, arg_min(s, cost) AS grown_shard FROM d GROUP BY 1)
+SELECT k.doc_id, size, text_crc32, 'key' AS law, shard::int AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY substr(md5(k.doc_id::varchar), 1, 3), k.doc_id, size, text_crc32) - 1 AS slot, grown_shard::int AS grown_shard FROM k JOIN p USING (doc_id)"""
+
+ORACLES["op10_chat_formatting"] = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::bigint AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(12 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n')) + 1 + length(replace(replace(text, '\', '\\'), '<|', '<\|')) + 10 + 1)::bigint AS formatted_chars
+FROM c GROUP BY 1"""
