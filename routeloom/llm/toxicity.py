@@ -3,9 +3,9 @@
 Many voters look at a text: a fixed lexicon, words and word beginnings mined from
 labelled rows, and patterns of address.  Each votes toxic, clean or abstains.  A
 generative label model learns, by expectation and maximisation over the votes
-alone, how often each voter votes what under either class, and from what the
-model leaves unexplained it learns which voters are correlated; a group of
-correlated voters then counts as about one.  The posterior labels train a linear
+alone, how often each voter is right, and from what the model leaves unexplained it
+learns which voters are correlated; a group of correlated voters then counts as
+about one.  The posterior labels train a linear
 classifier on words and word beginnings, which scores every text.
 
 Defined results: null and empty texts have no feature and get the score of the
@@ -32,8 +32,10 @@ from routeloom.session import ship
 SAMPLE_ROWS = 3_000
 #: Mined voters of either kind, features of the classifier, at most.
 MINED, FEATURES = 120, 512
-#: A feature of fewer labelled rows is not used.
-LEAST_ROWS = 5
+#: A feature of fewer labelled rows is not used, nor one with a lesser z as a voter.
+LEAST_ROWS, LEAST_Z = 5, 5.0
+#: Voters whose votes correlate more than this, given the class, share their weight.
+CORRELATED = 0.5
 
 # Common English insults.
 LEXICON = (
@@ -72,8 +74,12 @@ class ToxicityModel:
     strength: np.ndarray | None = None
 
 
-def _mined(rows: DataFrame) -> list[tuple[str, int, int]]:
-    """(feature, toxic rows, clean rows) that tell the classes apart best, of at least ``LEAST_ROWS`` rows."""
+def _mined(rows: DataFrame, toxic_rows: int, clean_rows: int) -> list[tuple[str, float]]:
+    """(feature, z) of the features that tell the classes apart best, of at least ``LEAST_ROWS`` rows.
+
+    ``z`` compares the shares of toxic and of clean rows that have the feature; a
+    few chance hits in one class do not make it large.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,81 +94,78 @@ def _mined(rows: DataFrame) -> list[tuple[str, int, int]]:
         .agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
         .where(F.col("toxic") + F.col("clean") >= LEAST_ROWS)
     )
-    lift = F.ln((F.col("toxic") + 0.5) / (F.col("clean") + 0.5))
-    best = [counted.orderBy(F.desc(lift) if up else F.asc(lift), "feature").limit(FEATURES) for up in (True, False)]
-    return sorted({(r["feature"], r["toxic"], r["clean"]) for part in best for r in part.collect()})
+    share = (F.col("toxic") + F.col("clean")) / float(toxic_rows + clean_rows)
+    spread = F.sqrt(share * (1 - share) * (1 / toxic_rows + 1 / clean_rows) + 1e-12)
+    z = F.round((F.col("toxic") / float(toxic_rows) - F.col("clean") / float(clean_rows)) / spread, 6)
+    found = counted.select("feature", z.alias("z"))
+    best = [found.orderBy(F.desc("z") if up else F.asc("z"), "feature").limit(FEATURES) for up in (True, False)]
+    return sorted({(r["feature"], r["z"]) for part in best for r in part.collect()})
 
 
 class Voters:
     """Votes of one text: +1 toxic, -1 clean, 0 none."""
 
-    def __init__(self, toxic: list[str], clean: list[str]):
-        self.toxic, self.clean = toxic, clean
+    def __init__(self, toxic: list[str]):
+        self.toxic = toxic
         self.lexicon = frozenset(LEXICON)
         self.suspects = frozenset(toxic) | self.lexicon
-        self.names = [*toxic, *clean, "lexicon", *_PATTERNS, "no suspect", "no lexicon word"]
+        self.names = [*toxic, "lexicon", *_PATTERNS, "no suspect"]
 
     def __call__(self, text: str) -> list[int]:
         seen = features_of(text)
         listed = not seen.isdisjoint(self.lexicon)
         return [
             *(1 if f in seen else 0 for f in self.toxic),
-            *(-1 if f in seen else 0 for f in self.clean),
             1 if listed else 0,
             *(1 if p.search(text) else 0 for p in _PATTERNS.values()),
             -1 if seen.isdisjoint(self.suspects) else 0,
-            0 if listed else -1,
         ]
 
 
 def label_model(votes: np.ndarray, prior: float, steps: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(posterior of toxic, accuracy of each voter, strength of each voter) from votes alone.
 
-    A voter's table is P(vote | class) for the votes -1, 0, 1.  After a first fit
-    the correlations of what is left of the votes, given the posterior, are had; a
-    voter's strength is one over its number of correlated voters, by size of the
-    correlation, and the model is fitted again with these strengths.
+    A voter that votes is right with a probability of its own; when it abstains it
+    says nothing.  ``prior`` is the share of the toxic class.  Accuracies begin at 0.8 and are kept from 0.55 to 0.995, so that
+    the two classes cannot trade places.  Then the correlations of what is left of
+    the votes, given the posterior, are had; a voter's strength is one over its number
+    of correlated voters, by size of the correlation, and weighs its vote in the
+    posterior that comes back.
     """
     n, m = votes.shape
-    ones = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)  # n x m x 3
-    strength = np.ones(m)
-    posterior = sigmoid(votes.sum(axis=1) * 2.0 + np.log(prior / (1 - prior)))
-    tables = np.zeros((2, m, 3))
-    for fit in range(2):
-        for _ in range(steps):
-            before = posterior
-            for c, weight in ((0, 1 - posterior), (1, posterior)):
-                tables[c] = (np.einsum("n,nmv->mv", weight, ones) + 0.1) / (weight.sum() + 0.3)
-            evidence = (np.log(tables[1]) - np.log(tables[0])) * strength[:, None]
-            share = min(max(posterior.mean(), 1e-3), 1 - 1e-3)
-            posterior = sigmoid(np.einsum("nmv,mv->n", ones, evidence) + np.log(share / (1 - share)))
-            if np.abs(posterior - before).max() < 1e-6:
-                break
-        if fit == 0:
-            mean = np.stack([t @ np.array([-1.0, 0.0, 1.0]) for t in tables])  # expected vote under each class
-            left = votes - ((1 - posterior)[:, None] * mean[0] + posterior[:, None] * mean[1])
-            spread = np.sqrt((left**2).mean(axis=0)) + 1e-9
-            correlation = np.clip((left.T @ left) / n / spread[:, None] / spread, -1, 1)
-            strength = 1.0 / np.maximum(1.0, (np.abs(correlation) * (np.abs(correlation) > 0.2)).sum(axis=1))
-    right = posterior[:, None] * ones[:, :, 2] + (1 - posterior)[:, None] * ones[:, :, 0]
-    cast = ones[:, :, 0] + ones[:, :, 2]
-    return posterior, (right.sum(axis=0) + 0.5) / (cast.sum(axis=0) + 1), strength
+    cast, toxic = (votes != 0).astype(float), (votes > 0).astype(float)
+    accuracy = np.full(m, 0.8)
+    posterior = np.full(n, prior)
+    for _ in range(steps):
+        before = posterior
+        posterior = sigmoid(votes @ np.log(accuracy / (1 - accuracy)) + np.log(prior / (1 - prior)))
+        right = posterior @ toxic + (1 - posterior) @ (cast - toxic)
+        accuracy = np.clip((right + 4.0) / (cast.sum(axis=0) + 5.0), 0.55, 0.995)
+        if np.abs(posterior - before).max() < 1e-6:
+            break
+    weight = np.stack([1 - posterior, posterior]) + 1e-9
+    mean = weight @ votes / weight.sum(axis=1, keepdims=True)  # of each voter under either class
+    left = votes - weight.T @ mean
+    spread = np.sqrt((left**2).mean(axis=0)) + 1e-9
+    correlation = np.clip((left.T @ left) / n / spread[:, None] / spread, -1, 1)
+    strength = 1.0 / np.maximum(1.0, (np.abs(correlation) * (np.abs(correlation) > CORRELATED)).sum(axis=1))
+    posterior = sigmoid(votes @ (strength * np.log(accuracy / (1 - accuracy))) + np.log(prior / (1 - prior)))
+    return posterior, accuracy, strength
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
     """Learn from at most ``sample_rows`` labelled rows of each class."""
     ship(docs.sparkSession)
     rows = training_rows(docs, labels, "toxic", sample_rows, id_col, text_col)
-    mined = _mined(rows)
-    classes = {r["label"] for r in rows.select("label").distinct().collect()}
-    if not mined or classes != {0, 1}:
+    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    mined = _mined(rows, sizes[1], sizes[0]) if set(sizes) == {0, 1} else []
+    if not mined:
         return ToxicityModel([], None)
-    by_lift = sorted(mined, key=lambda r: (-(r[1] + 0.5) / (r[2] + 0.5), r[0]))
-    toxic = [f for f, a, b in by_lift if (a + 0.5) / (b + 0.5) >= 8][:MINED]
-    clean = [f for f, a, b in reversed(by_lift) if (b + 0.5) / (a + 0.5) >= 8][: MINED // 2]
+    ranked = sorted(mined, key=lambda r: (-r[1], r[0]))
+    toxic = [f for f, z in ranked if z >= LEAST_Z][:MINED]
     half = FEATURES // 2
-    features = [f for f, _, _ in by_lift[:half]] + [f for f, _, _ in by_lift[half:][-half:]]
-    voters = Voters(toxic, clean)
+    features = [f for f, _ in ranked[:half]] + [f for f, _ in ranked[half:][-half:]]
+    voters = Voters(toxic)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {f: k for k, f in enumerate(features)}
@@ -175,7 +178,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     got = rows.select(F.xxhash64("doc_id").alias("draw"), "text").mapInArrow(run, "draw long, votes binary, seen array<int>").collect()
     got = sorted(got, key=lambda r: (r["draw"], bytes(r["votes"])))  # at most 2 * sample_rows rows
     votes = np.array([np.frombuffer(bytes(r["votes"]), np.uint8) for r in got]).astype(np.int8) - 1
-    posterior, accuracy, strength = label_model(votes, prior=0.5)
+    posterior, accuracy, strength = label_model(votes, prior=sizes[1] / (sizes[0] + sizes[1]))
     x = np.zeros((len(got), len(features)))
     for k, r in enumerate(got):
         x[k, r["seen"]] = 1.0
