@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from routeloom.session import ship, written
 
 PIVOTS, BLOCK_POINTS, GROUP_QUERIES, MOST_BLOCKS = 64, 4_096, 256, 16_384
-LEAF = 48
+LEAF = 256
 
 
 class Node:
@@ -98,8 +98,12 @@ class Search:
 
     def _leaves(self, q: Node, r: Node, vectors: np.ndarray, ids: list[list[int]]) -> None:
         scores = self.queries[q.points] @ vectors[r.points].T
-        for row, i in enumerate(q.points.tolist()):
+        some = np.flatnonzero(scores.max(axis=1) >= self.worst[q.points])
+        for row, i in zip(some.tolist(), q.points[some].tolist(), strict=True):
             good = np.flatnonzero(scores[row] >= self.worst[i])
+            if len(good) > 4 * self.k:  # only the best k points, and ties with the last of them, can stay
+                last = np.partition(scores[row][good], -self.k - 1)[-self.k - 1]
+                good = good[scores[row][good] >= last]
             heap, own = self.best[i], int(self.ids[i])
             for c in good[np.argsort(-scores[row][good], kind="stable")].tolist():
                 score = int(scores[row][c])
