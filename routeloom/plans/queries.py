@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from routeloom.plans import control, pages, routes
+from routeloom.plans import control, pages, routes, strokes
 
-QUERIES = {**control.QUERIES, **routes.QUERIES, **pages.QUERIES}
-ORACLES = {**control.ORACLES, **routes.ORACLES, **pages.ORACLES}
+QUERIES = {**control.QUERIES, **routes.QUERIES, **pages.QUERIES, **strokes.QUERIES}
+ORACLES = {**control.ORACLES, **routes.ORACLES, **pages.ORACLES, **strokes.ORACLES}
