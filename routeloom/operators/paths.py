@@ -16,6 +16,8 @@ from routeloom.functions import geo, line
 
 #: Fixed value: points nearer than this are one.
 SAME_POINT = 0.01
+#: Slack of the stretch that is looked at.
+RIM = 1e-5
 EMPTY = "array<struct<x:double,y:double>>"
 
 
@@ -80,13 +82,14 @@ def covered_cells(lines: DataFrame, keys: Sequence[str], width: float = 6.0) ->
 
     Lines: (keys, points).  Row by row only the stretch of a segment that can reach
     the row is looked at, so work grows with its length, not with its box.
+    Distances count to a millionth, so that rounding does not decide at the rim.
     """
     n = F.size("points")
     ends = F.when(n == 1, F.array(F.struct(F.get("points", F.lit(0)).alias("a"), F.get("points", F.lit(0)).alias("b"), F.lit(float(width)).alias("r"))))
     pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda k: F.struct(F.get("points", k - 1).alias("a"), F.get("points", k).alias("b"), F.lit(width / 2).alias("r")))
     d = lines.select(*keys, F.explode(F.when(n > 1, pairs).otherwise(ends)).alias("s"))
     d = d.select(*keys, F.col("s.a.x").alias("ax"), F.col("s.a.y").alias("ay"), F.col("s.b.x").alias("bx"), F.col("s.b.y").alias("by"), F.col("s.r").alias("r"))
-    cells = lambda low, high: F.when(F.ceil(low) <= F.floor(high), F.sequence(F.ceil(low), F.floor(high)))
+    cells = lambda low, high: F.when(F.ceil(low - RIM) <= F.floor(high + RIM), F.sequence(F.ceil(low - RIM), F.floor(high + RIM)))
     c = F.col
     d = d.withColumn("cy", F.explode(cells(F.least("ay", "by") - c("r"), F.greatest("ay", "by") + c("r"))))
     cut = lambda y: F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce(F.try_divide(y - c("ay"), c("by") - c("ay")), F.lit(0.0))))
@@ -95,4 +98,4 @@ def covered_cells(lines: DataFrame, keys: Sequence[str], width: float = 6.0) ->
     d = d.withColumn("_x0", c("ax") + t0 * (c("bx") - c("ax"))).withColumn("_x1", c("ax") + t1 * (c("bx") - c("ax")))
     d = d.withColumn("cx", F.explode(cells(F.least("_x0", "_x1") - c("r"), F.greatest("_x0", "_x1") + c("r"))))
     near = geo.segment_offset(c("cx").cast("double"), c("cy").cast("double"), c("ax"), c("ay"), c("bx"), c("by"))["distance"]
-    return d.where(near <= c("r")).select(*keys, "cx", "cy").distinct()
+    return d.where(F.round(near, 6) <= c("r")).select(*keys, "cx", "cy").distinct()

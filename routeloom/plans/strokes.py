@@ -79,7 +79,7 @@ _CELLS = """, p AS (SELECT page, id, x0 % 300 AS ax, y0 % 200 AS ay, x1 % 300 AS
     s AS (SELECT page, ax, ay, bx, by_, 3 AS r FROM p WHERE id % 11 <> 0 UNION SELECT page, bx, by_, dx, dy, 3 FROM p WHERE id % 11 <> 0 UNION SELECT page, ax, ay, ax, ay, 6 FROM p WHERE id % 11 = 0),
     m AS (SELECT s.*, cx, cy, CASE WHEN pow(bx - ax, 2) + pow(by_ - ay, 2) <= 1e-12 THEN 0 ELSE greatest(0, least(1, ((cx - ax) * (bx - ax) + (cy - ay) * (by_ - ay)) / (pow(bx - ax, 2) + pow(by_ - ay, 2)))) END AS t FROM s, range(-10, 310) x(cx), range(-10, 310) y(cy)
       WHERE cx BETWEEN least(ax, bx) - r AND greatest(ax, bx) + r AND cy BETWEEN least(ay, by_) - r AND greatest(ay, by_) + r)
-    SELECT page, count(*) AS cells, sum(cx * 1000 + cy)::bigint AS digest FROM (SELECT DISTINCT page, cx, cy FROM m WHERE sqrt(pow(cx - ax - t * (bx - ax), 2) + pow(cy - ay - t * (by_ - ay), 2)) <= r) GROUP BY 1"""
+    SELECT page, count(*) AS cells, sum(cx * 1000 + cy)::bigint AS digest FROM (SELECT DISTINCT page, cx, cy FROM m WHERE round(sqrt(pow(cx - ax - t * (bx - ax), 2) + pow(cy - ay - t * (by_ - ay), 2)), 6) <= r) GROUP BY 1"""
 
 
 def _panels(spark, sf_dir) -> DataFrame:
