@@ -9,7 +9,9 @@ fewer tokens is one window).  Matching windows of a document and an item on one
 diagonal make a run; a run counts if its slots are consistent: the values that stand
 in the placeholders of the item must map one to one to those of the document.  So
 a question with other numbers or names is found, while a text that only has
-placeholders in the same places is not.
+placeholders in the same places is not.  A run with a conflict is split: its longest
+stretches of at least a window that are consistent in themselves count, and so does
+every stretch of a window that is equal word for word.
 
 A document is contaminated by an item when consistent runs cover ``least_words`` of
 the item's tokens (or all of a shorter item).
@@ -254,19 +256,49 @@ class Benchmark:
                 else:
                     runs.append([a, b])
             for a, b in runs:
-                if self.consistent(a, b, shift, hashes, slots):
-                    inside.update(range(a, b))
+                parts = self.stretches(a, b, shift, hashes, slots)
+                if len(parts) > 1:
+                    parts = self.chosen(parts) + self.verbatim(a, b, shift, hashes)
+                for first, end in parts:
+                    inside.update(range(first, end))
         return len(inside)
 
-    def consistent(self, a: int, b: int, shift: int, hashes: np.ndarray, slots: np.ndarray) -> bool:
-        """True if the slot values of item tokens a..b map one to one to those of the document."""
+    def stretches(self, a: int, b: int, shift: int, hashes: np.ndarray, slots: np.ndarray) -> list[tuple[int, int]]:
+        """Maximal parts of item tokens a..b whose slot values map one to one to those of the document."""
         ours, theirs = self.hashes[a:b], hashes[a + shift : b + shift]
         kind = np.where((self.slots[a:b] > 0) | (ours != theirs), np.maximum(self.slots[a:b], slots[a + shift : b + shift]), 0)
-        there, back = {}, {}
-        for k, x, y in zip(kind.tolist(), ours.tolist(), theirs.tolist(), strict=True):
-            if k and (there.setdefault((k, x), y) != y or back.setdefault((k, y), x) != x):
-                return False
-        return True
+        there, back = {}, {}  # value -> (what it stands for, where last)
+        out, first = [], a
+        for at, k, x, y in zip(range(a, b), kind.tolist(), ours.tolist(), theirs.tolist(), strict=True):
+            if not k:
+                continue
+            begin = first
+            for last, value in ((there.get((k, x)), y), (back.get((k, y)), x)):
+                if last and last[0] != value:
+                    begin = max(begin, last[1] + 1)
+            if begin > first:
+                out.append((first, at))
+                first = begin
+            there[k, x], back[k, y] = (y, at), (x, at)
+        return [*out, (first, b)]
+
+    def chosen(self, parts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """The longest part, then the longest of what it leaves of the others, and so on, down to a window."""
+        out = []
+        while parts:
+            low, high = max(parts, key=lambda p: (p[1] - p[0], -p[0]))
+            if high - low < self.window:
+                break
+            out.append((low, high))
+            left = [(a, min(b, low)) if a < low else (max(a, high), b) for a, b in parts]
+            parts = [(a, b) for a, b in left if a < b]
+        return out
+
+    def verbatim(self, a: int, b: int, shift: int, hashes: np.ndarray) -> list[tuple[int, int]]:
+        """Stretches of item tokens a..b, a window long at least, that stand in the document word for word."""
+        same = np.concatenate([[False], self.hashes[a:b] == hashes[a + shift : b + shift], [False]])
+        edges = np.flatnonzero(same[1:] != same[:-1]).reshape(-1, 2) + a
+        return [(low, high) for low, high in edges.tolist() if high - low >= self.window]
 
 
 def _groups(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int | None, str]]]:

@@ -71,6 +71,17 @@ def test_decontamination(spark):
     assert hits[0].contaminated and hits[0].matched_words > hits[1].matched_words and twin
 
 
+def test_decontamination_of_a_long_passage_with_one_conflict(spark):
+    rng = random.Random(12)
+    letters = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(n)]
+    item = " ".join(letters(14) + ["5"] + letters(14) + ["5"] + letters(14))
+    changed = item[::-1].replace("5", "6", 1)[::-1]  # the second of two equal numbers
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.leaks(docs_of(spark, [changed, item, " ".join(letters(44))]), bench).collect()}
+    assert [got[i].contaminated for i in range(3)] == [True, True, False]
+    assert got[0].matched_words >= 29 and got[1].matched_words == 44
+
+
 def test_decontamination_in_passes(spark, monkeypatch):
     rng = random.Random(3)
     items = [(i, words(rng, 25)) for i in range(12)]
