@@ -3,7 +3,9 @@
 Texts of both sides become sequences of template tokens: numbers, units after a
 number and names (capitalised words inside a sentence) are typed placeholders, all
 other words are in lower case.  A second form leaves names as words, so that
-texts written all in capitals or all in small letters still match.  Windows of
+texts written all in capitals or all in small letters still match.  A third form has
+no placeholder at all, so verbatim copies match however many numbers they hold; the
+bound on placeholders in a window (``LEAST_LITERAL``) is for the first two.  Windows of
 ``window`` tokens are hash-joined with the windows of the benchmark (an item of
 fewer tokens is one window).  Matching windows of a document and an item on one
 diagonal make a run; a run counts if its slots are consistent: the values that stand
@@ -177,11 +179,12 @@ _LISTS |= {name: np.array([_word_hash(w) for w in words], np.uint64) for name, w
 
 
 def _forms(hashes: np.ndarray, slots: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(template tokens, is placeholder) with names as placeholders, and with names as words."""
+    """(template tokens, is placeholder) with names as placeholders, with names as words, and word for word."""
     typed = mix(slots.astype(np.uint64))
     yield np.where(slots > 0, typed, hashes), slots > 0
     apart = (slots > 0) & (slots != _SLOTS["name"])
     yield np.where(apart, typed, hashes), apart
+    yield hashes, np.zeros(len(slots), bool)
 
 
 def window_hashes(tokens: np.ndarray, holder: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -82,6 +82,14 @@ def test_decontamination_of_a_long_passage_with_one_conflict(spark):
     assert got[0].matched_words >= 29 and got[1].matched_words == 44
 
 
+def test_decontamination_of_verbatim_copies_full_of_numbers(spark):
+    items = ["What is 12 times 7?", "Compute 12 + 7 - 5 * 3 / 2 + 9", "Rows: 4 8 15 16 23 42 km 7 9 11 13 17 19 21 years"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"Some words stand here. {x} And more of them behind." for x in items] + ["What is 13 times 8?", "Compute 1 + 2 - 3 * 4 / 5 + 6", "4 8 15 16 23 42"]
+    got = {r.doc_id: list(r["items"]) for r in decontaminate.leaks(docs_of(spark, texts), bench).collect()}
+    assert [got[i] for i in range(6)] == [[0], [1], [2], [], [], []]
+
+
 def test_decontamination_in_passes(spark, monkeypatch):
     rng = random.Random(3)
     items = [(i, words(rng, 25)) for i in range(12)]
