@@ -259,11 +259,13 @@ def normalize_text(spark, sf_dir):
 
 
 def fuzzy_gazetteer(spark, sf_dir):
-    """Each part name with the region whose name is most alike, exact first."""
-    g = F.broadcast(table(spark, sf_dir, "region").select("r_regionkey", F.lower("r_name").alias("name")))
+    """Each part name with the region of which a name, its own or one of its nations', is most alike, exact first."""
+    nations = table(spark, sf_dir, "nation").select("n_regionkey", F.lower("n_name").alias("nation"))
+    g = table(spark, sf_dir, "region").join(nations, F.col("r_regionkey") == F.col("n_regionkey"), "left")
+    g = F.broadcast(g.select("r_regionkey", F.explode(F.array(F.lower("r_name"), "nation")).alias("name")).where("name is not null").distinct())
     p = table(spark, sf_dir, "part").select(F.lower("p_name").alias("label")).distinct()
-    d = p.join(g, F.substring("label", 1, 1) <= F.substring("name", 1, 1)).withColumn("ratio", text.sequence_ratio("label", "name"))
-    return joins.best_per(d, ["label"], F.desc("ratio"), F.col("r_regionkey")).select("label", "r_regionkey", F.round("ratio", 6).alias("ratio"))
+    d = p.join(g, F.lit(True), "left").withColumn("ratio", text.sequence_ratio("label", "name"))
+    return joins.best_per(d, ["label"], F.desc_nulls_last("ratio"), F.col("r_regionkey")).select("label", "r_regionkey", F.round("ratio", 6).alias("ratio"))
 
 
 def mask_dilate(spark, sf_dir):
