@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routeloom.llm.labelled import fit_logistic, fold_of, sigmoid, training_rows
+from routeloom.llm.labelled import class_weights, fit_logistic, fold_of, sigmoid, training_rows
 from routeloom.session import ship
 
 #: Labelled rows of a class at most, half for the dictionaries, half for calibration.
@@ -148,7 +148,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
     got = got[np.lexsort(got.T)]
     if len(set(got[:, 0])) < 2:
         return QualityModel(dictionaries, None)
-    return QualityModel(dictionaries, fit_logistic(got[:, 1:] * 10, got[:, 0]))
+    stands_for = class_weights(labels, "quality", sample_rows, id_col)
+    weight = np.array([stands_for[int(y)] for y in got[:, 0]])
+    return QualityModel(dictionaries, fit_logistic(got[:, 1:] * 10, got[:, 0], weight=weight))
 
 
 def _differences(rows: DataFrame, dictionaries: dict[str, tuple[bytes, bytes]], keep: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routeloom.llm.labelled import fit_logistic, fold_of, sigmoid, training_rows
+from routeloom.llm.labelled import class_weights, fit_logistic, fold_of, sigmoid, training_rows
 from routeloom.session import ship
 
 #: Labelled rows of a class that the model learns from, at most.
@@ -122,32 +122,34 @@ class Voters:
         ]
 
 
-def label_model(votes: np.ndarray, prior: float, steps: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def label_model(votes: np.ndarray, prior: float, steps: int = 50, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(posterior of toxic, accuracy of each voter, strength of each voter) from votes alone.
 
     A voter that votes is right with a probability of its own; when it abstains it
-    says nothing.  ``prior`` is the share of the toxic class.  Accuracies begin at 0.8 and are kept from 0.55 to 0.995, so that
+    says nothing.  ``prior`` is the share of the toxic class; ``weight`` says how much
+    each row counts, relative to the others.  Accuracies begin at 0.8 and are kept from 0.55 to 0.995, so that
     the two classes cannot trade places.  Then the correlations of what is left of
     the votes, given the posterior, are had; a voter's strength is one over its number
     of correlated voters, by size of the correlation, and weighs its vote in the
     posterior that comes back.
     """
     n, m = votes.shape
+    share = np.ones(n) if weight is None else weight / weight.mean()
     cast, toxic = (votes != 0).astype(float), (votes > 0).astype(float)
     accuracy = np.full(m, 0.8)
     posterior = np.full(n, prior)
     for _ in range(steps):
         before = posterior
         posterior = sigmoid(votes @ np.log(accuracy / (1 - accuracy)) + np.log(prior / (1 - prior)))
-        right = posterior @ toxic + (1 - posterior) @ (cast - toxic)
-        accuracy = np.clip((right + 4.0) / (cast.sum(axis=0) + 5.0), 0.55, 0.995)
+        right = (share * posterior) @ toxic + (share * (1 - posterior)) @ (cast - toxic)
+        accuracy = np.clip((right + 4.0) / (share @ cast + 5.0), 0.55, 0.995)
         if np.abs(posterior - before).max() < 1e-6:
             break
-    weight = np.stack([1 - posterior, posterior]) + 1e-9
-    mean = weight @ votes / weight.sum(axis=1, keepdims=True)  # of each voter under either class
-    left = votes - weight.T @ mean
-    spread = np.sqrt((left**2).mean(axis=0)) + 1e-9
-    correlation = np.clip((left.T @ left) / n / spread[:, None] / spread, -1, 1)
+    member = np.stack([1 - posterior, posterior]) + 1e-9
+    mean = (member * share) @ votes / (member * share).sum(axis=1, keepdims=True)  # of each voter under either class
+    left = votes - member.T @ mean
+    spread = np.sqrt(share @ left**2 / n) + 1e-9
+    correlation = np.clip(((left * share[:, None]).T @ left) / n / spread[:, None] / spread, -1, 1)
     strength = 1.0 / np.maximum(1.0, (np.abs(correlation) * (np.abs(correlation) > CORRELATED)).sum(axis=1))
     posterior = sigmoid(votes @ (strength * np.log(accuracy / (1 - accuracy))) + np.log(prior / (1 - prior)))
     return posterior, accuracy, strength
@@ -173,16 +175,19 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
             texts = batch.column(1).to_pylist()
             votes = [bytes(v + 1 for v in voters(t)) for t in texts]
             seen = [sorted(place[f] for f in features_of(t) if f in place) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.binary()), pa.array(seen, pa.list_(pa.int32()))], ["draw", "votes", "seen"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(votes, pa.binary()), pa.array(seen, pa.list_(pa.int32()))], ["draw", "label", "votes", "seen"])
 
-    got = rows.select(F.xxhash64("doc_id").alias("draw"), "text").mapInArrow(run, "draw long, votes binary, seen array<int>").collect()
+    got = rows.select(F.xxhash64("doc_id").alias("draw"), "text", "label").mapInArrow(run, "draw long, label int, votes binary, seen array<int>").collect()
     got = sorted(got, key=lambda r: (r["draw"], bytes(r["votes"])))  # at most 2 * sample_rows rows
     votes = np.array([np.frombuffer(bytes(r["votes"]), np.uint8) for r in got]).astype(np.int8) - 1
-    posterior, accuracy, strength = label_model(votes, prior=sizes[1] / (sizes[0] + sizes[1]))
+    stands_for = class_weights(labels, "toxic", sample_rows, id_col)
+    weight = np.array([stands_for[r["label"]] for r in got])
+    labelled = {k: sizes[k] * stands_for[k] for k in (0, 1)}
+    posterior, accuracy, strength = label_model(votes, prior=labelled[1] / (labelled[0] + labelled[1]), weight=weight)
     x = np.zeros((len(got), len(features)))
     for k, r in enumerate(got):
         x[k, r["seen"]] = 1.0
-    weights = fit_logistic(x, posterior, ridge=2e-4, steps=25)
+    weights = fit_logistic(x, posterior, ridge=2e-4, steps=25, weight=weight)
     return ToxicityModel(features, weights, voters.names, accuracy, strength)
 
 

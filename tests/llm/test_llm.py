@@ -121,6 +121,19 @@ def test_toxicity_held_out(spark):
     assert held_out(spark, QUERIES["op5_toxicity"](spark, "/root/testdata/sf0.1"), "toxic") > 0.95
 
 
+@pytest.mark.parametrize("op", ["quality", "toxicity"])
+def test_scores_mean_the_same_when_the_sample_is_capped(spark, op):
+    rng = random.Random(13)
+    rare = {i for i in range(900) if i % 9 == 0}  # of 900 rows, 100 of the rarer class
+    texts = [words(rng, 12) + (" blargish" if rng.random() < (0.7 if i in rare else 0.1) else "") for i in range(900)]
+    d = docs_of(spark, texts)
+    fit, score, y = (quality.fit_quality, quality.score_quality, 0) if op == "quality" else (toxicity.fit_toxicity, toxicity.score_toxicity, 1)
+    labels = spark.createDataFrame([(i, y if i in rare else 1 - y, y if i in rare else 1 - y) for i in range(900)], "doc_id long, quality int, toxic int")
+    mean = {rows: np.mean([r.score for r in score(d, fit(d, labels, rows)).collect()]) for rows in (80, 10_000)}
+    odds = {rows: np.log(m / (1 - m)) for rows, m in mean.items()}
+    assert abs(odds[80] - odds[10_000]) < 0.7, mean
+
+
 @pytest.mark.parametrize("op", ["quality", "toxicity"])
 def test_scores_of_odd_texts(spark, op):
     texts = [None, "", " ", "a", "you idiot", "x" * 20000, "ok"]
