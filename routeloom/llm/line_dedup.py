@@ -21,7 +21,8 @@ shorter must stand in the longer as it is, moved by no more than the edits allow
 Linked lines form classes (connected components), and of a class the first line
 in order of (doc_id, line number) stays.
 
-Lines of fewer than ``min_chars`` characters (headings, marks) are left alone.
+Lines of fewer than ``min_chars`` characters (headings, marks) are not linked.  With
+``short_copies`` their exact repeats go as well, blank lines apart; without it they are left alone.
 Defined results: a null text has no line, an empty text one empty line; rows with
 the same id count as one document, so a line at the same place of both is no
 repetition; a null id is a document that comes before all others; an empty table
@@ -39,10 +40,13 @@ from routeloom.session import written
 _NULL_ID = -(2**63)  # stands for a null id inside joins
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
+def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int, short_copies: bool = False) -> DataFrame:
     """(doc, line_no, line, length, h, crc) of the lines that can be removed."""
+    able = F.col("length") >= min_chars
+    if short_copies:
+        able |= F.trim(F.translate("line", "\t\r\n", "   ")) != ""
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("doc"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
-    rows = rows.withColumn("length", F.char_length("line")).where(F.col("length") >= min_chars)
+    rows = rows.withColumn("length", F.char_length("line")).where(able)
     return rows.select("doc", "line_no", "line", "length", F.xxhash64("line").alias("h"), F.crc32(F.col("line").cast("binary")).alias("crc"))
 
 
@@ -163,6 +167,7 @@ def _linked(docs: DataFrame, distinct: DataFrame, max_edits: int, id_col: str, t
     """(u, v): hashes of distinct lines that are linked."""
     places = probe_places(max_edits)
     segments = max_edits + 1
+    distinct = distinct.where(F.col("length") >= min_chars)
     index = distinct.select("h", "parity", F.explode(F.array(*[F.col(f"i{k}") for k in range(segments)])).alias("key"))
     probe = distinct.select("h", "parity", F.explode(F.array(*[F.col(f"p{k}") for k in range(len(places))])).alias("key"))
     a, b = index.alias("a"), probe.alias("b")
@@ -183,13 +188,13 @@ def _linked(docs: DataFrame, distinct: DataFrame, max_edits: int, id_col: str, t
     return full.where(within_edits(F.col("line_u"), F.col("line_v"), max_edits)).select("u", "v")
 
 
-def repeated_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = False) -> DataFrame:
     """(doc, line_no, first_doc, first_line) of every line of a class of more than one place.
 
     ``first_doc`` and ``first_line`` name the class by its first place.  ``doc`` is the
     id, with -2**63 for null.
     """
-    lines = _lines(docs, id_col, text_col, min_chars)
+    lines = _lines(docs, id_col, text_col, min_chars, short_copies)
     segments = max_edits + 1
     keys = {f"i{k}": _segment_key(F.col("line"), F.col("length"), k, segments, 0) for k in range(segments)}
     for n, (longer, k, shift) in enumerate(probe_places(max_edits)):
@@ -207,19 +212,19 @@ def repeated_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_
     return named.select("x.doc", "x.line_no", F.col("first.doc").alias("first_doc"), F.col("first.line_no").alias("first_line")).distinct()
 
 
-def _removed(docs: DataFrame, max_edits: int, min_chars: int, id_col: str, text_col: str) -> DataFrame:
+def _removed(docs: DataFrame, max_edits: int, min_chars: int, id_col: str, text_col: str, short_copies: bool) -> DataFrame:
     """(doc, removed): per document the removed lines with the first places of their classes, in order."""
-    lines = repeated_lines(docs, max_edits, min_chars, id_col, text_col).where("doc <> first_doc or line_no <> first_line")
+    lines = repeated_lines(docs, max_edits, min_chars, id_col, text_col, short_copies).where("doc <> first_doc or line_no <> first_line")
     return lines.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("line_no", "first_doc", "first_line"))).alias("removed"))
 
 
-def line_report(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_report(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = False) -> DataFrame:
     """One row per input row: id, n_lines, n_removed, removed.
 
     ``removed`` lists, in order of lines, ``line=first document:first line``; the right
     side names the class, and its first line stays.
     """
-    gone = _removed(docs, max_edits, min_chars, id_col, text_col)
+    gone = _removed(docs, max_edits, min_chars, id_col, text_col, short_copies)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("doc"), F.coalesce(F.size(F.split(text_col, "\n")), F.lit(0)).alias("n"))
     rows = rows.withColumn("n_lines", F.greatest("n", F.lit(0)))
     name = lambda r: F.concat(r["line_no"].cast("string"), F.lit("="), F.when(r["first_doc"] == _NULL_ID, "null").otherwise(r["first_doc"].cast("string")), F.lit(":"), r["first_line"].cast("string"))
@@ -228,12 +233,12 @@ def line_report(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col
     return joined.select(F.col("id").alias(id_col), "n_lines", F.size("removed").alias("n_removed"), F.array_join(F.transform("removed", name), ",").alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = False) -> DataFrame:
     """``docs`` with repeated lines taken out of the text.
 
     A document that has no character left but white space, and had one before, goes.
     """
-    gone = _removed(docs, max_edits, min_chars, id_col, text_col).select(F.col("doc").alias("_gone_doc"), F.transform("removed", lambda r: r["line_no"]).alias("_gone_lines"))
+    gone = _removed(docs, max_edits, min_chars, id_col, text_col, short_copies).select(F.col("doc").alias("_gone_doc"), F.transform("removed", lambda r: r["line_no"]).alias("_gone_lines"))
     key = F.coalesce(docs[id_col].cast("long"), F.lit(_NULL_ID))
     joined = docs.join(gone, key == F.col("_gone_doc"), "left")
     kept = F.filter(F.split(F.col(text_col), "\n"), lambda line, k: ~F.array_contains("_gone_lines", k))

@@ -300,6 +300,14 @@ def test_line_dedup(spark, k):
         assert kept.get(i, "gone") == (left if not gone or left.strip() else "gone")
 
 
+def test_pipeline_removes_repeats_of_short_lines(spark):
+    from corpus_pipeline import line_dedup as stage
+
+    texts = ["Les.\na long line that comes twice\n\nLes.", "Les.\na long line that comes twice\n\nLes.", "Let.\n \nLes.", "\n"]
+    got = {r.doc_id: r.text for r in stage(spark, docs_of(spark, texts), "").collect()}
+    assert got == {0: "Les.\na long line that comes twice\n", 2: "Let.\n ", 3: "\n"}
+
+
 def test_line_dedup_is_native(spark):
     plan = line_dedup.line_report(docs_of(spark, ["a line that comes twice"] * 3))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
