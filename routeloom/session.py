@@ -48,15 +48,20 @@ def ship(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all machines see: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (tests, a single machine) a folder under
-    ``/tmp/checkpoints`` stands in.
+    Only on a single machine, as in tests, a folder under ``/tmp/checkpoints`` stands
+    in where that is unset; on a cluster it has to be set.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all machines share")
         named = f"file:///tmp/checkpoints/{spark.sparkContext.applicationId}"
     return named.rstrip("/")
 
 
+_PATHS: list[str] = []
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -66,4 +71,25 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _PATHS.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def tables_written() -> int:
+    """How many tables ``written`` has made and ``dropped`` not yet removed: a mark for ``dropped``."""
+    return len(_PATHS)
+
+
+def dropped(spark: SparkSession, since: int, keep: int = 0) -> None:
+    """Remove the tables written after the mark ``since``, but for the last ``keep``.
+
+    Nothing that is still to be computed may read them.  The driver's collector then
+    lets Spark remove the shuffle files of finished steps as well.
+    """
+    end = len(_PATHS) - keep
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    for path in _PATHS[since:end]:
+        at = folder(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    del _PATHS[since:end]
+    spark._jvm.System.gc()
