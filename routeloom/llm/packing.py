@@ -1,20 +1,22 @@
 """Best-fit packing of token sequences in bulk-synchronous sweeps.
 
 Documents are tokenized once and cut into pieces of at most ``capacity`` tokens.
-Pieces are range-sorted by length and given ranks within their length; sequences
-are kept as runs of equal gaps.  As lengths and gaps are whole numbers up to
-``capacity``, both sorted sides compress to at most ``capacity`` counters, so a
-sweep needs counts, not rows.  Sweeps go from the longest pieces to the shortest:
-
-1. every piece of a length looks up its successor, the smallest gap that holds it;
-2. pieces that want the same gap are told apart by rank: the i-th piece takes the
-   i-th sequence of the run;
-3. the gaps of these sequences shrink, and pieces without a sequence sweep again,
-   over the gaps that are left; where none holds them, new sequences open.
-
-Ranks are made by a distributed sort over (length, group), with the groups'
-sizes summed up, and each piece reads its place from the plan of rank runs.  The
-plan's size depends on ``capacity`` alone, not on the number of documents.
+There are two tables: pieces without a place, and open sequences with their gaps.  A
+superstep takes the pieces of one band of lengths, the longest band first:
+
+1. pieces and gaps are range-sorted by size, with ids as a tie-break, so a size that
+   a third of all rows have is dealt over many ranges too;
+2. their ranks in that order deal both into stripes, every n-th piece with every n-th
+   gap: no two stripes can want the same gap, and each has its share of every size;
+3. in each stripe sweeps go from the longest pieces to the shortest.  All pieces of a
+   length look up their successor, the smallest gap that holds them; the i-th piece
+   takes the i-th sequence of that gap, these gaps shrink, and pieces beyond the last
+   sequence sweep again over the gaps that are left; where none holds them, new
+   sequences open;
+4. placed pieces and the changed gaps are written, and the next superstep takes the gaps.
+
+A stripe has about ``STRIPE_ROWS`` pieces however many there are in all, and ends with
+one badly filled sequence at most, so stripes cost no more than one sequence each.
 
 Defined results: a null text counts as empty and becomes a piece that holds the
 end id alone; null ids are kept; repeated rows are packed each by itself; other
@@ -25,20 +27,23 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from routeloom.llm.token_counts import BATCH_CHARS, load_tokenizer
 from routeloom.session import ship, written
 
-#: Words that a Python process remembers the ids of; the memory is emptied beyond.
-REMEMBERED = 1_000_000
+#: Words that a Python process remembers the ids of, in each of two generations.
+REMEMBERED = 250_000
+#: Least lengths of the bands, as shares of the capacity; pieces of a stripe.
+BANDS, STRIPE_ROWS = (1 / 4, 1 / 16, 0.0), 50_000
 
 #: Code points for which the normalizer does nothing but lower-case and for which
 #: letters, digits and white space are told apart here as the library does.
@@ -59,6 +64,7 @@ class WordIds:
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.by_word = _works_by_word(self.tokenizer)
 
@@ -69,9 +75,13 @@ class WordIds:
         """Ids of ``texts``; words not met before are encoded together."""
         split = [_WORDS.findall(x.lower()) if self._plain(x) else None for x in texts]
         known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        fresh = list(set(chain.from_iterable(x for x in split if x)).difference(known))
+        fresh = set(chain.from_iterable(x for x in split if x)).difference(known)
+        if len(known) + len(fresh) > REMEMBERED:  # words that were not met for a generation are forgotten
+            self.older, self.known = known, {w: known[w] for x in split if x for w in x if w in known}
+            known = self.known
+        met = fresh.intersection(self.older)
+        known.update((w, self.older[w]) for w in met)
+        fresh = list(fresh - met)
         if fresh:
             encoding = self.tokenizer.encode(" ".join(fresh), add_special_tokens=False)
             raw = _packed(encoding.ids)
@@ -144,28 +154,31 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int,
     return rows.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
-def plan_sweeps(counts: dict[int, int], capacity: int) -> np.ndarray:
+def plan_sweeps(counts: dict[int, int], capacity: int, gaps: dict[int, list[tuple[int, int]]] | None = None, opened: int = 0) -> np.ndarray:
     """Plan rows (length, first rank, how many, first sequence, offset), by length and rank.
 
-    ``counts``: pieces of each length.  Sequences are numbered as they open.
+    ``counts``: pieces of each length.  ``gaps``: of each gap the runs (first
+    sequence, how many) that have it; ``opened``: the next new sequence.
     """
     if counts and (max(counts) > capacity or min(counts) < 1):
         raise ValueError("lengths must lie between 1 and the capacity")
-    gaps: dict[int, list[tuple[int, int]]] = {}  # gap -> runs (first sequence, how many)
-    plan, opened = [], 0
+    gaps = {g: list(runs) for g, runs in (gaps or {}).items() if g > 0}
+    sizes = sorted(gaps)
+    plan = []
     for length in sorted(counts, reverse=True):
         rank, left = 0, counts[length]
         while left:
-            wanted = sorted(g for g in gaps if g >= length)
-            if not wanted:
-                each = capacity // length
-                fresh = -(-left // each)
+            at = bisect_left(sizes, length)
+            if at == len(sizes):
+                fresh = -(-left // (capacity // length))
                 gaps[capacity] = [(opened, fresh)]
+                sizes.append(capacity)
                 opened += fresh
-                continue
             shrunk: dict[int, list[tuple[int, int]]] = {}
-            for gap in wanted:
-                runs = gaps.pop(gap)
+            end = at
+            while end < len(sizes) and left:
+                gap = sizes[end]
+                runs = gaps[gap]
                 while runs and left:
                     first, n = runs.pop()
                     take = min(n, left)
@@ -175,15 +188,15 @@ def plan_sweeps(counts: dict[int, int], capacity: int) -> np.ndarray:
                     if take < n:
                         runs.append((first + take, n - take))
                 if runs:
-                    gaps[gap] = runs
-                if not left:
                     break
+                del gaps[gap]
+                end += 1
+            del sizes[at:end]
             for gap, runs in shrunk.items():
                 if gap:
-                    gaps.setdefault(gap, []).extend(runs)
-            for gap in shrunk:
-                if gap in gaps:
-                    gaps[gap] = _joined(gaps[gap])
+                    if gap not in gaps:
+                        insort(sizes, gap)
+                    gaps[gap] = _joined(gaps.get(gap, []) + runs)
     return np.array(plan, np.int64).reshape(-1, 5)
 
 
@@ -198,8 +211,84 @@ def _joined(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-#: Groups that pieces of one length are ranked in.
-RANK_GROUPS = 256
+def sweep(lengths: np.ndarray, gaps: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sequence of each piece, its offset, gap of each sequence) after the sweeps of one stripe.
+
+    The first sequences are those of ``gaps``; new ones come behind them.
+    """
+    order = np.argsort(gaps, kind="stable")  # sequences of a gap become a run
+    size, at, n = np.unique(gaps[order], return_index=True, return_counts=True)
+    runs = {g: [(a, m)] for g, a, m in zip(size.tolist(), at.tolist(), n.tolist(), strict=True)}
+    length, count = np.unique(lengths, return_counts=True)
+    plan = plan_sweeps(dict(zip(length.tolist(), count.tolist(), strict=True)), capacity, runs, len(gaps))
+    plan = plan[np.lexsort((plan[:, 1], plan[:, 0]))]
+    many = plan[:, 2]
+    within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    piece = np.argsort(lengths, kind="stable")  # by length and then by rank, as the plan
+    sequence, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
+    sequence[piece] = np.repeat(plan[:, 3], many) + within
+    offset[piece] = np.repeat(plan[:, 4], many)
+    total = max(len(gaps), int(sequence.max(initial=-1)) + 1)
+    left = np.full(total, capacity, np.int64)
+    left[: len(gaps)] = gaps[order]
+    left -= np.bincount(sequence, lengths, minlength=total).astype(np.int64)
+    name = np.arange(total)
+    name[: len(gaps)] = order  # back to the order in which the gaps came
+    back = np.empty(total, np.int64)
+    back[name] = left
+    return name[sequence], offset, back
+
+
+def _stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    """Rows of each stripe, which sorting by the first column has brought together."""
+    current, held = None, []
+    for batch in batches:
+        stripe = batch.column(0).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(np.diff(stripe)) + 1).tolist(), len(stripe)]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if a == b:
+                continue
+            if stripe[a] != current and held:
+                yield int(current), pa.Table.from_batches(held)
+                held = []
+            current = stripe[a]
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield int(current), pa.Table.from_batches(held)
+
+
+def _superstep(pieces: DataFrame, gaps: DataFrame | None, step: int, stripes: int, capacity: int) -> DataFrame:
+    """Places of ``pieces`` (sequence_id, offset) and, as rows without a piece, the gaps after them."""
+    none = F.lit(None)
+    rows = pieces.select(F.lit(False).alias("is_gap"), F.col("length").alias("size"), *PIECE, none.cast("long").alias("sequence_id"))
+    if gaps is not None:
+        kinds = dict(pieces.dtypes)
+        rows = rows.unionByName(gaps.select(F.lit(True).alias("is_gap"), F.col("gap").alias("size"), *[none.cast(kinds[c]).alias(c) for c in PIECE], "sequence_id"))
+    order = ("is_gap", "size", "sequence_id", "doc_id", "piece", "ids_crc32")
+    ranked = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("stripe", F.pmod(F.monotonically_increasing_id(), F.lit(stripes)).cast("long"))
+    dealt = ranked.select("stripe", *rows.columns).repartition(stripes, "stripe").sortWithinPartitions("stripe", *order)
+    kind = pieces.schema["doc_id"].dataType.simpleString()
+    names = [*PIECE, "sequence_id", "offset", "gap"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for stripe, table in _stripes(batches):
+            is_gap = table.column("is_gap").to_numpy()
+            size = table.column("size").to_numpy()
+            sequence, offset, left = sweep(size[~is_gap], size[is_gap], capacity)
+            fresh = (step << 56) + (stripe << 28) + np.arange(len(left))
+            fresh[: is_gap.sum()] = table.column("sequence_id").filter(pa.array(is_gap)).to_numpy()
+            own = table.filter(pa.array(~is_gap)).select([*PIECE]).combine_chunks()
+            open_ = left > 0
+            n = int(open_.sum())
+            made = [*(own.column(c) for c in PIECE), pa.array(fresh[sequence]), pa.array(offset), pa.nulls(len(own), pa.int64())]
+            held = [*(pa.nulls(n, own.schema.field(c).type) for c in PIECE), pa.array(fresh[open_]), pa.nulls(n, pa.int64()), pa.array(left[open_])]
+            for columns in (made, held):
+                yield from pa.Table.from_arrays(columns, names).to_batches(max_chunksize=10_000)
+
+    return dealt.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, gap long")
+
+
+PIECE = ("doc_id", "piece", "start", "length", "ids_crc32")
 
 
 def pack_documents(
@@ -211,37 +300,19 @@ def pack_documents(
     text_col: str = "text",
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    spark = docs.sparkSession
-    pieces = pieces_of(docs, tokenizer_path, capacity, end_id, id_col, text_col)
-    pieces = written(pieces.withColumn("rank_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(RANK_GROUPS)).cast("int")), "pieces")
-
-    sizes = pieces.groupBy("length", "rank_group").count().cache()  # at most capacity * RANK_GROUPS rows
-    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("count").alias("n")).collect()}
-    plan = plan_sweeps(counts, capacity)
-    before = Window.partitionBy("length").orderBy("rank_group").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("length", "rank_group", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("group_start"))
-    within = Window.partitionBy("length", "rank_group").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = pieces.withColumn("in_group", F.row_number().over(within) - 1).join(starts, ["length", "rank_group"])
-    ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("group_start") + F.col("in_group")).alias("rank"))
-
-    held = spark.sparkContext.broadcast(plan)  # its size depends on the capacity alone
-    kind = pieces.schema["doc_id"].dataType.simpleString()
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = held.value
-        rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-        key = rows[:, 0] << 44 | rows[:, 1]
-        for batch in batches:
-            length, rank = (batch.column(k).to_numpy(zero_copy_only=False) for k in (3, 5))
-            at = np.searchsorted(key, (length << 44) | rank, side="right") - 1
-            sequence = rows[at, 3] + rank - rows[at, 1]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in range(5)), pa.array(sequence), pa.array(rows[at, 4])],
-                ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
-            )
-
-    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return ranked.mapInArrow(place, schema).withColumnRenamed("doc_id", id_col)
+    pieces = written(pieces_of(docs, tokenizer_path, capacity, end_id, id_col, text_col), "pieces")
+    stripes = max(1, -(-pieces.count() // STRIPE_ROWS))
+    gaps, done, above = None, [], capacity + 1
+    for step, share in enumerate(BANDS):
+        least = max(1, int(capacity * share))
+        band = pieces.where((F.col("length") >= least) & (F.col("length") < above))
+        moved = written(_superstep(band, gaps, step, stripes, capacity), f"packed{step}")
+        done.append(moved.where("gap is null").select(*PIECE, "sequence_id", "offset"))
+        gaps, above = moved.where("gap is not null").select("sequence_id", "gap"), least
+    packed = done[0]
+    for part in done[1:]:
+        packed = packed.unionByName(part)
+    return packed.withColumnRenamed("doc_id", id_col)
 
 
 def fill_rate(packed: DataFrame, capacity: int = 4096) -> pd.DataFrame:
