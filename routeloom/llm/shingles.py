@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-_SLICE = 4_000_000  # bytes whose words are hashed at a time
+_SLICE = 512_000  # bytes whose words are hashed at a time
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
