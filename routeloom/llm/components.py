@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routeloom.session import written
+from routeloom.session import dropped, tables_written, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -22,20 +22,26 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return tied.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """True if each node has one link to a lesser node, or none and only links from greater ones."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty()
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``links`` (u, v: long); component is the least node.
 
     Links of a node with itself and repeated links do no harm; nodes without a
     link to another do not come back.  An empty table gives no rows.
     """
-    edges = written(links.select("u", "v").where("u is not null and v is not null and u <> v").distinct(), "links")
-    before = None
+    known = links.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    before = tables_written()
+    edges = written(known.distinct(), "links")
     for _ in range(rounds):
-        edges = written(_star(_star(edges, large=True), large=False), "stars")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
+        if _settled(edges):
             break
-        before = state
+        edges = written(_star(_star(edges, large=True), large=False), "stars")
+        dropped(edges.sparkSession, before, keep=1)
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     leaves = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from routeloom.llm.components import components
-from routeloom.session import written
+from routeloom.session import dropped, tables_written, written
 
 _NULL_ID = -(2**63)  # stands for a null id inside joins
 
@@ -203,7 +203,9 @@ def repeated_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_
     distinct = written(
         keyed.groupBy("h", "crc", "length").agg(F.min("doc").alias("doc"), F.count("*").alias("places"), F.max("parity").alias("parity"), *[F.max(n).alias(n) for n in keys]), "distinct"
     )
+    before = tables_written()
     found = components(_linked(docs, distinct, max_edits, id_col, text_col, min_chars)).withColumnRenamed("node", "h")
+    dropped(docs.sparkSession, before, keep=1)  # all but what the components are read from
     marked = distinct.select("h", "crc", "length", "places").join(found, "h", "left").where("places > 1 or component is not null")
     marked = marked.select("h", "crc", "length", F.coalesce("component", "h").alias("c1"), F.when(F.col("component").isNull(), F.struct("crc", "length")).alias("c2"))
     places = written(lines.select("doc", "line_no", "h", "crc", "length").join(marked, ["h", "crc", "length"]).select("doc", "line_no", "c1", "c2"), "places")

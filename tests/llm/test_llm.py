@@ -182,6 +182,47 @@ def test_packing(spark):
     assert len(by_sequence) <= -(-sum(r.length for r in rows) // 64) * 1.1 + 1
 
 
+def best_fit(lengths, capacity):
+    """Sequences that plain best fit, longest first, opens."""
+    gaps = []
+    for x in sorted(lengths, reverse=True):
+        holding = [k for k, g in enumerate(gaps) if g >= x]
+        if holding:
+            gaps[min(holding, key=lambda k: gaps[k])] -= x
+        else:
+            gaps.append(capacity - x)
+    return len(gaps)
+
+
+def test_sweep_is_as_tight_as_best_fit():
+    rng = np.random.default_rng(3)
+    for capacity, most in ((50, 50), (100, 30), (64, 5)):
+        lengths, gaps = rng.integers(1, most + 1, 300), rng.integers(1, capacity, 12)
+        sequence, offset, left = packing.sweep(lengths, gaps, capacity)
+        for k in range(len(left)):
+            at = capacity - gaps[k] if k < len(gaps) else 0
+            for i in sorted(np.flatnonzero(sequence == k), key=lambda i: offset[i]):
+                assert offset[i] == at
+                at += lengths[i]
+            assert at + left[k] == capacity and left[k] >= 0
+        sequence, _, left = packing.sweep(lengths, gaps[:0], capacity)
+        assert len(left) == best_fit(lengths, capacity)
+
+
+def test_packing_in_many_stripes(spark, monkeypatch):
+    monkeypatch.setattr(packing, "STRIPE_ROWS", 40)
+    path = tokenizer_path("word_bpe_49k.json")
+    rng = random.Random(14)
+    texts = [words(rng, rng.randint(1, 30)) for _ in range(390)] + ["same words"] * 10
+    rows = packing.pack_documents(docs_of(spark, texts), path, capacity=128).collect()
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in by_sequence.values():
+        assert [o for o, _ in sorted(parts)] == [0, *itertools.accumulate(n for _, n in sorted(parts))][:-1] and sum(n for _, n in parts) <= 128
+    assert len(rows) >= 400 and len(by_sequence) <= best_fit([r.length for r in rows], 128) + 10
+
+
 def jaccard_components(rows, width, percent):
     sets = {}
     for i, t in rows:
@@ -217,6 +258,7 @@ def test_ngram_join(spark, monkeypatch, width, percent):
     # the same by many small sub-blocks; workers see the changed sizes through the plan alone
     monkeypatch.setattr(ngram_join, "PRODUCT_ROWS", 4)
     monkeypatch.setattr(ngram_join, "PRODUCT_ENTRIES", 100)
+    monkeypatch.setattr(ngram_join, "HUBS", 1)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(d, width, percent).collect()} == want
     assert {r.doc_id for r in ngram_join.keep_one(d, width, percent).collect()} == {i for i, (_, c) in want.items() if i == c}
 
@@ -227,11 +269,13 @@ def test_ngram_join_repeated_and_null_ids(spark):
     assert sorted((r.doc_id or -1, r.component_id) for r in rows) == [(-1, None), (3, 3), (5, 3), (5, 3), (9, 3)]
 
 
-def test_overlaps():
+def test_overlaps(monkeypatch):
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 300, rng.integers(1, 200)).astype(np.uint64)) for _ in range(40)]
     want = [[len(np.intersect1d(a, b)) for b in sets[10:]] for a in sets[:10]]
     assert ngram_join.overlaps(sets[:10], sets[10:]).astype(int).tolist() == want
+    monkeypatch.setattr(ngram_join, "EXPANDED", 50)
+    assert ngram_join.overlaps(sets[:10], sets[10:]).astype(int).tolist() == want
 
 
 def edit_distance(a, b):
