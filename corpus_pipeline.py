@@ -15,7 +15,7 @@ from routeloom.llm.ngram_join import keep_one
 from routeloom.llm.packing import pack_documents
 from routeloom.llm.quality import fit_quality, keep_good
 from routeloom.llm.queries import read, tokenizer_path
-from routeloom.session import ship, written
+from routeloom.session import dropped, ship, tables_written, written
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,10 +59,12 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = read(spark, sf_dir, "documents")
+    before = tables_written()
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = written(docs, f"stage{k}")
+            dropped(spark, before, keep=1)  # tables of the stage and what the stage before left
     return docs
 
 
