@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from routeloom.functions import rect
 from routeloom.session import ship
 
 
@@ -202,16 +203,66 @@ def greedy_cover(support: DataFrame) -> DataFrame:
     return support.select("page", "id", "score", "area", "objects").groupBy("page").applyInPandas(group, "page long, id long, picked_order int, new_objects int")
 
 
-def suppressed_parents(pairs: DataFrame, support: DataFrame, share: float, children: int) -> DataFrame:
-    """Ids of parents whose children (at least ``children``) cover at least ``share`` of the parent's objects.
+def _supports(candidates: DataFrame, support: DataFrame) -> DataFrame:
+    """Candidates with ``n``, how many objects support each; those without any go."""
+    return candidates.join(support.groupBy("id").agg(F.count_distinct("object_id").alias("n")), "id")
 
-    Pairs: (parent, child).  Support: (id, object_id).
+
+def _held_pairs(candidates: DataFrame, support: DataFrame, tolerance: float, smaller: float) -> DataFrame:
+    """(parent, child, parent_n, child_n): candidates of a page that hold a smaller one."""
+    c = _supports(candidates, support).withColumn("area", rect.area(F.col("box")))
+    a, b = c.alias("a"), c.alias("b")
+    test = (F.col("a.page") == F.col("b.page")) & (F.col("a.id") != F.col("b.id")) & (F.col("b.area") < F.col("a.area") * smaller) & rect.contains(F.col("a.box"), F.col("b.box"), tolerance)
+    return a.join(b, test).select(F.col("a.id").alias("parent"), F.col("b.id").alias("child"), F.col("a.n").alias("parent_n"), F.col("b.n").alias("child_n"))
+
+
+def _share(n: str, share: float, least: int) -> Column:
+    return F.greatest(F.lit(least).cast("long"), F.floor(F.col(n) * share))
+
+
+def suppressed_parents(candidates: DataFrame, support: DataFrame) -> DataFrame:
+    """(parent): candidates with at least 6 objects whose strong children have 78 % of as many.
+
+    Candidates: (id, page, box); support: (id, object_id).  A child is smaller than 0.92
+    of the parent and inside it (6 points of slack); it is strong with at least 3 objects
+    and 22 % of the parent's number.  There must be two strong ones.
+    """
+    strong = _held_pairs(candidates, support, 6.0, 0.92).where((F.col("parent_n") >= 6) & (F.col("child_n") >= _share("parent_n", 0.22, 3)))
+    under = strong.join(support.withColumnRenamed("id", "child"), "child").groupBy("parent", "parent_n")
+    d = under.agg(F.count_distinct("object_id").alias("covered"), F.count_distinct("child").alias("children"))
+    return d.where((F.col("children") >= 2) & (F.col("covered") >= _share("parent_n", 0.78, 0))).select("parent")
+
+
+def redundant_parents(selected: DataFrame, support: DataFrame) -> DataFrame:
+    """(parent): selected frames with at least 6 objects of which smaller frames share 68 %.
+
+    A contributor is smaller than 0.88 of the parent, wherever it lies, and shares at
+    least 3 objects and 18 % of the parent's; there must be two.
+    """
+    c = _supports(selected, support).withColumn("area", rect.area(F.col("box")))
+    own = c.join(support, "id").select("id", "object_id", "page", "area", "n")
+    a, b = own.alias("a"), own.alias("b")
+    test = (F.col("a.object_id") == F.col("b.object_id")) & (F.col("a.page") == F.col("b.page")) & (F.col("a.n") >= 6) & (F.col("b.area") < F.col("a.area") * 0.88)
+    both = a.join(b, test).select(F.col("a.id").alias("parent"), F.col("a.n").alias("parent_n"), F.col("b.id").alias("child"), F.col("a.object_id").alias("object_id"))
+    enough = both.groupBy("parent", "parent_n", "child").agg(F.count_distinct("object_id").alias("shared")).where(F.col("shared") >= _share("parent_n", 0.18, 3)).select("parent", "child")
+    d = both.join(enough, ["parent", "child"]).groupBy("parent", "parent_n").agg(F.count_distinct("object_id").alias("covered"), F.count_distinct("child").alias("children"))
+    return d.where((F.col("children") >= 2) & (F.col("covered") >= _share("parent_n", 0.68, 0))).select("parent")
+
+
+def inner_legends(candidates: DataFrame, support: DataFrame) -> DataFrame:
+    """(child): white or blue boxes inside a map frame that has all of their objects and more.
+
+    Candidates: (id, page, box, pale_or_dark, white_or_blue).  The parent is pale or
+    dark-edged, over 1.4 times as large (8 points of slack), and has at least 6 objects
+    and 1.3 times as many as the child.
     """
-    own = support.select(F.col("id").alias("parent"), "object_id")
-    below = pairs.join(support.withColumnRenamed("id", "child"), "child").join(own, ["parent", "object_id"])
-    covered = below.groupBy("parent").agg(F.count_distinct("object_id").alias("covered"), F.count_distinct("child").alias("n"))
-    total = own.groupBy("parent").agg(F.count_distinct("object_id").alias("total"))
-    return covered.join(total, "parent").where((F.col("n") >= children) & (F.col("covered") >= share * F.col("total"))).select("parent")
+    pairs = _held_pairs(candidates, support, 8.0, 1 / 1.4)
+    kind = candidates.select("id", "pale_or_dark", "white_or_blue")
+    pairs = pairs.join(kind.where("pale_or_dark").select(F.col("id").alias("parent")), "parent").join(kind.where("white_or_blue").select(F.col("id").alias("child")), "child")
+    pairs = pairs.where(F.col("parent_n") >= _share("child_n", 1.3, 6))
+    inside = pairs.join(support.withColumnRenamed("id", "child"), "child").join(support.withColumnRenamed("id", "parent"), ["parent", "object_id"])
+    d = inside.groupBy("parent", "child", "child_n").agg(F.count_distinct("object_id").alias("shared"))
+    return d.where("shared = child_n").select("child").distinct()
 
 
 def branch_nodes(edges: DataFrame) -> DataFrame:

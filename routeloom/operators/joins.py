@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from routeloom.functions import geo, rect
+from routeloom.session import written
 
 
 def best_per(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
@@ -16,16 +17,43 @@ def best_per(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
     return ranked.where("_rank = 1").drop("_rank")
 
 
-def assign_container(items: DataFrame, frames: DataFrame, reach: float = 24.0) -> DataFrame:
-    """Each item (item_id, page, x, y) with the frame that holds it, else the nearest within ``reach``.
+def assign_container(items: DataFrame, frames: DataFrame, reach: float = 24.0, cell: float = 256.0) -> DataFrame:
+    """Each item (item_id, page, box) with the frame that holds its centre, else the nearest within ``reach``.
 
-    Frames: (frame_id, frame_page, box).  The least area wins among those that hold
-    the item; among the near ones the least distance, then area.  Items without a
-    frame stay, with nulls.
+    Frames: (frame_id, frame_page, frame_box, score).  Of the frames that hold the centre
+    the least area wins, then the highest score; else the least distance between the
+    boxes, then the area.  Items without a frame stay, with nulls.  Both meet in the
+    grid cells that they cover, so a crowded page is dealt over many tasks.
     """
-    near = items.join(frames, (items["page"] == frames["frame_page"]) & (rect.point_gap(frames["box"], items["x"], items["y"]) <= reach), "left")
-    near = near.withColumn("gap", rect.point_gap(F.col("box"), F.col("x"), F.col("y"))).withColumn("box_area", rect.area(F.col("box")))
-    return best_per(near, ["item_id"], F.col("gap").asc_nulls_last(), F.col("box_area"), F.col("frame_id"))
+    b = F.col("box")
+    cells = lambda low, high: F.sequence(F.floor(low / cell).cast("long"), F.floor(high / cell).cast("long"))
+    put = lambda d, r, slack: d.withColumn("cx", F.explode(cells(r["x0"] - slack, r["x1"] + slack))).withColumn("cy", F.explode(cells(r["y0"] - slack, r["y1"] + slack)))
+    look = put(items.withColumnRenamed("page", "frame_page"), b, 0.0)
+    met = look.join(put(frames, F.col("frame_box"), reach), ["frame_page", "cx", "cy"])
+    held = rect.holds_point(F.col("frame_box"), (b["x0"] + b["x1"]) / 2, (b["y0"] + b["y1"]) / 2)
+    gap = F.when(held, F.lit(-1.0)).otherwise(rect.gap(b, F.col("frame_box")))
+    near = met.withColumn("gap", gap).where(F.col("gap") <= reach).withColumn("box_area", rect.area(F.col("frame_box")))
+    order = [F.col("gap"), F.col("box_area"), F.when(F.col("gap") < 0, -F.col("score")), F.col("frame_id")]
+    best = best_per(near, ["item_id"], *order).select("item_id", "frame_id", F.greatest("gap", F.lit(0.0)).alias("gap"))
+    return items.join(best, "item_id", "left")
+
+
+def parallel_lines(segments: DataFrame) -> DataFrame:
+    """(a, b): long flat auxiliary segments of a page that run beside each other.
+
+    Segments: (id, page, box, length, style).  Both are walk_sub, at least 250 long and at
+    most 20 high; they share 70 % of the lesser width and their middles are at most 4 apart in height.
+    Only lines of neighbouring bands of height meet.
+    """
+    band = F.floor((F.col("box.y0") + F.col("box.y1")) / 8).cast("long")
+    able = segments.where("style = 'walk_sub' and length >= 250 and box.y1 - box.y0 <= 20").select("id", "page", "box", band.alias("band"))
+    a = able.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).alias("a")
+    b = able.alias("b")
+    wide = F.greatest(F.lit(0.0), F.least("a.box.x1", "b.box.x1") - F.greatest("a.box.x0", "b.box.x0"))
+    least = F.least(F.col("a.box.x1") - F.col("a.box.x0"), F.col("b.box.x1") - F.col("b.box.x0"))
+    level = F.abs((F.col("a.box.y0") + F.col("a.box.y1")) / 2 - (F.col("b.box.y0") + F.col("b.box.y1")) / 2)
+    met = a.join(b, (F.col("a.page") == F.col("b.page")) & (F.col("a.band") == F.col("b.band")) & (F.col("a.id") < F.col("b.id")))
+    return met.where((wide >= least * 0.7) & (level <= 4)).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
 
 
 def rect_pairs(left: DataFrame, limit: float) -> DataFrame:
@@ -40,31 +68,41 @@ def nearest_segment(points: DataFrame, segments: DataFrame, cell: float) -> Data
 
     Segments are put into the grid cells of their box; a point looks at its own
     cell and the eight around it, which is right for anything within ``cell``.
-    Points that found nothing so near look again with cells eight times as wide;
-    what is left after the widest grid meets all segments in one cell.  Ties go to
-    the lesser segment id.
+    Points that found nothing so near look again with cells eight times as wide.
+    What a level found and left is written, so no level computes the ones before again.  Ties go to the lesser segment id.
     """
-    box = segments.select("segment_id", "ax", "ay", "bx", "by", F.least("ax", "bx").alias("x0"), F.greatest("ax", "bx").alias("x1"), F.least("ay", "by").alias("y0"), F.greatest("ay", "by").alias("y1"))
-    span = box.agg(F.max(F.greatest(F.abs("x0"), F.abs("x1"), F.abs("y0"), F.abs("y1"))).alias("s")).first()["s"] or 0.0
+    corners = [F.least("ax", "bx"), F.greatest("ax", "bx"), F.least("ay", "by"), F.greatest("ay", "by")]
+    box = segments.select("segment_id", "ax", "ay", "bx", "by", *[c.alias(n) for c, n in zip(corners, ("x0", "x1", "y0", "y1"), strict=True)])
+    ends = box.agg(F.max(F.greatest(F.abs("x0"), F.abs("x1"), F.abs("y0"), F.abs("y1"))).alias("s")).first()["s"]
+    if ends is None:
+        return points.select("point_id", F.lit(None).cast("long").alias("segment_id"), F.lit(None).cast("double").alias("t"), F.lit(None).cast("double").alias("distance")).where("false")
     reach = points.agg(F.max(F.greatest(F.abs("x"), F.abs("y"))).alias("s")).first()["s"] or 0.0
-    found, left, width = None, points, float(cell)
+    done: list[DataFrame] = []
+    left, width = points, float(cell)
     while True:
-        last = width > 2 * (span + reach)
+        last = width > 2 * (ends + reach)
         step = lambda c, w=width: F.floor(F.col(c) / w).cast("long")
         spread = box.withColumn("cx", F.explode(F.sequence(step("x0"), step("x1")))).withColumn("cy", F.explode(F.sequence(step("y0"), step("y1"))))
         ring = F.array(*[F.lit(k) for k in (-1, 0, 1)])
         looking = left.withColumn("dx", F.explode(ring)).withColumn("dy", F.explode(ring))
         looking = looking.withColumn("cx", step("x") + F.col("dx")).withColumn("cy", step("y") + F.col("dy"))
-        met = looking.join(spread, ["cx", "cy"]).select("point_id", "x", "y", "segment_id", geo.segment_offset(*[F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")]).alias("hit"))
-        best = best_per(met.distinct(), ["point_id"], F.col("hit.distance"), F.col("segment_id"))
-        if not last:
-            best = best.where(F.col("hit.distance") <= width)
-        rows = best.select("point_id", "segment_id", F.col("hit.t").alias("t"), F.col("hit.distance").alias("distance"))
-        found = rows if found is None else found.union(rows)
+        hit = geo.segment_offset(*[F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")])
+        met = looking.join(spread, ["cx", "cy"]).select("point_id", "segment_id", hit.alias("hit"))
+        # the least by (distance, id) of a point needs no sort: partial results meet in one aggregate
+        best = met.groupBy("point_id").agg(F.min(F.struct(F.col("hit.distance").alias("distance"), F.col("segment_id").alias("segment_id"), F.col("hit.t").alias("t"))).alias("b"))
+        level = written(left.join(best.select("point_id", "b.*"), "point_id", "left"), "nearest")
+        near = F.coalesce(F.col("distance") <= width, F.lit(False)) if not last else F.lit(True)
+        done.append(level.where(near).select("point_id", "segment_id", "t", "distance"))
         if last:
-            return found
-        left = left.join(rows, "point_id", "left_anti")
+            break
+        left = level.where(~near).select(*points.columns)
+        if left.isEmpty():
+            break
         width *= 8
+    whole = done[0]
+    for part in done[1:]:
+        whole = whole.unionByName(part)
+    return whole
 
 
 def merge_preferred(automatic: DataFrame, manual: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from routeloom.functions import color
@@ -190,3 +190,29 @@ def review_priority(untransformed, total_length, longest_total, has_model, statu
 
 def panel_status(routes, done, reviewed) -> Column:
     return F.when(routes == 0, "empty").when(routes == done, "done").when(reviewed > 0, "reviewed").otherwise("draft")
+
+
+def frame_candidates(rows: DataFrame, page_w: float, page_h: float) -> DataFrame:
+    """Candidates that pass the gates, with ``source_kind``.
+
+    Rows: (w, h, x0, y0, rect_like, complexity, routes, score, pale, dark).  A candidate is
+    at least 90 by 60, touches the page, is like a rectangle or has four items, holds
+    three routes and scores 3.2.  Pale ones are filled regions, else dark ones borders, else
+    plain boxes, which must be like a rectangle; a region that is not like one and wider than
+    0.55 of the page needs some density of routes.
+    """
+    c = F.col
+    kind = F.when(c("pale"), "filled_region").when(c("dark"), "dark_border").otherwise("vector_bbox")
+    on_page = (c("x0") + c("w") >= 0) & (c("y0") + c("h") >= 0) & (c("x0") <= page_w) & (c("y0") <= page_h)
+    d = rows.where((c("w") >= 90) & (c("h") >= 60) & on_page & (c("rect_like") | (c("complexity") >= 4)) & (c("routes") >= 3) & (c("score") >= 3.2)).withColumn("source_kind", kind)
+    thin = (c("source_kind") == "filled_region") & ~c("rect_like") & (c("w") > page_w * 0.55) & (c("routes") / F.greatest(c("w") * c("h"), F.lit(1.0)) < 0.00022)
+    return d.where(~((c("source_kind") == "vector_bbox") & ~c("rect_like")) & ~thin)
+
+
+def edge_line(style: Column, box: Column, length: Column, frame: Column) -> Column:
+    """True for long auxiliary lines that run along an edge of their frame."""
+    wide, high = frame["x1"] - frame["x0"], frame["y1"] - frame["y0"]
+    near = lambda side: F.abs(box[side] - frame[side]) <= 12.0
+    level = (length > F.greatest(F.lit(260.0), wide * 1.15)) & (box["y1"] - box["y0"] <= F.greatest(F.lit(18.0), high * 0.12)) & (near("y1") | near("y0"))
+    upright = (length > F.greatest(F.lit(180.0), high * 1.7)) & (box["x1"] - box["x0"] <= F.greatest(F.lit(18.0), wide * 0.08)) & (near("x0") | near("x1"))
+    return F.coalesce((style == "walk_sub") & (level | upright), F.lit(False))

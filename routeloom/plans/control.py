@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from routeloom.functions import geo
-from routeloom.operators import fit, joins, rules, windows
+from routeloom.operators import fit, joins, lookups, rules, windows
 from routeloom.plans.base import control_points, table, with_
 
 KEYS = ["page_no", "frame_id"]
@@ -142,7 +142,9 @@ def review_queue(spark, sf_dir):
     manual = control_points(spark, sf_dir).where("source = 'manual' and gcp % 3 = 0").select((F.col("page_no") * 5 + F.col("frame_id").cast("long")).alias("unit")).distinct().withColumn("manual", F.lit(True))
     d = g.join(m, "unit", "left").join(manual, "unit", "left").crossJoin(F.broadcast(g.agg(F.max("length").alias("most"))))  # one row
     score, why = rules.review_priority(F.col("untransformed"), F.col("length"), F.col("most"), F.col("status").isNotNull(), F.coalesce("status", F.lit("")), F.coalesce("manual", F.lit(False)))
-    return d.select("unit", "routes", "untransformed", score.alias("score"), F.array_join(why, "|").alias("reasons")).orderBy(F.desc("score"), F.desc("untransformed"), "unit").limit(60)
+    d = d.select("unit", "routes", "untransformed", "length", "status", score.alias("score"), F.array_join(why, "|").alias("reasons"))
+    order = [F.desc("score"), F.desc("untransformed"), F.desc("length"), lookups.quality_rank(F.col("status")).desc(), F.floor(F.col("unit") / 5), F.col("unit")]
+    return d.withColumn("place", F.row_number().over(Window.orderBy(*order))).select("unit", "routes", "untransformed", "score", "reasons", "place")  # a row a frame
 
 
 QUERIES = {f.__name__: f for f in (gcp_merge, scope_expand, fit_similarity, fit_affine, loocv_similarity, fit_projective, fit_poly2, model_select, model_select_all, seam_error, route_transform, review_queue)}
@@ -174,5 +176,5 @@ ORACLES = {
         j AS (SELECT g.*, status, mn.unit IS NOT NULL AS manual, (SELECT max(length) FROM g) AS most FROM g LEFT JOIN md USING (unit) LEFT JOIN mn ON g.unit = mn.unit)
         SELECT unit, routes, untransformed, round(untransformed * 12.0::double + length / most * 25.0::double + CASE WHEN status IS NULL THEN 30 ELSE 0 END + CASE status WHEN 'fail' THEN 25 WHEN 'review' THEN 15 ELSE 0 END + CASE WHEN manual THEN 0 ELSE 20 END, 3) AS score,
         coalesce(nullif(concat_ws('|', CASE WHEN untransformed > 0 THEN 'untransformed_routes=' || untransformed END, CASE WHEN length >= most * 0.5::double THEN 'long_total_route_length' END, CASE WHEN status IS NULL THEN 'frame_model_missing' END, CASE status WHEN 'fail' THEN 'auto_gcp_fail' WHEN 'review' THEN 'auto_gcp_review' END, CASE WHEN NOT manual THEN 'no_manual_gcp' END), ''), 'low_priority') AS reasons
-        FROM j ORDER BY score DESC, untransformed DESC, unit LIMIT 60"""),
+        , row_number() OVER (ORDER BY score DESC, untransformed DESC, length DESC, CASE coalesce(status, '') WHEN 'fail' THEN 3 WHEN 'review' THEN 2 WHEN '' THEN 1 ELSE 0 END DESC, unit // 5, unit)::int AS place FROM j"""),
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from routeloom.functions import rect, text
-from routeloom.operators import graph, joins, rules
+from routeloom.operators import graph, joins, labels, rules
 from routeloom.plans.base import drawings, frames, table, with_
 
 GAP = 34.0
@@ -40,7 +40,7 @@ def top_pages(spark, sf_dir):
 
 
 def frame_score(spark, sf_dir):
-    f = frames(spark, sf_dir).where("id < 400")
+    f = frames(spark, sf_dir)
     d = _classified(spark, sf_dir).where(F.col("class") == rules.ROUTE_CLASS).select(F.col("page").alias("dpage"), "px", "py")
     inside = (F.col("page") == F.col("dpage") % 32) & rect.holds_point(rect.rect(F.col("x0") - 60, F.col("y0") - 60, F.col("x1") + 60, F.col("y1") + 60), F.col("px"), F.col("py"))
     counts = f.join(d, inside).groupBy("id").agg(F.count("*").alias("routes"))
@@ -54,9 +54,9 @@ def frame_score(spark, sf_dir):
 
 
 _SHADE = lambda m: f"((id * {m}) % 101) / 100.0::double"
-_FRAME_SCORE = f""", hits AS (SELECT f.id, count(*) AS routes FROM frames f JOIN classified d ON f.page = d.page % 32 AND d.class = 'red_solid_route' AND d.px BETWEEN x0 - 60 AND x1 + 60 AND d.py BETWEEN y0 - 60 AND y1 + 60 WHERE f.id < 400 GROUP BY 1),
+_FRAME_SCORE = f""", hits AS (SELECT f.id, count(*) AS routes FROM frames f JOIN classified d ON f.page = d.page % 32 AND d.class = 'red_solid_route' AND d.px BETWEEN x0 - 60 AND x1 + 60 AND d.py BETWEEN y0 - 60 AND y1 + 60 GROUP BY 1),
     s AS (SELECT f.id, coalesce(routes, 0) AS routes, x1 - x0 + 120 AS w, y1 - y0 + 120 AS h, CASE WHEN f.id % 3 = 0 THEN 'f' ELSE 's' END AS dt, (f.id % 20) / 10.0::double AS sw, f.id % 5 > 0 AS rl, f.id % 9 AS cx, f.id % 2 = 0 AS hasfill,
-      0.7::double + 0.3::double * {_SHADE(3).replace('id', 'f.id')} AS f1, 0.7::double + 0.3::double * {_SHADE(5).replace('id', 'f.id')} AS f3, 0.6::double * {_SHADE(7).replace('id', 'f.id')} AS s1, 0.6::double * {_SHADE(11).replace('id', 'f.id')} AS s3 FROM frames f LEFT JOIN hits ON f.id = hits.id WHERE f.id < 400),
+      0.7::double + 0.3::double * {_SHADE(3).replace('id', 'f.id')} AS f1, 0.7::double + 0.3::double * {_SHADE(5).replace('id', 'f.id')} AS f3, 0.6::double * {_SHADE(7).replace('id', 'f.id')} AS s1, 0.6::double * {_SHADE(11).replace('id', 'f.id')} AS s3 FROM frames f LEFT JOIN hits ON f.id = hits.id),
     m AS (SELECT *, (f1 + f1 + f3) / 3 AS fm, greatest(f1, f3) - least(f1, f3) AS fs, (s1 + s1 + s3) / 3 AS sm FROM s),
     n AS (SELECT *, hasfill AND fm >= 0.985 AND fs <= 0.03 AS white FROM m)
     SELECT id, routes, round(CASE WHEN hasfill AND least(f1, f3) >= 0.75 AND fm >= 0.82 AND NOT white THEN 3.0 ELSE 0 END + CASE WHEN sm <= 0.28 AND sw >= 1.2 THEN 2.5 WHEN sm <= 0.28 AND sw >= 0.3 THEN 1.5 ELSE 0 END
@@ -83,9 +83,10 @@ _AREA = "(({0}.x1 - {0}.x0) * ({0}.y1 - {0}.y0))"
 
 
 def assign_frame(spark, sf_dir):
-    items = drawings(spark, sf_dir).where("draw % 10 = 0").groupBy("draw", "line").agg(F.min("page").alias("p"), F.min("px").alias("x"), F.min("py").alias("y"))
-    items = items.select((F.col("draw") * 10 + F.col("line")).alias("item_id"), (F.col("p") % 32).alias("page"), "x", "y")
-    f = frames(spark, sf_dir).select(F.col("id").alias("frame_id"), F.col("page").alias("frame_page"), "box")
+    items = drawings(spark, sf_dir).groupBy("draw", "line").agg(F.min("page").alias("p"), F.min("px").alias("x"), F.min("py").alias("y"))
+    box = rect.rect(F.col("x"), F.col("y"), F.col("x") + 6, F.col("y") + 4)
+    items = items.select((F.col("draw") * 10 + F.col("line")).alias("item_id"), (F.col("p") % 32).alias("page"), box.alias("box"))
+    f = frames(spark, sf_dir).select(F.col("id").alias("frame_id"), F.col("page").alias("frame_page"), F.col("box").alias("frame_box"), (F.col("id") % 97).alias("score"))
     return joins.assign_container(items, f).select("item_id", F.coalesce("frame_id", F.lit(-1)).alias("frame_id"), F.round("gap", 6).alias("gap"))
 
 
@@ -104,37 +105,31 @@ def frame_numbering(spark, sf_dir):
 
 
 def _supported(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """((parent, child) pairs, (id, object_id) support): large and small rectangles, and the centres they hold."""
+    """(candidates (id, page, box, pale_or_dark, white_or_blue), support (id, object_id)): widened rectangles, and the centres they hold."""
     f = frames(spark, sf_dir)
-    big = f.where("size > 25").select("id", "page", rect.rect(F.col("x0") - 60, F.col("y0") - 60, F.col("x1") + 60, F.col("y1") + 60).alias("box"))
-    small = f.where("size between 6 and 25").select("id", "page", rect.rect(F.col("x0") - 20, F.col("y0") - 20, F.col("x1") + 20, F.col("y1") + 20).alias("box"))
+    m = F.col("size") * 6.0
+    c = f.select("id", "page", rect.rect(F.col("x0") - m, F.col("y0") - m, F.col("x1") + m, F.col("y1") + m).alias("box"), (F.col("id") % 3 < 2).alias("pale_or_dark"), (F.col("id") % 2 == 0).alias("white_or_blue"))
     dots = f.select(F.col("id").alias("object_id"), F.col("page").alias("p"), ((F.col("x0") + F.col("x1")) / 2).alias("cx"), ((F.col("y0") + F.col("y1")) / 2).alias("cy"))
-    held = big.union(small).join(dots, (F.col("page") == F.col("p")) & rect.holds_point(F.col("box"), F.col("cx"), F.col("cy"))).select("id", "object_id")
-    a, b = big.alias("a"), small.alias("b")
-    pairs = a.join(b, (F.col("a.page") == F.col("b.page")) & rect.contains(F.col("a.box"), F.col("b.box"), 12.0)).select(F.col("a.id").alias("parent"), F.col("b.id").alias("child"))
-    return pairs, held
+    held = c.join(dots, (F.col("page") == F.col("p")) & rect.holds_point(F.col("box"), F.col("cx"), F.col("cy"))).select("id", "object_id")
+    return c, held
 
 
-_SUPPORT = """, big AS (SELECT id, page, x0-60 AS x0, y0-60 AS y0, x1+60 AS x1, y1+60 AS y1 FROM frames WHERE size > 25), small AS (SELECT id, page, x0-20 AS x0, y0-20 AS y0, x1+20 AS x1, y1+20 AS y1 FROM frames WHERE size BETWEEN 6 AND 25),
-    held AS (SELECT c.id, d.id AS o FROM (SELECT * FROM big UNION ALL SELECT * FROM small) c JOIN frames d ON c.page = d.page AND (d.x0 + d.x1) / 2 BETWEEN c.x0 AND c.x1 AND (d.y0 + d.y1) / 2 BETWEEN c.y0 AND c.y1),
-    prs AS (SELECT a.id AS parent, b.id AS child FROM big a JOIN small b ON a.page = b.page AND a.x0 - 12 <= b.x0 AND a.y0 - 12 <= b.y0 AND a.x1 + 12 >= b.x1 AND a.y1 + 12 >= b.y1),
-    tot AS (SELECT id, count(DISTINCT o) AS total FROM held GROUP BY 1),
-    cov AS (SELECT parent, count(DISTINCT h.o) AS covered, count(DISTINCT child) AS n FROM prs JOIN held h ON h.id = child JOIN held p ON p.id = parent AND p.o = h.o GROUP BY 1)"""
+_SUPPORT = """, cand AS (SELECT id, page, x0 - 6.0::double * size AS x0, y0 - 6.0::double * size AS y0, x1 + 6.0::double * size AS x1, y1 + 6.0::double * size AS y1 FROM frames),
+    held AS (SELECT c.id, d.id AS o FROM cand c JOIN frames d ON c.page = d.page AND (d.x0 + d.x1) / 2 BETWEEN c.x0 AND c.x1 AND (d.y0 + d.y1) / 2 BETWEEN c.y0 AND c.y1),
+    sup AS (SELECT c.*, (x1 - x0) * (y1 - y0) AS area, n FROM cand c JOIN (SELECT id, count(DISTINCT o) AS n FROM held GROUP BY 1) USING (id))"""
+_INSIDE = "a.x0 - {0} <= b.x0 AND a.y0 - {0} <= b.y0 AND a.x1 + {0} >= b.x1 AND a.y1 + {0} >= b.y1"
 
 
 def parent_suppress(spark, sf_dir):
-    return graph.suppressed_parents(*_supported(spark, sf_dir), share=0.78, children=2).select(F.col("parent").alias("suppressed"))
+    return graph.suppressed_parents(*_supported(spark, sf_dir)).select(F.col("parent").alias("suppressed"))
 
 
 def redundant_suppress(spark, sf_dir):
-    return graph.suppressed_parents(*_supported(spark, sf_dir), share=0.68, children=1).select(F.col("parent").alias("suppressed"))
+    return graph.redundant_parents(*_supported(spark, sf_dir)).select(F.col("parent").alias("suppressed"))
 
 
 def legend_suppress(spark, sf_dir):
-    pairs, held = _supported(spark, sf_dir)
-    few = held.groupBy("id").agg(F.count("*").alias("n"))
-    d = pairs.join(few.withColumnRenamed("id", "child").withColumnRenamed("n", "inner_n"), "child").join(few.withColumnRenamed("id", "parent").withColumnRenamed("n", "outer_n"), "parent")
-    return d.where("inner_n <= 2 and outer_n >= 3 * inner_n").select(F.col("child").alias("suppressed")).distinct()
+    return graph.inner_legends(*_supported(spark, sf_dir)).select(F.col("child").alias("suppressed"))
 
 
 def rect_components(spark, sf_dir):
@@ -205,13 +200,15 @@ def component_confidence(spark, sf_dir):
     return g.select("component", F.round(total, 4).alias("confidence"), F.array_join(why, "|").alias("reasons"), style.alias("style"))
 
 
+def _flat_segments(spark, sf_dir) -> DataFrame:
+    k = F.col("id")
+    f = frames(spark, sf_dir)
+    box = rect.rect(F.col("x0"), F.col("y0"), F.col("x0") + 20 + 6 * F.col("size"), F.col("y0") + k % 26)
+    return f.select(k, (F.col("page") % 4).alias("page"), box.alias("box"), (200.0 + 5 * F.col("size")).alias("length"), F.when(k % 5 > 0, "walk_sub").otherwise("walk_main").alias("style"))
+
+
 def parallel_duplicates(spark, sf_dir):
-    f = frames(spark, sf_dir).select("id", "page", "box")
-    a, b = f.alias("a"), f.alias("b")
-    wide = F.least("a.box.x1", "b.box.x1") - F.greatest("a.box.x0", "b.box.x0")
-    least = F.least(F.col("a.box.x1") - F.col("a.box.x0"), F.col("b.box.x1") - F.col("b.box.x0"))
-    level = F.abs(F.col("a.box.y0") + F.col("a.box.y1") - F.col("b.box.y0") - F.col("b.box.y1")) / 2
-    return a.join(b, (F.col("a.page") % 4 == F.col("b.page") % 4) & (F.col("a.id") < F.col("b.id")) & (wide >= least * 0.7) & (level <= 4)).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
+    return joins.parallel_lines(_flat_segments(spark, sf_dir))
 
 
 def name_group_top1(spark, sf_dir):
@@ -231,18 +228,31 @@ _NAMES = """, l AS (SELECT id, page, size, (x0 + x1) / 2 AS x, (y0 + y1) / 2 AS
 
 
 def marker_cluster(spark, sf_dir):
-    """Labels with the mean place of the markers next to the nearest one."""
-    f = frames(spark, sf_dir).select("id", "page", ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y1")) / 2).alias("y"))
-    a, b = f.where("id % 5 = 0").alias("a"), f.where("id % 5 > 0").alias("b")
-    gap = F.hypot(F.col("a.x") - F.col("b.x"), F.col("a.y") - F.col("b.y"))
-    near = a.join(b, (F.col("a.page") == F.col("b.page")) & (gap <= 42)).select(F.col("a.id").alias("label"), F.col("b.id").alias("marker"), F.col("b.x").alias("x"), F.col("b.y").alias("y"), F.round(gap, 6).alias("gap"))
-    best = joins.best_per(near, ["label"], F.col("gap"), F.col("marker")).select("label", F.col("x").alias("bx"), F.col("y").alias("by"))
-    d = near.join(best, "label").where(F.hypot(F.col("x") - F.col("bx"), F.col("y") - F.col("by")) <= 30)
-    return d.groupBy("label").agg(F.count("*").alias("markers"), F.round(F.avg("x"), 4).alias("x"), F.round(F.avg("y"), 4).alias("y"))
-
-
-_MARKERS = """, l AS (SELECT id, page, (x0 + x1) / 2 AS x, (y0 + y1) / 2 AS y FROM frames), n AS (SELECT a.id AS label, b.id AS marker, b.x, b.y, round(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)), 6) AS gap FROM l a JOIN l b ON a.page = b.page AND a.id % 5 = 0 AND b.id % 5 > 0 AND sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) <= 42),
-    b AS (SELECT label, x AS bx, y AS by_ FROM n QUALIFY row_number() OVER (PARTITION BY label ORDER BY gap, marker) = 1) SELECT label, count(*) AS markers, round(avg(x), 4) AS x, round(avg(y), 4) AS y FROM n JOIN b USING (label) WHERE sqrt(pow(x - bx, 2) + pow(y - by_, 2)) <= 30 GROUP BY 1"""
+    """Labels with the cluster of small drawings around their best marker."""
+    f, k = frames(spark, sf_dir), F.col("id")
+    x, y = (F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2
+    spots = f.select(k, (F.col("page") % 2).alias("page"), x.alias("x"), y.alias("y"))
+    shade = lambda m: F.array(((k * m) % 10) / 10.0, ((k * 3) % 10) / 10.0, ((k * 7) % 10) / 10.0)
+    half = (k % 20 + 1) / 2.0
+    markers = spots.where("id % 5 > 0").select(
+        k.alias("marker"), "page", "x", "y", rect.rect(F.col("x") - half, F.col("y") - half, F.col("x") + half, F.col("y") + half).alias("box"),
+        F.when(k % 3 == 0, "f").when(k % 3 == 1, "s").otherwise("fs").alias("kind"), F.when(k % 4 > 0, shade(9)).alias("fill"), shade(1).alias("stroke"), (k % 100).alias("items"), (k % 6 == 0).alias("route_like"),
+    )
+    d = labels.snap_to_markers(spots.where("id % 5 = 0").withColumnRenamed("id", "label"), markers)
+    return d.select("label", "marker_found", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"), F.round("marker_box.x1", 4).alias("x1"), "snap_distance", "score", "cluster", "reason")
+
+
+_MARKERS = """, l AS (SELECT id, page % 2 AS page, (x0 + x1) / 2 AS x, (y0 + y1) / 2 AS y, (id % 20 + 1) / 2.0::double AS half FROM frames),
+    p AS (SELECT a.id AS label, b.id AS marker, b.x, b.y, b.half, sqrt(pow(b.x - a.x, 2) + pow(b.y - a.y, 2)) AS d,
+        CASE WHEN b.id % 4 > 0 THEN (((b.id * 9) % 10) / 10.0::double + ((b.id * 3) % 10) / 10.0::double + ((b.id * 7) % 10) / 10.0::double) / 3 ELSE 1.0::double END AS fb, ((b.id % 10) / 10.0::double + ((b.id * 3) % 10) / 10.0::double + ((b.id * 7) % 10) / 10.0::double) / 3 AS sb,
+        CASE WHEN b.id % 4 > 0 THEN ((b.id * 9) % 10) / 10.0::double - (((b.id * 3) % 10) / 10.0::double + ((b.id * 7) % 10) / 10.0::double) / 2 ELSE 0.0::double END AS fr, (b.id % 10) / 10.0::double - (((b.id * 3) % 10) / 10.0::double + ((b.id * 7) % 10) / 10.0::double) / 2 AS sr
+        FROM l a JOIN l b ON a.page = b.page AND a.id % 5 = 0 AND b.id % 5 > 0 AND sqrt(pow(b.x - a.x, 2) + pow(b.y - a.y, 2)) <= 42),
+    s AS (SELECT *, greatest(0.0::double, 40.0::double - d) / 10 + CASE WHEN marker % 3 = 1 THEN 0.2::double ELSE 1.1::double END + CASE WHEN 2 * half <= 12 AND 2 * half >= 1.5 THEN 1.0::double WHEN 2 * half <= 18 THEN 0.4::double ELSE 0 END + CASE WHEN least(fb, sb) < 0.45::double THEN 1.1::double ELSE 0 END
+        + CASE WHEN fr > 0.25::double OR sr > 0.25::double THEN 0.5::double ELSE 0 END + CASE WHEN marker % 100 BETWEEN 2 AND 80 THEN 0.3::double ELSE 0 END - CASE WHEN marker % 6 = 0 THEN 2.2::double ELSE 0 END AS score FROM p),
+    b AS (SELECT label, score AS best, x AS bx, y AS by_ FROM s QUALIFY row_number() OVER (PARTITION BY label ORDER BY score DESC, marker) = 1),
+    c AS (SELECT label, avg(x) AS cx, avg(y) AS cy, max(x + half) AS x1, count(*) AS n FROM s JOIN b USING (label) WHERE best >= 1.25::double AND sqrt(pow(x - bx, 2) + pow(y - by_, 2)) <= 8 AND score >= best - 1.25::double GROUP BY 1)
+    SELECT id AS label, n IS NOT NULL AS marker_found, round(coalesce(cx, x), 4) AS x, round(coalesce(cy, y), 4) AS y, round(x1, 4) AS x1, round(sqrt(pow(coalesce(cx, x) - x, 2) + pow(coalesce(cy, y) - y, 2)), 3) AS snap_distance, round(coalesce(best, 0), 3) AS score,
+      coalesce(n, 0) AS cluster, CASE WHEN best IS NULL THEN 'marker_not_found' WHEN n IS NULL THEN 'marker_score_low' ELSE 'marker_snapped' END AS reason FROM l LEFT JOIN b ON b.label = id LEFT JOIN c ON c.label = id WHERE id % 5 = 0"""
 
 
 def label_roles(spark, sf_dir):
@@ -290,7 +300,7 @@ _MASKS = """, a AS (SELECT DISTINCT page, x0 % 40 AS x, y0 % 40 AS y FROM frames
 
 def problem_and_action(spark, sf_dir):
     c = F.col
-    d = drawings(spark, sf_dir).where("draw % 4 = 0").groupBy("draw", "line").agg(F.min("part").alias("part"))
+    d = drawings(spark, sf_dir).groupBy("draw", "line").agg(F.min("part").alias("part"))
     k = c("draw") + c("line") * 7 + c("part")
     r = lambda m, n=100.0: ((k * m) % 101) / n
     issues = F.array(*[F.lit(x) for x in ("likely_georef_misalignment", "mixed_alignment_or_missing_path", "possible_missing_trail_in_osm", "needs_manual_review")])
@@ -302,7 +312,7 @@ def problem_and_action(spark, sf_dir):
     return d.groupBy("problem", act.alias("action")).agg(F.count("*").alias("routes"))
 
 
-_PROBLEM = """, g AS (SELECT draw, line, draw + line * 7 + min(part) AS k FROM drawings WHERE draw % 4 = 0 GROUP BY draw, line),
+_PROBLEM = """, g AS (SELECT draw, line, draw + line * 7 + min(part) AS k FROM drawings GROUP BY draw, line),
     v AS (SELECT k % 5 = 0 AS ok, k % 6 = 0 AS branched, k % 4 AS chains, k % 2 = 0 AS side, ((k*3)%101)/100.0::double AS prec, ((k*5)%101)/100.0::double AS rec, ((k*7)%101)/400.0::double AS iou, ['likely_georef_misalignment','mixed_alignment_or_missing_path','possible_missing_trail_in_osm','needs_manual_review'][k % 4 + 1] AS issue,
       ((k*11)%101)/500.0::double AS failed, ((k*13)%101)/100.0::double AS snapped, k % 9 = 0 AS edge, k % 10 = 0 AS small, ((k*17)%101)::double AS p90, ((k*19)%101)::double AS longest, k % 3 > 0 AS control FROM g),
     p AS (SELECT *, CASE WHEN ok THEN 'correct_extraction_but_georef_or_osm_issue' WHEN branched THEN 'wrong_merge' WHEN chains > 1 THEN 'broken_chain' WHEN side AND edge THEN 'frame_assignment_error' WHEN side AND prec < 0.16 AND rec < 0.08 THEN 'legend_or_label_noise'
@@ -322,7 +332,7 @@ def panel_status(spark, sf_dir):
 
 def reason_join(spark, sf_dir):
     k = F.col("draw") + F.col("line")
-    d = drawings(spark, sf_dir).where("draw % 20 = 0").select("draw", "line").distinct()
+    d = drawings(spark, sf_dir).select("draw", "line").distinct()
     first = F.when(k % 3 == 0, "missing_frame_id|frame_model_missing").when(k % 3 == 1, "route_not_transformed")
     d = d.select("draw", "line", text.add_reason(first, "route_not_transformed", "|").alias("reasons"))
     return d.withColumn("sorted_reasons", F.array_join(F.sort_array(F.split("reasons", "[|]")), ","))
@@ -341,14 +351,20 @@ ORACLES = {
     "top_pages": with_(_D, CLASSIFIED + " SELECT page, round(sum(round(path, 2)), 1) AS total_length, count(*) AS objects FROM classified GROUP BY 1 ORDER BY 2 DESC, 3 DESC, 1 LIMIT 25"),
     "frame_score": with_("drawings frames", CLASSIFIED + _FRAME_SCORE),
     "rect_pairs_iou": with_(_F, f" SELECT a.id AS a, b.id AS b, round({_BOTH} / ({_AREA.format('a')} + {_AREA.format('b')} - {_BOTH}), 6) AS iou, round({_BOTH} / {_AREA.format('a')}, 6) AS overlap FROM frames a JOIN frames b ON a.page = b.page AND a.id < b.id AND {_GAP_SQL} <= 0"),
-    "assign_frame": with_("drawings frames", """, items AS (SELECT draw * 10 + line AS item_id, min(page) % 32 AS page, min(px) AS x, min(py) AS y FROM drawings WHERE draw % 10 = 0 GROUP BY draw, line),
-        m AS (SELECT item_id, id, (x1-x0)*(y1-y0) AS area, sqrt(pow(greatest(0, x0 - x, x - x1), 2) + pow(greatest(0, y0 - y, y - y1), 2)) AS gap FROM items i LEFT JOIN frames f ON i.page = f.page AND sqrt(pow(greatest(0, x0 - x, x - x1), 2) + pow(greatest(0, y0 - y, y - y1), 2)) <= 24)
-        SELECT item_id, coalesce(id, -1) AS frame_id, round(gap, 6) AS gap FROM m QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY gap NULLS LAST, area, id) = 1"""),
+    "assign_frame": with_("drawings frames", """, items AS (SELECT draw * 10 + line AS item_id, min(page) % 32 AS page, min(px) AS x, min(py) AS y FROM drawings GROUP BY draw, line),
+        j AS (SELECT item_id, id, id % 97 AS score, (x1-x0)*(y1-y0) AS area, x + 3 BETWEEN x0 AND x1 AND y + 2 BETWEEN y0 AND y1 AS held, sqrt(pow(greatest(0, x0 - x - 6, x - x1), 2) + pow(greatest(0, y0 - y - 4, y - y1), 2)) AS gap
+            FROM items i JOIN frames f ON i.page = f.page AND x0 - x - 6 <= 24 AND x - x1 <= 24 AND y0 - y - 4 <= 24 AND y - y1 <= 24),
+        m AS (SELECT item_id, id, CASE WHEN held THEN 0.0::double ELSE gap END AS gap FROM j WHERE held OR gap <= 24 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY NOT held, CASE WHEN NOT held THEN gap END, area, CASE WHEN held THEN -score END, id) = 1)
+        SELECT item_id, coalesce(id, -1) AS frame_id, round(gap, 6) AS gap FROM items LEFT JOIN m USING (item_id)"""),
     "overlap_assign": with_(_F, f", m AS (SELECT a.id AS label, b.id AS frame_id, {_BOTH} / {_AREA.format('a')} AS share FROM frames a JOIN frames b ON a.page = b.page AND a.size <= 12 AND b.size > 12) SELECT label, frame_id, round(share, 6) AS share FROM m WHERE share >= 0.25 QUALIFY row_number() OVER (PARTITION BY label ORDER BY m.share DESC, frame_id) = 1"),
     "frame_numbering": with_(_F, " SELECT id, printf('%03d_f%02d', page, row_number() OVER (PARTITION BY page ORDER BY y0, x0, (x1-x0)*(y1-y0) DESC, id)) AS frame_name FROM frames"),
-    "parent_suppress": with_(_F, _SUPPORT + " SELECT parent AS suppressed FROM cov JOIN tot ON tot.id = parent WHERE n >= 2 AND covered >= 0.78::double * total"),
-    "redundant_suppress": with_(_F, _SUPPORT + " SELECT parent AS suppressed FROM cov JOIN tot ON tot.id = parent WHERE n >= 1 AND covered >= 0.68::double * total"),
-    "legend_suppress": with_(_F, _SUPPORT + ", few AS (SELECT id, count(*) AS n FROM held GROUP BY 1) SELECT DISTINCT child AS suppressed FROM prs JOIN few i ON i.id = child JOIN few o ON o.id = parent WHERE i.n <= 2 AND o.n >= 3 * i.n"),
+    "parent_suppress": with_(_F, _SUPPORT + f""", st AS (SELECT a.id AS parent, a.n AS pn, b.id AS child FROM sup a JOIN sup b ON a.page = b.page AND a.id <> b.id AND b.area < a.area * 0.92::double AND {_INSIDE.format(6)} WHERE a.n >= 6 AND b.n >= 3 AND b.n >= floor(a.n * 0.22::double))
+        SELECT parent AS suppressed FROM st JOIN held h ON h.id = child GROUP BY parent, pn HAVING count(DISTINCT child) >= 2 AND count(DISTINCT o) >= floor(pn * 0.78::double)"""),
+    "redundant_suppress": with_(_F, _SUPPORT + """, sh AS (SELECT a.id AS parent, a.n AS pn, b.id AS child, h.o FROM sup a JOIN sup b ON a.page = b.page AND a.n >= 6 AND b.area < a.area * 0.88::double JOIN held h ON h.id = a.id JOIN held k ON k.id = b.id AND k.o = h.o),
+        en AS (SELECT parent, child FROM sh GROUP BY parent, child, pn HAVING count(DISTINCT o) >= greatest(3, floor(pn * 0.18::double)))
+        SELECT parent AS suppressed FROM sh JOIN en USING (parent, child) GROUP BY parent, pn HAVING count(DISTINCT child) >= 2 AND count(DISTINCT o) >= floor(pn * 0.68::double)"""),
+    "legend_suppress": with_(_F, _SUPPORT + f""" SELECT DISTINCT b.id AS suppressed FROM sup a JOIN sup b ON a.page = b.page AND a.id <> b.id AND a.area > b.area * 1.4::double AND {_INSIDE.format(8)}
+        WHERE a.id % 3 < 2 AND b.id % 2 = 0 AND a.n >= greatest(6, floor(b.n * 1.3::double)) AND NOT EXISTS (SELECT 1 FROM held x WHERE x.id = b.id AND x.o NOT IN (SELECT o FROM held y WHERE y.id = a.id))"""),
     "rect_components": with_(_F, f""", e AS (SELECT a.id AS a, b.id AS b FROM frames a JOIN frames b ON a.page = b.page AND a.id <> b.id AND {_GAP_SQL} <= {GAP}),
         r AS (SELECT id AS node, id AS reach FROM frames UNION SELECT r.node, e.b FROM r JOIN e ON r.reach = e.a), c AS (SELECT node, min(reach) AS component FROM r GROUP BY 1)
         SELECT component, count(*) AS members, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM c JOIN frames ON id = node GROUP BY 1""", recursive=True),
@@ -358,7 +374,8 @@ ORACLES = {
         SELECT component, round(least(greatest(mean - CASE WHEN n % 3 > 0 THEN 0.10::double ELSE 0 END - CASE WHEN n % 4 > 1 THEN 0.07::double ELSE 0 END - CASE WHEN component % 5 = 0 THEN 0.08::double ELSE 0 END - CASE WHEN low THEN 0.06::double ELSE 0 END - CASE WHEN component % 7 = 0 THEN 0.12::double ELSE 0 END - CASE WHEN component % 11 = 0 THEN 0.10::double ELSE 0 END, 0), 0.98::double), 4) AS confidence,
         concat_ws('|', CASE WHEN n % 3 > 0 THEN 'branching_component' END, CASE WHEN n % 4 > 1 THEN 'multi_chain_component' END, CASE WHEN component % 5 = 0 THEN 'fallback_frame' END, CASE WHEN low THEN 'contains_low_confidence_segment' END, CASE WHEN component % 7 = 0 THEN 'frame_assignment_error' END, CASE WHEN component % 11 = 0 THEN 'extra_segment' END) AS reasons,
         CASE WHEN routes * 2 >= n THEN 'walk_main' ELSE 'unknown_red' END AS style FROM g"""),
-    "parallel_duplicates": with_(_F, " SELECT a.id AS a, b.id AS b FROM frames a JOIN frames b ON a.page % 4 = b.page % 4 AND a.id < b.id AND least(a.x1, b.x1) - greatest(a.x0, b.x0) >= least(a.x1 - a.x0, b.x1 - b.x0) * 0.7::double AND abs(a.y0 + a.y1 - b.y0 - b.y1) / 2 <= 4"),
+    "parallel_duplicates": with_(_F, """, g AS (SELECT id, page % 4 AS page, x0, y0, x0 + 20 + 6 * size AS x1, y0 + id % 26 AS y1 FROM frames WHERE id % 5 > 0 AND 200 + 5 * size >= 250 AND id % 26 <= 20)
+        SELECT a.id AS a, b.id AS b FROM g a JOIN g b ON a.page = b.page AND a.id < b.id AND greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) >= least(a.x1 - a.x0, b.x1 - b.x0) * 0.7::double AND abs((a.y0 + a.y1) / 2 - (b.y0 + b.y1) / 2) <= 4"""),
     "name_group_top1": with_(_F, _NAMES),
     "marker_cluster": with_(_F, _MARKERS),
     "label_roles": """SELECT p_partkey AS label_id, CASE p_partkey % 5 WHEN 0 THEN 'temple_number' WHEN 1 THEN 'bekkaku_number' ELSE CASE WHEN p_partkey % 4 IN (1, 2) AND p_partkey % 5 = 2 THEN 'temple_reading' WHEN p_partkey % 4 IN (1, 2) AND p_partkey % 5 = 3 THEN 'temple_name' WHEN p_partkey % 4 <> 0 THEN 'colored_label' ELSE 'other' END END AS role,
@@ -369,5 +386,5 @@ ORACLES = {
     "panel_status": """WITH o AS (SELECT o_custkey % 300 AS panel, count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS done, count(*) FILTER (o_orderstatus = 'P') AS reviewed FROM orders GROUP BY 1)
         SELECT p.panel, CASE WHEN n IS NULL THEN 'empty' WHEN n = done THEN 'done' WHEN reviewed > 0 THEN 'reviewed' ELSE 'draft' END AS status FROM (SELECT DISTINCT c_custkey % 310 AS panel FROM customer) p LEFT JOIN o USING (panel)""",
     "reason_join": """SELECT DISTINCT l_orderkey AS draw, l_linenumber AS line, CASE WHEN (l_orderkey + l_linenumber) % 3 = 0 THEN 'missing_frame_id|frame_model_missing|route_not_transformed' ELSE 'route_not_transformed' END AS reasons,
-        CASE WHEN (l_orderkey + l_linenumber) % 3 = 0 THEN 'frame_model_missing,missing_frame_id,route_not_transformed' ELSE 'route_not_transformed' END AS sorted_reasons FROM lineitem WHERE l_orderkey % 20 = 0""",
+        CASE WHEN (l_orderkey + l_linenumber) % 3 = 0 THEN 'frame_model_missing,missing_frame_id,route_not_transformed' ELSE 'route_not_transformed' END AS sorted_reasons FROM lineitem""",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from routeloom.plans import control, pages, routes, strokes
+from routeloom.plans import control, pages, routes, strokes, workflow
 
-QUERIES = {**control.QUERIES, **routes.QUERIES, **pages.QUERIES, **strokes.QUERIES}
-ORACLES = {**control.ORACLES, **routes.ORACLES, **pages.ORACLES, **strokes.ORACLES}
+QUERIES = {**control.QUERIES, **routes.QUERIES, **pages.QUERIES, **strokes.QUERIES, **workflow.QUERIES}
+ORACLES = {**control.ORACLES, **routes.ORACLES, **pages.ORACLES, **strokes.ORACLES, **workflow.ORACLES}

@@ -130,11 +130,11 @@ def nearest_segment(spark, sf_dir):
     return _near(spark, sf_dir).select(F.col("point_id").alias("event_id"), F.round("distance", 6).alias("distance"))
 
 
-SNAP_REACH = 60.0
+SNAP_REACH = 35.0
 # Road classes that a sample may snap to.
 SNAP_CLASSES = (
-    "residential", "living_street", "service", "unclassified", "tertiary", "tertiary_link", "secondary", "secondary_link", "primary",
-    "primary_link", "pedestrian", "footway", "path", "track", "steps", "cycleway", "bridleway", "road",
+    "motorway_link", "trunk_link", "primary", "primary_link", "secondary", "secondary_link", "tertiary", "tertiary_link", "unclassified",
+    "residential", "service", "living_street", "pedestrian", "footway", "path", "track", "cycleway", "steps",
 )
 FOOT_CLASSES = ("footway", "path", "track", "steps", "pedestrian", "cycleway")
 
@@ -143,7 +143,7 @@ def road_summary(spark, sf_dir):
     d = _near(spark, sf_dir).join(F.broadcast(_segments(spark, sf_dir).select("segment_id", "highway")), "segment_id")
     d = d.join(points(spark, sf_dir).select(F.col("event_id").alias("point_id"), "user_id"), "point_id")
     snapped = (F.col("distance") <= SNAP_REACH) & F.col("highway").isin(*SNAP_CLASSES)
-    far = F.col("distance") > 100
+    far = F.col("distance") > 50
     s = d.groupBy("user_id").agg(
         F.count("*").alias("samples"), F.avg("distance").alias("mean_d"), F.max("distance").alias("max_d"), F.avg(snapped.cast("double")).alias("ratio"),
         F.count_if(far).alias("far"), F.count_if(far & F.col("highway").isin(*FOOT_CLASSES)).alias("foot"),
@@ -216,8 +216,8 @@ ORACLES = {
     "nearest_rank_percentile": "SELECT user_id, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.9) AS p90, quantile_disc(value, 0.95) AS p95 FROM events GROUP BY 1",
     "best_confidence_dedupe": "SELECT user_id, event_id % 20 AS slot, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_id % 20 ORDER BY value DESC, event_id) = 1",
     "nearest_segment": with_("points", _SEG + " SELECT event_id, round(distance, 6) AS distance FROM near"),
-    "road_summary": with_("points", _SEG + """, r AS (SELECT user_id, count(*) AS samples, avg(distance) AS mean_d, max(distance) AS max_d, avg((distance <= 60 AND highway <> 'motorway')::int::double) AS ratio,
-        count(*) FILTER (distance > 100) AS far, count(*) FILTER (distance > 100 AND highway IN ('path','track','footway')) AS foot FROM near GROUP BY 1)
+    "road_summary": with_("points", _SEG + """, r AS (SELECT user_id, count(*) AS samples, avg(distance) AS mean_d, max(distance) AS max_d, avg((distance <= 35 AND highway <> 'motorway')::int::double) AS ratio,
+        count(*) FILTER (distance > 50) AS far, count(*) FILTER (distance > 50 AND highway IN ('path','track','footway')) AS foot FROM near GROUP BY 1)
         SELECT user_id, samples, round(mean_d, 3) AS mean_distance, round(max_d, 3) AS max_distance, round(ratio, 4) AS snap_ratio, CASE WHEN max_d - 120 > 100 THEN 'likely_georef_misalignment'
         WHEN far > 0 AND foot >= greatest(1, far // 2) THEN 'possible_missing_trail_in_osm' WHEN ratio < 0.6 THEN 'mixed_alignment_or_missing_path' ELSE 'needs_manual_review' END AS likely_issue FROM r"""),
     "adopt_candidate": with_("points", " " + _GATES),

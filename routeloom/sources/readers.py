@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import html
+import io
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,15 +29,18 @@ def as_int(c: Column) -> Column:
 
 
 def read_encoded_rows(spark: SparkSession, path: str, encoding: str = "cp932") -> DataFrame:
-    """(row_no, cells) of a CSV in an encoding that Spark's reader lacks; bad bytes are replaced, the header goes."""
+    """(row_no, cells) of a CSV in an encoding that Spark's reader lacks.
 
-    @F.pandas_udf(StringType())
-    def decoded(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda b: bytes(b).decode(encoding, "replace"))
+    Bad bytes are replaced; the header and empty records go.  ``row_no`` counts
+    records from 1, however many lines a quoted cell takes.  A file is one record here: such files are lists of places.
+    """
+
+    @F.pandas_udf("array<array<string>>")
+    def records(raw: pd.Series) -> pd.Series:
+        return raw.map(lambda b: [r for r in csv.reader(io.StringIO(bytes(b).decode(encoding, "replace"), newline="")) if r][1:])
 
-    files = spark.read.format("binaryFile").load(path).select(decoded("content").alias("text"))
-    lines = files.select(F.posexplode(F.split(F.regexp_replace("text", "\r\n?", "\n"), "\n")).alias("row_no", "line")).where("row_no > 0 and line <> ''")
-    return lines.select("row_no", F.split("line", ",").alias("cells"))
+    files = spark.read.format("binaryFile").load(path).select(records("content").alias("rows"))
+    return files.select(F.posexplode("rows").alias("at", "cells")).select((F.col("at") + 1).alias("row_no"), "cells")
 
 
 def read_matches(spark: SparkSession, path: str, pattern: str, names: list[str]) -> DataFrame:
@@ -60,16 +65,26 @@ def read_geojson(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return f.select(F.col("f.properties").alias("properties"), kind.alias("geometry_type"), points.alias("lines"))
 
 
-def read_anchor_files(spark: SparkSession, folder: str) -> DataFrame:
-    """One row a file: path, parsed anchors, and status (invalid_json, no_anchor, no_page_height, variant_filename, imported)."""
+def read_anchor_files(spark: SparkSession, folder: str, heights: DataFrame | None = None) -> DataFrame:
+    """One row a file: path, its anchors, and status.
+
+    Status, the first that holds: invalid_json, skipped_variant (its name is not that of
+    its page and frame), skipped_no_frame_anchor (no point has the role), skipped_no_page_height
+    (neither the file nor ``heights``, (page_no, page_height), has one), imported.
+    """
     raw = spark.read.text(folder, wholetext=True, pathGlobFilter="*.json").select(F.input_file_name().alias("path"), F.from_json("value", ANCHORS).alias("a"))
-    good = F.filter(F.coalesce("a.gcps", F.array().cast("array<struct<index:int,name:string,role:string,pdf_x:double,pdf_y:double,raw_pdf_y_top_left:double,longitude:double,latitude:double>>")), lambda g: g["pdf_x"].isNotNull() & g["longitude"].isNotNull() & g["latitude"].isNotNull())
-    raw = raw.withColumn("anchors", good)
-    canonical = F.col("path").rlike(r"page_\d+_\d+_f\d+\.json$")
+    none = F.array().cast("array<struct<index:int,name:string,role:string,pdf_x:double,pdf_y:double,raw_pdf_y_top_left:double,longitude:double,latitude:double>>")
+    given = lambda g: (g["role"] == "frame_anchor") & g["pdf_x"].isNotNull() & g["longitude"].isNotNull() & g["latitude"].isNotNull()
+    raw = raw.select("path", F.col("a.page_no").alias("page_no"), F.col("a.frame_id").alias("frame_id"), F.col("a.page_height_pt").alias("page_height"), F.filter(F.coalesce("a.gcps", none), given).alias("anchors"))
+    if heights is not None:
+        known = heights.withColumnRenamed("page_height", "_height")
+        raw = raw.join(F.broadcast(known), "page_no", "left").withColumn("page_height", F.coalesce("_height", "page_height")).drop("_height")  # a row a page
+    expected = F.format_string("page_%03d_%s.json", F.col("page_no"), F.col("frame_id"))
+    canonical = F.coalesce(F.element_at(F.split("path", "/"), -1) == expected, F.lit(False))
     status = (
-        F.when(F.col("a.page_no").isNull(), "invalid_json").when(~canonical, "variant_filename").when(F.size("anchors") == 0, "no_anchor").when(F.col("a.page_height_pt").isNull(), "no_page_height").otherwise("imported")
+        F.when(F.col("page_no").isNull(), "invalid_json").when(~canonical, "skipped_variant").when(F.size("anchors") == 0, "skipped_no_frame_anchor").when(F.col("page_height").isNull(), "skipped_no_page_height").otherwise("imported")
     )
-    return raw.select("path", F.col("a.page_no").alias("page_no"), F.col("a.frame_id").alias("frame_id"), F.col("a.page_height_pt").alias("page_height"), "anchors", status.alias("status"), canonical.alias("canonical"))
+    return raw.select("path", "page_no", "frame_id", "page_height", "anchors", status.alias("status"), canonical.alias("canonical"))
 
 
 def best_anchor_files(files: DataFrame) -> DataFrame:
