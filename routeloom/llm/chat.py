@@ -16,7 +16,8 @@ Template, per turn: ``<|im_start|>role NEWLINE text<|im_end|>NEWLINE``.  Inside
 role and text a backslash is doubled and ``<|`` becomes ``<\\|``, so control
 strings there cannot be taken for marks, and ``unescape`` undoes it exactly.
 
-Defined results: null texts and roles are empty; an event for a message that
+Defined results: null texts and roles are empty; events of any other kind, or
+without one, change nothing; an event for a message that
 was never opened opens it as ``assistant``; events with equal ``seq`` are taken
 by kind (message, regenerate, edit, delta) and then by text; repeated ``message``
 events are separate turns; a null conversation id is a conversation of its own.
@@ -29,7 +30,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from routeloom.session import ship
@@ -57,27 +58,27 @@ def unescape_role(role: str) -> str:
 
 
 def fold_events(events: DataFrame) -> DataFrame:
-    """Final messages (conv_id, seq, role, text) of a log with ``EVENT_COLUMNS``."""
+    """Final messages (conv_id, seq, role, text) of a log with ``EVENT_COLUMNS``.
+
+    Each event belongs to the message opened last before it.  Of a message the deltas
+    after its last edit or regeneration are joined in order, in one step, so the work
+    grows with the length of the stream.
+    """
     order = F.element_at(F.create_map(*[F.lit(x) for kv in (("message", 0), ("regenerate", 1), ("edit", 2), ("delta", 3)) for x in kv]), F.col("kind"))
     text, role = F.coalesce("text", F.lit("")), F.coalesce("role", F.lit(""))
-    event = F.struct(F.col("seq").alias("seq"), order.alias("o"), text.alias("text"), role.alias("role"))
-    grouped = events.groupBy("conv_id", "message_id").agg(F.sort_array(F.collect_list(event)).alias("events"))
-    empty = F.array().cast("array<struct<seq:bigint,role:string,text:string>>")
-
-    def step(done, e):
-        last = F.element_at(done, -1)
-        opened = F.struct(e["seq"].cast("long").alias("seq"), e["role"].alias("role"), e["text"].alias("text"))
-        orphan = F.struct(e["seq"].cast("long").alias("seq"), F.lit("assistant").alias("role"), e["text"].alias("text"))
-        said = F.when(e["o"] == 3, F.concat(last["text"], e["text"])).when(e["o"] == 2, e["text"]).otherwise(F.lit(""))
-        changed = F.struct(last["seq"].alias("seq"), last["role"].alias("role"), said.alias("text"))
-        return (
-            F.when(e["o"] == 0, F.concat(done, F.array(opened)))
-            .when(F.size(done) == 0, F.array(orphan))
-            .otherwise(F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(changed)))
-        )
-
-    folded = grouped.select("conv_id", F.explode(F.aggregate("events", empty, step)).alias("m"))
-    return folded.select("conv_id", "m.seq", "m.role", "m.text")
+    known = events.select("conv_id", "message_id", F.col("seq").cast("long").alias("seq"), order.alias("o"), text.alias("text"), role.alias("role")).where("o is not null")
+    by_time = Window.partitionBy("conv_id", "message_id").orderBy("seq", "o", "text", "role").rowsBetween(Window.unboundedPreceding, 0)
+    told = known.withColumn("turn", F.count_if(F.col("o") == 0).over(by_time))
+    # what is said from here on stands behind the last event that sets or empties the text
+    told = told.withColumn("life", F.count_if(F.col("o") < 3).over(by_time)).withColumn("at", F.row_number().over(by_time))
+    key = ["conv_id", "message_id", "turn"]
+    lives = told.groupBy(*key, "life").agg(
+        F.min(F.struct("at", "seq", "o", "role")).alias("first"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("o") != 1, F.struct("at", "text")))), lambda e: e["text"]), "").alias("text"),
+    )
+    last = lives.groupBy(*key).agg(F.min("first").alias("first"), F.max_by("text", "life").alias("text"))
+    opened = F.when(F.col("first.o") == 0, F.col("first.role")).otherwise(F.lit("assistant"))
+    return last.select("conv_id", F.col("first.seq").alias("seq"), opened.alias("role"), "text")
 
 
 RENDERED = "part int, formatted string, loss_spans array<struct<start:long,length:long>>, ended boolean"

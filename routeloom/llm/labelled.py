@@ -27,7 +27,9 @@ def class_weights(labels: DataFrame, target: str, rows: int, id_col: str = "doc_
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, target: str, rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """At most ``rows`` labelled documents of each class outside fold 0: (doc_id, text, label).
+    """At most ``rows`` labelled documents of each class outside fold 0: (doc_id, text, label), one row an id.
+
+    Of documents that share an id the text with the least hash is taken, so repeated ids do not pass the bound.
 
     The bound is on labelled rows only; which are taken follows a hash of the id,
     so it does not depend on their order.  The bound thins the larger class, so what
@@ -37,7 +39,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, target: str, rows: int, id
     parts = [marked.where(F.col("label") == k).orderBy("draw", "doc_id").limit(rows) for k in (0, 1)]
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     chosen = parts[0].unionByName(parts[1]).select("doc_id", "label")
-    return texts.join(F.broadcast(chosen), "doc_id")  # at most 2 * rows ids
+    found = texts.join(F.broadcast(chosen), "doc_id")  # at most 2 * rows ids
+    return found.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text").alias("text")))["text"].alias("text")).select("doc_id", "text", "label")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

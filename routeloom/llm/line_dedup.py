@@ -21,8 +21,8 @@ shorter must stand in the longer as it is, moved by no more than the edits allow
 Linked lines form classes (connected components), and of a class the first line
 in order of (doc_id, line number) stays.
 
-Lines of fewer than ``min_chars`` characters (headings, marks) are not linked.  With
-``short_copies`` their exact repeats go as well, blank lines apart; without it they are left alone.
+Lines of fewer than ``min_chars`` characters (headings, marks) are not linked to other lines, but
+their exact repeats go as well, blank lines apart; without ``short_copies`` they are left alone.
 Defined results: a null text has no line, an empty text one empty line; rows with
 the same id count as one document, so a line at the same place of both is no
 repetition; a null id is a document that comes before all others; an empty table
@@ -40,7 +40,7 @@ from routeloom.session import dropped, tables_written, written
 _NULL_ID = -(2**63)  # stands for a null id inside joins
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int, short_copies: bool = False) -> DataFrame:
+def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int, short_copies: bool = True) -> DataFrame:
     """(doc, line_no, line, length, h, crc) of the lines that can be removed."""
     able = F.col("length") >= min_chars
     if short_copies:
@@ -188,7 +188,7 @@ def _linked(docs: DataFrame, distinct: DataFrame, max_edits: int, id_col: str, t
     return full.where(within_edits(F.col("line_u"), F.col("line_v"), max_edits)).select("u", "v")
 
 
-def repeated_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = False) -> DataFrame:
+def repeated_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = True) -> DataFrame:
     """(doc, line_no, first_doc, first_line) of every line of a class of more than one place.
 
     ``first_doc`` and ``first_line`` name the class by its first place.  ``doc`` is the
@@ -220,7 +220,7 @@ def _removed(docs: DataFrame, max_edits: int, min_chars: int, id_col: str, text_
     return lines.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("line_no", "first_doc", "first_line"))).alias("removed"))
 
 
-def line_report(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = False) -> DataFrame:
+def line_report(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = True) -> DataFrame:
     """One row per input row: id, n_lines, n_removed, removed.
 
     ``removed`` lists, in order of lines, ``line=first document:first line``; the right
@@ -235,7 +235,7 @@ def line_report(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col
     return joined.select(F.col("id").alias(id_col), "n_lines", F.size("removed").alias("n_removed"), F.array_join(F.transform("removed", name), ",").alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = True) -> DataFrame:
     """``docs`` with repeated lines taken out of the text.
 
     A document that has no character left but white space, and had one before, goes.

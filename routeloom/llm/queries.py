@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -80,10 +80,28 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    events = rows.select(
-        "conv_id", F.col("turn").alias("seq"), F.col("turn").cast("string").alias("message_id"), F.lit("message").alias("kind"), "role", "text"
-    )
-    return read_back(format_chat(events))
+    return read_back(format_chat(as_log(rows)))
+
+
+def as_log(rows: DataFrame) -> DataFrame:
+    """Turns (conv_id, turn, role, text) as the events of a stream that ends in them.
+
+    User turns come as a draft that is edited; others are streamed, regenerated and
+    streamed again in three deltas; one event is of an unknown kind.
+    """
+    text = F.coalesce("text", F.lit(""))
+    third = F.floor(F.char_length(text) / 3).cast("int")
+    cut = lambda a, n: F.substr(text, a, n)
+    event = lambda k, kind, said: F.struct(F.lit(k).alias("k"), F.lit(kind).alias("kind"), said.alias("text"))
+    draft = F.concat(F.lit("draft "), F.substr(text, F.lit(1), F.lit(8)))
+    streamed = [event(2, "delta", cut(F.lit(1), third)), event(3, "delta", cut(third + 1, third)), event(4, "delta", cut(2 * third + 1, F.char_length(text)))]
+    typed = F.array(event(0, "message", F.lit("")), event(1, "delta", draft), event(2, "edit", text), event(3, "seen", F.lit("x")))
+    made = F.array(event(0, "message", draft), event(1, "regenerate", F.lit("lost")), *streamed)
+    key = F.row_number().over(Window.partitionBy("conv_id", "turn", "role", "text").orderBy(F.lit(0)))  # repeated rows are messages each by itself
+    d = rows.withColumn("copy", key).withColumn("e", F.explode(F.when(F.col("role") == "user", typed).otherwise(made)))
+    name = F.concat_ws("/", F.col("turn").cast("string"), F.col("copy").cast("string"), F.md5(F.concat_ws("/", "role", text)))
+    # what follows a turn in its log comes before the next turn
+    return d.select("conv_id", (F.col("turn").cast("long") * 8 + F.col("e.k")).alias("seq"), name.alias("message_id"), F.col("e.kind").alias("kind"), "role", F.col("e.text").alias("text"))
 
 
 QUERIES = {
@@ -123,10 +141,10 @@ SELECT n.doc_id, n.n::bigint AS n_shingles, min(r.m) AS component_id FROM n JOIN
 
 ORACLES["op7_line_dedup"] = """
 WITH RECURSIVE lines AS (SELECT doc_id, i - 1 AS line_no, l[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
-d AS (SELECT line, length(line) AS n, row_number() OVER (ORDER BY line) AS id FROM (SELECT DISTINCT line FROM lines WHERE length(line) >= 16)),
-near AS (SELECT a.id AS u, b.id AS v FROM d a JOIN d b ON a.id <> b.id AND abs(a.n - b.n) <= 1
+d AS (SELECT line, length(line) AS n, row_number() OVER (ORDER BY line) AS id FROM (SELECT DISTINCT line FROM lines WHERE length(line) >= 16 OR trim(translate(line, chr(9) || chr(13), '  ')) <> '')),
+near AS (SELECT a.id AS u, b.id AS v FROM d a JOIN d b ON a.id <> b.id AND a.n >= 16 AND b.n >= 16 AND abs(a.n - b.n) <= 1
     AND (substr(a.line, 1, (least(a.n, b.n) // 2)) = substr(b.line, 1, (least(a.n, b.n) // 2))) AND levenshtein(a.line, b.line) <= 1
-  UNION SELECT a.id, b.id FROM d a JOIN d b ON a.id <> b.id AND abs(a.n - b.n) <= 1
+  UNION SELECT a.id, b.id FROM d a JOIN d b ON a.id <> b.id AND a.n >= 16 AND b.n >= 16 AND abs(a.n - b.n) <= 1
     AND (right(a.line, least(a.n, b.n) - least(a.n, b.n) // 2) = right(b.line, least(a.n, b.n) - least(a.n, b.n) // 2)) AND levenshtein(a.line, b.line) <= 1),
 r AS (SELECT id, id AS m FROM d UNION SELECT r.id, near.v FROM r JOIN near ON r.m = near.u),
 cl AS (SELECT id, min(m) AS c FROM r GROUP BY 1),

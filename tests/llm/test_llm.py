@@ -334,10 +334,10 @@ def test_line_dedup(spark, k):
         f = first.setdefault(root(places[p]), p)
         if f != p:
             want.setdefault(p[0], []).append(f"{p[1]}={f[0]}:{f[1]}")
-    got = {r.doc_id: r for r in line_dedup.line_report(docs_of(spark, texts), k, 8).collect()}
+    got = {r.doc_id: r for r in line_dedup.line_report(docs_of(spark, texts), k, 8, short_copies=False).collect()}
     assert {i: got[i].removed for i in got} == {i: ",".join(want.get(i, [])) for i in range(len(texts))}
     assert got[0].n_lines == 0 and got[1].n_lines == 1
-    kept = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs_of(spark, texts), k, 8).collect()}
+    kept = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs_of(spark, texts), k, 8, short_copies=False).collect()}
     for i, t in enumerate(texts):
         gone = {int(x.split("=")[0]) for x in want.get(i, [])}
         left = None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone)
@@ -415,6 +415,32 @@ def test_chat_folds_events(spark):
     assert got == [("user", "hello"), ("assistant", "right"), ("assistant", "lost")]
 
 
+def test_chat_unknown_kinds_and_clashing_columns(spark):
+    log = [(1, 1, "m1", "message", "user", "hello"), (1, 2, "m1", "liked", None, "x"), (1, 3, "m1", None, None, "y"), (1, 4, "m2", "seen", "user", "z"), (None, 1, "m1", "message", "user", None), (1, 5, "m1", "message", "user", "again"), (1, 6, "m1", "delta", None, "!")]
+    events = spark.createDataFrame([(*e, "t", "o", 9) for e in log], "conv_id long, seq long, message_id string, kind string, role string, text string, turn string, o string, life int")
+    got = [(r.conv_id, r.seq, r.text) for r in chat.fold_events(events).orderBy("conv_id", "seq").collect()]
+    assert got == [(None, 1, ""), (1, 1, "hello"), (1, 5, "again!")]
+
+
+def test_chat_log_ends_in_its_turns(spark):
+    from routeloom.llm.queries import as_log
+
+    turns = [(1, 0, "user", "hi there"), (1, 1, "assistant", "a long answer"), (1, 1, "assistant", "a long answer"), (1, 2, "user", None), (1, 3, "assistant", ""), (2, 0, "system", "é日")]
+    d = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    assert as_log(d).count() == 2 * 4 + 4 * 5
+    got = sorted((r.conv_id, r.seq // 8, r.role, r.text) for r in chat.fold_events(as_log(d)).collect())
+    assert got == sorted((c, t, r, x or "") for c, t, r, x in turns)
+
+
+def test_training_rows_of_repeated_ids(spark):
+    from routeloom.llm.labelled import training_rows
+
+    d = docs_of(spark, [f"text {k}" for k in range(40)], [k % 4 + 1 for k in range(40)])
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 0), (4, 0), (None, 1)], "doc_id long, quality int")
+    rows = training_rows(d, labels, "quality", 2).collect()
+    assert len(rows) == len({r.doc_id for r in rows}) <= 4
+
+
 def test_components(spark):
     rng = random.Random(9)
     links = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(220)] + [(k, k + 1) for k in range(1000, 1080)] + [(5000, 5000 + k) for k in range(1, 60)] + [(7, 7), (None, 3)]
