@@ -3,23 +3,31 @@
 Vectors become whole numbers, so every score is exact.  Equal vectors are one point
 that keeps its ``k + 1`` least ids: no other can be in an answer.  Points fall into
 cells around pivots and cells into blocks of bounded size; each block of data and
-each group of queries becomes a cover tree, whose nodes have a centre and a covering
-radius.  A pair of nodes (Q, R) can have no score above
+each group of queries becomes a cover tree.  Its levels have radii that halve: the
+children of a node are its own centre and further centres, each more than the level's radius
+from the others (separation), and each point goes to a child within that radius (covering); a single
+point is a node of radius 0.  A pair of nodes (Q, R) can have no score above
 
     <cQ, cR> + rQ |cR| + rR |cQ| + rQ rR
 
-so it is pruned when that is below the worst k-th score of Q's queries.  Each query
+with the true radii, so it is pruned when that is below the worst k-th score of Q's queries.
+Pairs are opened best bound first, all children of Q against all children of R in one
+product; pairs of single points are scores.  Each query
 group first searches the block of its own cell, which gives it k-th scores; then
 only (group, block) pairs whose bound reaches them are searched, and the answers of
 all blocks are merged by (score, least id).
 
 The roots of the blocks are broadcast: at most ``MOST_BLOCKS`` of them, as blocks
-grow with the data beyond that.
+grow with the data beyond that; a large block is dealt into parts of ``BLOCK_POINTS``, each
+a tree of its own, so a task holds no more than that.
 
 Defined results: vectors that are null, empty, or hold a null or a component that is
 not finite take no part, nor do null ids; shorter vectors count as padded with
 zeros; repeated rows are candidates each by itself, and a repeated query id is one
-query for each distinct vector; a query never finds a row of its own id.
+query for each distinct vector; a query never finds a row of its own id.  Components and
+scores are held within the range of a long; sums beyond 2**53 are taken in whole numbers.
+In many dimensions without clusters all points lie about equally far apart: a node then has as many
+children as points, and the search compares all pairs of a (group, block), block by block.
 """
 
 from __future__ import annotations
@@ -34,39 +42,75 @@ from pyspark.sql import functions as F
 
 from routeloom.session import ship, written
 
-PIVOTS, BLOCK_POINTS, GROUP_QUERIES, MOST_BLOCKS = 64, 4_096, 256, 16_384
-LEAF = 256
+PIVOTS, BLOCK_POINTS, GROUP_QUERIES, MOST_BLOCKS = 64, 2_048, 512, 16_384
+_LONG = 2**63 - 1
+
+
+def root_of(vectors: np.ndarray) -> tuple[int, float]:
+    """(centre, covering radius): the point nearest to the mean and how far the others are."""
+    centre = int(np.argmin(((vectors - vectors.mean(axis=0)) ** 2).sum(axis=1)))
+    return centre, float(np.sqrt(((vectors - vectors[centre]) ** 2).sum(axis=1).max()))
 
 
 class Node:
-    """A cover tree node: centre, covering radius, and children or points."""
-
-    __slots__ = ("centre", "children", "length", "points", "radius")
-
-    def __init__(self, vectors: np.ndarray, points: np.ndarray):
-        own = vectors[points]
-        mean = own.mean(axis=0)
-        self.centre = own[np.argmin(((own - mean) ** 2).sum(axis=1))]
-        self.length = float(np.sqrt((self.centre**2).sum()))
-        away = np.sqrt(((own - self.centre) ** 2).sum(axis=1))
-        self.radius = float(away.max())
-        self.points, self.children = points, []
-        if len(points) > LEAF and self.radius > 0:
-            # centres of the next level: far from each other, until all points are
-            # within half of the radius or there are eight of them
-            nearest, owner = away.copy(), np.zeros(len(points), int)
-            centres = [int(np.argmin(away))]
-            while len(centres) < 8 and nearest.max() > self.radius / 2 or len(centres) < 2:
-                centres.append(int(np.argmax(nearest)))
-                d = np.sqrt(((own - own[centres[-1]]) ** 2).sum(axis=1))
-                closer = d < nearest
-                owner[closer] = len(centres) - 1
-                nearest = np.minimum(nearest, d)
-            self.children = [Node(vectors, points[owner == c]) for c in range(len(centres)) if (owner == c).any()]
-
-
-def bound(q: Node, r: Node) -> float:
-    return float(q.centre @ r.centre) + q.radius * r.length + r.radius * q.length + q.radius * r.radius
+    """A cover tree node: its points, and its children's centres, radii and nodes (None for single points)."""
+
+    __slots__ = ("centres", "kids", "lengths", "points", "radii")
+
+    def __init__(self, points: np.ndarray):
+        self.points, self.centres, self.kids = points, points[:1], [None]
+        self.radii = self.lengths = np.zeros(1)
+
+
+def cover_tree(vectors: np.ndarray) -> Node:
+    """The tree of a block: ``len(vectors)`` squared distances each way are held while it is built."""
+    norms = (vectors**2).sum(axis=1)
+    square = np.maximum(norms[:, None] + norms - 2 * vectors @ vectors.T, 0.0)
+    lengths = np.sqrt(norms)
+    centre, radius = root_of(vectors)
+    root = Node(np.arange(len(vectors)))
+    todo = [(root, centre, 2.0 ** np.ceil(np.log2(max(radius, 1.0))))]
+    while todo:
+        node, centre, scale = todo.pop()
+        points = node.points
+        if len(points) == 1:
+            node.lengths = lengths[points]
+            continue
+        centres = [centre]
+        while len(centres) == 1:  # levels at which nothing parts are skipped
+            scale /= 2
+            free = square[centre, points] > scale * scale
+            while free.any():
+                centres.append(int(points[np.argmax(free)]))
+                free &= square[centres[-1], points] > scale * scale
+            if len(centres) == 1 and scale < 0.5:  # whole numbers are further apart: rounding hides it
+                centres = points.tolist()
+        owner = np.arange(len(points)) if len(centres) == len(points) else np.argmin(square[np.ix_(centres, points)], axis=0)
+        if len(centres) == len(points):
+            centres = points.tolist()
+        order = np.argsort(owner, kind="stable")
+        parts = np.split(points[order], np.cumsum(np.bincount(owner, minlength=len(centres)))[:-1])
+        node.centres = np.array([c for c, p in zip(centres, parts, strict=True) if len(p)])
+        parts = [p for p in parts if len(p)]
+        node.kids = [Node(p) if len(p) > 1 else None for p in parts]
+        # a product of two differences in place of the matrix, whose rounding could make a radius too small
+        node.radii = np.array([0.0 if len(p) == 1 else float(np.sqrt(((vectors[p] - vectors[c]) ** 2).sum(axis=1).max())) for c, p in zip(node.centres, parts, strict=True)])
+        node.lengths = lengths[node.centres]
+        todo += [(kid, int(c), scale) for kid, c in zip(node.kids, node.centres, strict=True) if kid is not None]
+    return root
+
+
+def bounds(scores: np.ndarray, q_radii, q_lengths, r_radii, r_lengths) -> np.ndarray:
+    """What no pair of points below the nodes can exceed, for all pairs of nodes whose centres have ``scores``."""
+    return scores + np.outer(q_radii, r_lengths) + np.outer(q_lengths, r_radii) + np.outer(q_radii, r_radii)
+
+
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers: floats where these are exact, else Python numbers held within a long."""
+    if np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(a.shape[1], 1) < 2.0**53:
+        return a @ b.T
+    exact = np.array([[int(x) for x in row] for row in a], object) @ np.array([[int(x) for x in row] for row in b], object).T
+    return np.minimum(np.maximum(exact, -_LONG - 1), _LONG)
 
 
 class Search:
@@ -76,38 +120,58 @@ class Search:
         self.ids, self.queries, self.k = query_ids, queries.astype(float), k
         self.best: list[list[tuple[int, int]]] = [[] for _ in query_ids]  # heaps of (score, -id)
         self.worst = np.full(len(query_ids), -np.inf) if worst is None else worst.astype(float)
-        self.tree = Node(self.queries, np.arange(len(query_ids)))
+        self.tree = cover_tree(self.queries)
+        self.opened = 0
+
+    def least(self, node: Node | None, centre: int) -> float:
+        """What a score must reach to be of use below a node."""
+        worst = self.worst[centre] if node is None else self.worst[node.points].min()
+        return worst - 1e-6 - 1e-12 * abs(worst) if np.isfinite(worst) else worst
 
     def over(self, tree: Node, vectors: np.ndarray, ids: list[list[int]]) -> None:
         """Search one block; ``ids``: those of each point."""
-        count = 0
-        start = [(-bound(self.tree, tree), count, self.tree, tree)]
-        while start:
-            negative, _, q, r = heapq.heappop(start)
-            if -negative < self.worst[q.points].min() - 1e-6:
+        count, heap = 0, [(-np.inf, 0, self.tree, tree)]
+        while heap:
+            negative, _, q, r = heapq.heappop(heap)
+            if -negative < self.least(q, 0):
                 continue
-            if not q.children and not r.children:
-                self._leaves(q, r, vectors, ids)
+            self.opened += 1
+            scores = products(self.queries[q.centres], vectors[r.centres])
+            single_q, single_r = (np.array([kid is None for kid in n.kids]) for n in (q, r))
+            if single_q.any() and single_r.any():
+                self._take(q.centres[single_q], r.centres[single_r], scores[np.ix_(single_q, single_r)], ids)
+            if single_q.all() and single_r.all():
                 continue
-            split_q = q.children and (not r.children or q.radius > r.radius)
-            for a, b in [(c, r) for c in q.children] if split_q else [(q, c) for c in r.children]:
-                limit = bound(a, b)
-                if limit >= self.worst[a.points].min() - 1e-6:
-                    count += 1
-                    heapq.heappush(start, (-limit, count, a, b))
-
-    def _leaves(self, q: Node, r: Node, vectors: np.ndarray, ids: list[list[int]]) -> None:
-        scores = self.queries[q.points] @ vectors[r.points].T
-        some = np.flatnonzero(scores.max(axis=1) >= self.worst[q.points])
-        for row, i in zip(some.tolist(), q.points[some].tolist(), strict=True):
-            good = np.flatnonzero(scores[row] >= self.worst[i])
+            limit = bounds(scores.astype(float), q.radii, q.lengths, r.radii, r.lengths)
+            wanted = np.array([self.least(kid, c) for kid, c in zip(q.kids, q.centres.tolist(), strict=True)])
+            open_ = (limit >= wanted[:, None]) & ~(single_q[:, None] & single_r)
+            # all single points of one side that a node of the other reaches are one pair
+            for j in np.flatnonzero(~single_r & open_[single_q].any(axis=0)).tolist():
+                count += 1
+                some = np.flatnonzero(single_q & open_[:, j])
+                heapq.heappush(heap, (-float(limit[some, j].max()), count, _part(q, some), r.kids[j]))
+            for i in np.flatnonzero(~single_q & open_[:, single_r].any(axis=1)).tolist():
+                count += 1
+                some = np.flatnonzero(single_r & open_[i])
+                heapq.heappush(heap, (-float(limit[i, some].max()), count, q.kids[i], _part(r, some)))
+            for i, j in np.argwhere(open_ & ~single_q[:, None] & ~single_r).tolist():
+                count += 1
+                heapq.heappush(heap, (-float(limit[i, j]), count, q.kids[i], r.kids[j]))
+
+    def _take(self, rows: np.ndarray, points: np.ndarray, scores: np.ndarray, ids: list[list[int]]) -> None:
+        """Scores of single queries and points."""
+        worst = self.worst[rows]
+        slack = np.where(np.isfinite(worst), np.abs(np.where(np.isfinite(worst), worst, 0)) * 1e-12, 0)
+        for row, i in zip(np.flatnonzero(scores.max(axis=1) >= worst - slack).tolist(), rows[scores.max(axis=1) >= worst - slack].tolist(), strict=True):
+            line = scores[row]
+            good = np.flatnonzero(line >= worst[row] - slack[row])
             if len(good) > 4 * self.k:  # only the best k points, and ties with the last of them, can stay
-                last = np.partition(scores[row][good], -self.k - 1)[-self.k - 1]
-                good = good[scores[row][good] >= last]
+                last = np.sort(line[good])[-self.k - 1] if line.dtype == object else np.partition(line[good], -self.k - 1)[-self.k - 1]
+                good = good[line[good] >= last]
             heap, own = self.best[i], int(self.ids[i])
-            for c in good[np.argsort(-scores[row][good], kind="stable")].tolist():
-                score = int(scores[row][c])
-                for other in ids[r.points[c]]:
+            for c in good[np.argsort(-line[good], kind="stable")].tolist():
+                score = int(line[c])
+                for other in ids[points[c]]:
                     if other == own:
                         continue
                     item = (score, -other)
@@ -117,30 +181,38 @@ class Search:
                         heapq.heapreplace(heap, item)
                     else:
                         break
-                if len(heap) == self.k:
-                    self.worst[i] = max(self.worst[i], heap[0][0])
+            if len(heap) == self.k:
+                self.worst[i] = max(self.worst[i], heap[0][0])
 
 
-def _pack(vectors: np.ndarray) -> list[bytes]:
-    return [v.tobytes() for v in vectors.astype("<i4")]
+def _part(node: Node, some: np.ndarray) -> Node:
+    """The node of some children, all of them single points."""
+    part = Node(node.centres[some])
+    part.centres, part.kids = node.centres[some], [None] * len(some)
+    part.radii, part.lengths = node.radii[some], node.lengths[some]
+    return part
 
 
 def _vectors(column: list[bytes]) -> np.ndarray:
-    width = max(map(len, column)) // 4
+    width = max(map(len, column)) // 8
     out = np.zeros((len(column), width))
     for k, raw in enumerate(column):
-        v = np.frombuffer(raw, "<i4")
+        v = np.frombuffer(raw, "<i8")
         out[k, : len(v)] = v
     return out
 
 
+def _raw(numbers: list[int]) -> bytes:
+    return np.array(numbers, "<i8").tobytes()
+
+
 def whole_numbers(df: DataFrame, scale: int, id_col: str, vector_col: str) -> DataFrame:
     """(id, numbers): floor(scale * x) of every usable vector."""
     x = F.col("x")
     good = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.transform(F.col(vector_col), lambda v: v.cast("double")).alias("x"))
     rows = rows.where(F.col("id").isNotNull() & x.isNotNull()).where((F.size("x") > 0) & good)
-    return rows.select("id", F.transform("x", lambda v: F.floor(v * scale).cast("int")).alias("numbers"))
+    return rows.select("id", F.transform("x", lambda v: F.floor(v * scale)).alias("numbers"))
 
 
 def search(df: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -159,12 +231,12 @@ def search(df: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id_col:
     schema = "query_id long, rank int, vec_id long, score long"
     if not pivots:
         return spark.createDataFrame([], schema)
-    near = spark.sparkContext.broadcast(_vectors([np.array(p, "<i4").tobytes() for p in pivots]))
+    near = spark.sparkContext.broadcast(_vectors([_raw(p) for p in pivots]))
 
     def to_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres = near.value
         for batch in batches:
-            raw = [np.array(v, "<i4").tobytes() for v in batch.column(1).to_pylist()]
+            raw = [_raw(v) for v in batch.column(1).to_pylist()]
             if not raw:
                 continue
             v = _vectors(raw)
@@ -179,31 +251,35 @@ def search(df: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id_col:
 
     total = points.count()
     size = max(BLOCK_POINTS, -(-2 * total // MOST_BLOCKS))
-    points = _dealt(points, "point", size, "block")
+    parts = -(-size // BLOCK_POINTS)
+    points = _dealt(points, "point", size, "block").withColumn("part", F.pmod(F.xxhash64("vector", "point"), F.lit(parts)))
     queries = _dealt(queries, "query", GROUP_QUERIES, "query_group")
 
     def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, found in _by_key(batches):
-            root = Node(_vectors([r[1] for r in found]), np.arange(len(found)))
-            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([root.centre.tobytes()], pa.binary()), pa.array([root.radius])], ["block", "centre", "radius"])
+        for (block, part), found in _runs_of(batches, 2):
+            v = _vectors([r[2] for r in found])
+            centre, radius = root_of(v)
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([part]), pa.array([v[centre].tobytes()], pa.binary()), pa.array([radius])], ["block", "part", "centre", "radius"])
 
-    by_block = points.select("block", "vector").repartition("block").sortWithinPartitions("block")
-    tops = [(r["block"], np.frombuffer(bytes(r["centre"]), float), r["radius"]) for r in by_block.mapInArrow(roots, "block long, centre binary, radius double").collect()]
-    known = spark.sparkContext.broadcast(sorted(tops, key=lambda t: t[0]))  # MOST_BLOCKS and PIVOTS rows at most
+    by_part = points.select("block", "part", "vector").repartition("block", "part").sortWithinPartitions("block", "part")
+    tops = by_part.mapInArrow(roots, "block long, part long, centre binary, radius double").collect()
+    known = spark.sparkContext.broadcast(_Roots([(r["block"], r["part"], bytes(r["centre"]), r["radius"]) for r in tops]))  # a row of a few hundred bytes for BLOCK_POINTS points
+
+    plan = "block long, part long, query_group long, vector binary, query long, worst double"
+    names = ["block", "part", "query_group", "vector", "query", "worst"]
+
+    def asking(found: list[tuple], group: int, at: int, worst: list[float]) -> pa.RecordBatch:
+        n, roots = len(found), known.value
+        return pa.RecordBatch.from_arrays(
+            [pa.array([int(roots.blocks[at])] * n), pa.array([int(roots.parts[at])] * n), pa.array([group] * n), pa.array([r[1] for r in found], pa.binary()), pa.array([r[2] for r in found], pa.int64()), pa.array(worst, pa.float64())], names
+        )
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The block with the best bound for each query group."""
-        blocks = known.value
-        for group, found in _by_key(batches):
-            root = Node(_vectors([r[1] for r in found]), np.arange(len(found)))
-            best = max(blocks, key=lambda t: (_root_bound(root, t), -t[0]))
-            n = len(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([best[0]] * n), pa.array([group] * n), pa.array([r[1] for r in found], pa.binary()), pa.array([r[2] for r in found]), pa.array([float("-inf")] * n)],
-                ["block", "query_group", "vector", "query", "worst"],
-            )
-
-    plan = "block long, query_group long, vector binary, query long, worst double"
+        for (group,), found in _runs_of(batches, 1):
+            best = int(np.argmax(known.value.limits(_vectors([r[1] for r in found]))))
+            yield asking(found, group, best, [float("-inf")] * len(found))
+
     by_group = queries.select("query_group", "vector", "query").repartition("query_group").sortWithinPartitions("query_group")
     first = _searched(by_group.mapInArrow(choose, plan), points, k)
     seeds = first.groupBy("query_id", "vector").agg(F.count("*").alias("n"), F.min("score").alias("least"))
@@ -211,17 +287,12 @@ def search(df: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id_col:
 
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each query group the blocks whose bound reaches its worst k-th score."""
-        blocks = known.value
-        for group, found in _by_key(batches):
-            root = Node(_vectors([r[1] for r in found]), np.arange(len(found)))
-            least = min(r[3] for r in found)
-            n = len(found)
-            for t in blocks:
-                if _root_bound(root, t) >= least - 1e-6:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([t[0]] * n), pa.array([group] * n), pa.array([r[1] for r in found], pa.binary()), pa.array([r[2] for r in found]), pa.array([r[3] for r in found])],
-                        ["block", "query_group", "vector", "query", "worst"],
-                    )
+        for (group,), found in _runs_of(batches, 1):
+            worst = [r[3] for r in found]
+            least = min(worst)
+            slack = 1e-6 + 1e-12 * abs(least) if np.isfinite(least) else 0.0
+            for at in np.flatnonzero(known.value.limits(_vectors([r[1] for r in found])) >= least - slack).tolist():
+                yield asking(found, group, at, worst)
 
     seeded = queries.join(seeds, ["query", "vector"], "left").select("query_group", "vector", "query", F.coalesce("worst", F.lit(float("-inf"))).alias("worst"))
     seeded = seeded.repartition("query_group").sortWithinPartitions("query_group")
@@ -231,11 +302,26 @@ def search(df: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id_col:
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-def _root_bound(q: Node, top: tuple[int, np.ndarray, float]) -> float:
-    _, centre, radius = top
-    width = min(len(centre), len(q.centre))
-    length = float(np.sqrt((centre**2).sum()))
-    return float(q.centre[:width] @ centre[:width]) + q.radius * length + radius * q.length + q.radius * radius
+class _Roots:
+    """Centres and radii of the roots of all block parts."""
+
+    def __init__(self, tops: list[tuple[int, int, bytes, float]]):
+        tops = sorted(tops, key=lambda t: t[:2])
+        self.blocks, self.parts = (np.array([t[k] for t in tops], np.int64) for k in (0, 1))
+        self.centres = np.zeros((len(tops), max((len(t[2]) // 8 for t in tops), default=0)))
+        for row, t in zip(self.centres, tops, strict=True):
+            centre = np.frombuffer(t[2])
+            row[: len(centre)] = centre
+        self.radii = np.array([t[3] for t in tops])
+        self.lengths = np.sqrt((self.centres**2).sum(axis=1))
+
+    def limits(self, queries: np.ndarray) -> np.ndarray:
+        """What no score of the group of queries in each part can exceed."""
+        centre, radius = root_of(queries)
+        c = queries[centre]
+        width = min(len(c), self.centres.shape[1])
+        scores = self.centres[:, :width] @ c[:width]
+        return bounds(scores[None, :], [radius], [np.sqrt((c**2).sum())], self.radii, self.lengths)[0]
 
 
 def _dealt(rows: DataFrame, key: str, size: int, name: str) -> DataFrame:
@@ -245,62 +331,47 @@ def _dealt(rows: DataFrame, key: str, size: int, name: str) -> DataFrame:
     return rows.join(F.broadcast(parts), "cell").withColumn(name, block)
 
 
-def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
-    """Rows of the same first column, which sorting has brought together; such a run is of bounded size."""
+def _runs_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Rows with the same first columns, which sorting has brought together; such a run is of bounded size."""
     current, held = None, []
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if row[0] != current and held:
+            if row[:keys] != current and held:
                 yield current, held
                 held = []
-            current = row[0]
+            current = row[:keys]
             held.append(row)
     if held:
         yield current, held
 
 
 def _searched(asked: DataFrame, points: DataFrame, k: int) -> DataFrame:
-    """(query_id, vector, vec_id, score): the best of each (query, block) that is asked for."""
+    """(query_id, vector, vec_id, score): the best of each (query, part of a block) that is asked for."""
     none = F.lit(None)
-    data = points.select("block", F.lit(-1).cast("long").alias("query_group"), "vector", none.cast("long").alias("query"), none.cast("double").alias("worst"), "ids")
-    both = data.unionByName(asked.withColumn("ids", none.cast("array<long>"))).repartition("block").sortWithinPartitions("block", "query_group")
+    data = points.select("block", "part", F.lit(-1).cast("long").alias("query_group"), "vector", none.cast("long").alias("query"), none.cast("double").alias("worst"), "ids")
+    both = data.unionByName(asked.withColumn("ids", none.cast("array<long>"))).repartition("block", "part").sortWithinPartitions("block", "part", "query_group")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = vectors = ids = block = None
-        for (at, group), found in _by_pair(batches):
+        tree = vectors = ids = place = None
+        for (block, part, group), found in _runs_of(batches, 3):
             if group < 0:
-                vectors, ids, block = _vectors([r[2] for r in found]), [r[5] for r in found], at
+                vectors, ids, place = _vectors([r[3] for r in found]), [r[6] for r in found], (block, part)
                 tree = None
                 continue
-            if at != block:
+            if (block, part) != place:
                 continue
-            tree = tree or Node(vectors, np.arange(len(vectors)))
-            queries = _vectors([r[2] for r in found])
+            queries = _vectors([r[3] for r in found])
             width = max(queries.shape[1], vectors.shape[1])
-            if queries.shape[1] != width:
-                queries = np.pad(queries, ((0, 0), (0, width - queries.shape[1])))
+            queries = np.pad(queries, ((0, 0), (0, width - queries.shape[1])))
             if vectors.shape[1] != width:
                 vectors = np.pad(vectors, ((0, 0), (0, width - vectors.shape[1])))
-                tree = Node(vectors, np.arange(len(vectors)))
-            group_search = Search(np.array([r[3] for r in found]), queries, k, np.array([r[4] for r in found]))
+            tree = tree or cover_tree(vectors)
+            group_search = Search(np.array([r[4] for r in found]), queries, k, np.array([r[5] for r in found]))
             group_search.over(tree, vectors, ids)
-            rows = [(found[i][3], found[i][2], -other, score) for i, heap in enumerate(group_search.best) for score, other in heap]
+            rows = [(found[i][4], found[i][3], -other, score) for i, heap in enumerate(group_search.best) for score, other in heap]
             if rows:
                 columns = list(zip(*rows, strict=True))
                 kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["query_id", "vector", "vec_id", "score"])
 
     return both.mapInArrow(run, "query_id long, vector binary, vec_id long, score long")
-
-
-def _by_pair(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], list[tuple]]]:
-    current, held = None, []
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if row[:2] != current and held:
-                yield current, held
-                held = []
-            current = row[:2]
-            held.append(row)
-    if held:
-        yield current, held

@@ -380,6 +380,42 @@ def test_topk_fewer_candidates(spark):
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.search(d).collect()) == [(0, 1, 1, 2048), (0, 2, 20, -4096), (20, 1, 1, -2048), (20, 2, 0, -4096)]
 
 
+def test_cover_tree_invariants_and_pruning():
+    rng = np.random.default_rng(4)
+    spread = rng.normal(0, 40, (12, 1, 5)) * 50 + rng.normal(0, 30, (12, 60, 5))
+    v = np.unique(np.floor(spread.reshape(-1, 5)), axis=0)
+    levels, todo = 0, [(topk.cover_tree(v), None)]
+    while todo:
+        node, parent = todo.pop()
+        levels += 1
+        assert parent is None or parent in node.centres.tolist()  # nesting
+        held = [kid.points.tolist() if kid is not None else [c] for kid, c in zip(node.kids, node.centres.tolist(), strict=True)]
+        assert sorted(itertools.chain(*held)) == sorted(node.points.tolist())
+        for kid, c, radius, points in zip(node.kids, node.centres.tolist(), node.radii, held, strict=True):
+            away = np.sqrt(((v[points] - v[c]) ** 2).sum(axis=1))
+            assert away.max() <= radius + 1e-9  # covering
+            if len(node.centres) > 1:
+                others = np.sqrt(((v[node.centres] - v[c]) ** 2).sum(axis=1))
+                assert np.sort(others)[1] >= radius - 1e-9  # separation
+            if kid is not None:
+                todo.append((kid, c))
+    assert levels > 20
+    queries, k = v[::7], 3
+    search = topk.Search(np.arange(len(queries)) * 7, queries, k)
+    search.over(topk.cover_tree(v), v, [[i] for i in range(len(v))])
+    for n, q in enumerate(queries):
+        want = sorted(((int(q @ x), -i) for i, x in enumerate(v) if i != n * 7), reverse=True)[:k]
+        assert sorted(search.best[n], reverse=True) == want
+
+
+def test_topk_of_large_components(spark):
+    d = spark.createDataFrame([(0, [1e9, 1.0]), (1, [1e9, 2.0]), (2, [1e9, 3.0]), (20, [1e300, 0.0])], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.search(d, k=2).collect()}
+    assert got[0, 1] == (1, 2**63 - 1) and got[0, 2] == (2, 2**63 - 1) and got[20, 1] == (0, 2**63 - 1)
+    small = spark.createDataFrame([(0, [2e7, 1.0]), (1, [2e7, 2.0]), (2, [2e7, 3.0])], "vec_id long, embedding array<double>")
+    assert [(r.vec_id, r.score) for r in topk.search(small).orderBy("rank").collect()] == [(2, 1280000000**2 + 64 * 192), (1, 1280000000**2 + 64 * 128)]
+
+
 def test_sharding(spark):
     texts = [None, "", "é"] + ["t"] * 300
     d = docs_of(spark, texts, [None, 1, 1, *range(2, 302)])
