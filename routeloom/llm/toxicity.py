@@ -1,10 +1,9 @@
 """Toxicity by weak supervision.
 
-Many voters look at a text: a fixed lexicon, words and word beginnings mined from
-labelled rows, and patterns of address.  Each votes toxic, clean or abstains.  A
+Many voters look at a text: fixed lexicons by theme and language, words and word beginnings mined from
+labelled rows, and patterns of address and shouting.  Each votes toxic, clean or abstains.  A
 generative label model learns, by expectation and maximisation over the votes
-alone, how often each voter is right, and from what the model leaves unexplained it
-learns which voters are correlated; a group of correlated voters then counts as
+alone, how often each voter is right and which voters are correlated; a group of correlated voters counts as
 about one.  The posterior labels train a linear
 classifier on words and word beginnings, which scores every text.
 
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from routeloom.llm.labelled import class_weights, fit_logistic, fold_of, sigmoid, training_rows
-from routeloom.session import ship
+from routeloom.session import ship, written
 
 #: Labelled rows of a class that the model learns from, at most.
 SAMPLE_ROWS = 3_000
@@ -37,17 +36,25 @@ LEAST_ROWS, LEAST_Z = 5, 5.0
 #: Voters whose votes correlate more than this, given the class, share their weight.
 CORRELATED = 0.5
 
-# Common English insults.
-LEXICON = (
-    "clown", "coward", "creep", "disgusting", "dumb", "fool", "freak", "garbage", "idiot", "imbecile",
-    "jerk", "loser", "moron", "pathetic", "pig", "scum", "stupid", "trash", "ugly", "worthless",
-)
+# Common insults and threats of four languages, a voter each.
+LEXICONS = {
+    "english insults": "clown coward creep disgusting dumb fool freak garbage idiot imbecile jerk loser moron pathetic pig scum stupid trash ugly worthless",
+    "english threats": "beat burn choke destroy die hang hurt kill punch rot smash stab strangle",
+    "german insults": "abschaum arsch blödmann depp dumm dummkopf feigling hässlich idiot ekelhaft müll schwein trottel versager wertlos widerlich",
+    "french insults": "abruti bête connard crétin débile dégoûtant imbécile idiot laid lâche minable nul ordure pourriture raté stupide",
+    "spanish insults": "asqueroso basura bobo cerdo cobarde escoria estúpido feo fracasado idiota imbécil inútil necio payaso patético tonto",
+}
+LEXICON = tuple(LEXICONS["english insults"].split())
+_LISTED = {name: frozenset(words.split()) for name, words in LEXICONS.items()}
+_EVERY = frozenset().union(*_LISTED.values())
 
 _WORD = re.compile(r"\w+")
+_ANY = "|".join(sorted(_EVERY))
 _PATTERNS = {
-    "address": re.compile(r"\b(?:you|your|u)\s+(?:\w+\s+){0,2}(?:" + "|".join(LEXICON) + r")\b", re.I),
-    "shouted": re.compile(r"\b(?:" + "|".join(w.upper() for w in LEXICON) + r")\b"),
+    "address": re.compile(r"\b(?:you|your|u|du|ihr|dein\w*|tu|vous|ton|tes|tú|eres|usted)\s+(?:\w+\s+){0,2}(?:" + _ANY + r")\b", re.I),
+    "shouted": re.compile(r"\b(?:" + "|".join(w.upper() for w in sorted(_EVERY)) + r")\b"),
     "spaced": re.compile(r"\b(?:" + "|".join(r"[\W_]".join(w) for w in LEXICON) + r")\b", re.I),
+    "repeated marks": re.compile(r"[!?]{3,}"),
 }
 
 
@@ -83,9 +90,13 @@ def _mined(rows: DataFrame, toxic_rows: int, clean_rows: int) -> list[tuple[str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                found = sorted(features_of(text.as_py()))
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([label] * len(found), pa.int32())], ["feature", "label"])
+            for at in range(0, batch.num_rows, 64):
+                features, given = [], []
+                for text, label in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns), strict=True):
+                    found = sorted(features_of(text))
+                    features += found
+                    given += [label] * len(found)
+                yield pa.RecordBatch.from_arrays([pa.array(features, pa.string()), pa.array(given, pa.int32())], ["feature", "label"])
 
     counted = (
         rows.select("text", "label")
@@ -97,7 +108,7 @@ def _mined(rows: DataFrame, toxic_rows: int, clean_rows: int) -> list[tuple[str,
     share = (F.col("toxic") + F.col("clean")) / float(toxic_rows + clean_rows)
     spread = F.sqrt(share * (1 - share) * (1 / toxic_rows + 1 / clean_rows) + 1e-12)
     z = F.round((F.col("toxic") / float(toxic_rows) - F.col("clean") / float(clean_rows)) / spread, 6)
-    found = counted.select("feature", z.alias("z"))
+    found = written(counted.select("feature", z.alias("z")), "mined")  # both ends are read of it
     best = [found.orderBy(F.desc("z") if up else F.asc("z"), "feature").limit(FEATURES) for up in (True, False)]
     return sorted({(r["feature"], r["z"]) for part in best for r in part.collect()})
 
@@ -107,16 +118,14 @@ class Voters:
 
     def __init__(self, toxic: list[str]):
         self.toxic = toxic
-        self.lexicon = frozenset(LEXICON)
-        self.suspects = frozenset(toxic) | self.lexicon
-        self.names = [*toxic, "lexicon", *_PATTERNS, "no suspect"]
+        self.suspects = frozenset(toxic) | _EVERY
+        self.names = [*toxic, *_LISTED, *_PATTERNS, "no suspect"]
 
     def __call__(self, text: str) -> list[int]:
         seen = features_of(text)
-        listed = not seen.isdisjoint(self.lexicon)
         return [
             *(1 if f in seen else 0 for f in self.toxic),
-            1 if listed else 0,
+            *(0 if seen.isdisjoint(words) else 1 for words in _LISTED.values()),
             *(1 if p.search(text) else 0 for p in _PATTERNS.values()),
             -1 if seen.isdisjoint(self.suspects) else 0,
         ]
@@ -128,31 +137,36 @@ def label_model(votes: np.ndarray, prior: float, steps: int = 50, weight: np.nda
     A voter that votes is right with a probability of its own; when it abstains it
     says nothing.  ``prior`` is the share of the toxic class; ``weight`` says how much
     each row counts, relative to the others.  Accuracies begin at 0.8 and are kept from 0.55 to 0.995, so that
-    the two classes cannot trade places.  Then the correlations of what is left of
-    the votes, given the posterior, are had; a voter's strength is one over its number
-    of correlated voters, by size of the correlation, and weighs its vote in the
-    posterior that comes back.
+    the two classes cannot trade places.  The model has correlations as well: in each step
+    those of what the two classes leave of the votes are had, and a voter's strength, one over the
+    sum of its correlations beyond ``CORRELATED`` (its own included), weighs its vote in the next
+    posterior, so a group of voters that say the same is about one voter while accuracies are learned.
     """
     n, m = votes.shape
     share = np.ones(n) if weight is None else weight / weight.mean()
     cast, toxic = (votes != 0).astype(float), (votes > 0).astype(float)
-    accuracy = np.full(m, 0.8)
+    accuracy, strength = np.full(m, 0.8), np.ones(m)
     posterior = np.full(n, prior)
     for _ in range(steps):
         before = posterior
-        posterior = sigmoid(votes @ np.log(accuracy / (1 - accuracy)) + np.log(prior / (1 - prior)))
+        posterior = sigmoid(votes @ (strength * np.log(accuracy / (1 - accuracy))) + np.log(prior / (1 - prior)))
         right = (share * posterior) @ toxic + (share * (1 - posterior)) @ (cast - toxic)
         accuracy = np.clip((right + 4.0) / (share @ cast + 5.0), 0.55, 0.995)
+        strength = 0.5 * strength + 0.5 / np.maximum(1.0, _correlated(votes, posterior, share))
         if np.abs(posterior - before).max() < 1e-6:
             break
+    posterior = sigmoid(votes @ (strength * np.log(accuracy / (1 - accuracy))) + np.log(prior / (1 - prior)))
+    return posterior, accuracy, strength
+
+
+def _correlated(votes: np.ndarray, posterior: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """For each voter the sum of its correlations beyond ``CORRELATED``, given the class."""
     member = np.stack([1 - posterior, posterior]) + 1e-9
     mean = (member * share) @ votes / (member * share).sum(axis=1, keepdims=True)  # of each voter under either class
     left = votes - member.T @ mean
-    spread = np.sqrt(share @ left**2 / n) + 1e-9
-    correlation = np.clip(((left * share[:, None]).T @ left) / n / spread[:, None] / spread, -1, 1)
-    strength = 1.0 / np.maximum(1.0, (np.abs(correlation) * (np.abs(correlation) > CORRELATED)).sum(axis=1))
-    posterior = sigmoid(votes @ (strength * np.log(accuracy / (1 - accuracy))) + np.log(prior / (1 - prior)))
-    return posterior, accuracy, strength
+    spread = np.sqrt(share @ left**2 / len(votes)) + 1e-9
+    correlation = np.clip(((left * share[:, None]).T @ left) / len(votes) / spread[:, None] / spread, -1, 1)
+    return (np.abs(correlation) * (np.abs(correlation) > CORRELATED)).sum(axis=1)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
