@@ -36,6 +36,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer, pre_tokenizers
 
 from routeloom.llm.token_counts import BATCH_CHARS, load_tokenizer
 from routeloom.session import ship, written
@@ -49,7 +50,7 @@ BANDS, STRIPE_ROWS = (1 / 4, 1 / 16, 0.0), 50_000
 #: letters, digits and white space are told apart here as the library does.
 _LETTERS = "a-zA-ZÀ-ÖØ-öø-įĲ-ňŊ-ž"
 _PLAIN = re.compile(f"[\t\n\r -~¡«»¿{_LETTERS}]*")
-_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\s{_LETTERS}0-9]+")
+_WORDS = re.compile(f"[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)|[0-9]|[^\\s{_LETTERS}0-9]+")
 
 
 class WordIds:
@@ -66,7 +67,8 @@ class WordIds:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.by_word = _works_by_word(self.tokenizer)
+        self.words, self.ends = _for_words(self.tokenizer)
+        self.by_word = _works_by_word(self.tokenizer, self.words, self.ends)
 
     def __call__(self, text: str) -> bytes:
         return self.many([text])[0]
@@ -79,14 +81,13 @@ class WordIds:
         if len(known) + len(fresh) > REMEMBERED:  # words that were not met for a generation are forgotten
             self.older, self.known = known, {w: known[w] for x in split if x for w in x if w in known}
             known = self.known
-        met = fresh.intersection(self.older)
-        known.update((w, self.older[w]) for w in met)
-        fresh = list(fresh - met)
+        older = self.older
+        met = [w for w in fresh if w in older]  # intersecting with a dict would walk all of it
+        known.update((w, older[w]) for w in met)
+        fresh = list(fresh.difference(met))
         if fresh:
-            encoding = self.tokenizer.encode(" ".join(fresh), add_special_tokens=False)
-            raw = _packed(encoding.ids)
-            # pieces between white space are numbered as they come, so by word
-            ends = (np.flatnonzero(np.diff(np.array(encoding.word_ids), append=-1)) * 4 + 4).tolist()
+            ids = _word_by_word(self.words, fresh)
+            raw, ends = ids.tobytes(), (np.flatnonzero(self.ends[ids]) * 4 + 4).tolist()
             known.update(zip(fresh, [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
         return [
             _packed(self.tokenizer.encode(text, add_special_tokens=False).ids) if words is None else b"".join(map(known.__getitem__, words))
@@ -101,12 +102,27 @@ def _packed(ids: list[int]) -> bytes:
     return np.asarray(ids, "<u4").tobytes()
 
 
-def _works_by_word(tokenizer) -> bool:
-    """True for a lower-casing tokenizer that drops white space and splits as ``_WORDS`` does."""
+def _for_words(tokenizer) -> tuple[Tokenizer, np.ndarray]:
+    """The tokenizer's model for words that are normalized and apart already; which ids end a word."""
+    words = Tokenizer(tokenizer.model)
+    words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    suffix, vocabulary = getattr(tokenizer.model, "end_of_word_suffix", None), tokenizer.get_vocab()
+    ends = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
+    ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+    return words, ends
+
+
+def _word_by_word(tokenizer, words: list[str]) -> np.ndarray:
+    """Ids of words without white space, one after the other."""
+    return np.asarray(tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+
+
+def _works_by_word(tokenizer, words, ends: np.ndarray) -> bool:
+    """True for a lower-casing tokenizer that drops white space, splits as ``_WORDS`` does and marks ends of words."""
     probe = "It's THE Été 12 x9, don't--stop!  «Ça» we'll\n\tABC'd 3.5"
-    whole = tokenizer.encode(probe, add_special_tokens=False).ids
-    apart = [i for w in _WORDS.findall(probe.lower()) for i in tokenizer.encode(w, add_special_tokens=False).ids]
-    return whole == apart and tokenizer.encode(probe.lower(), add_special_tokens=False).ids == whole
+    whole, split = tokenizer.encode(probe, add_special_tokens=False).ids, _WORDS.findall(probe.lower())
+    apart = _word_by_word(words, split)
+    return whole == apart.tolist() and int(ends[apart].sum()) == len(split) and tokenizer.encode(probe.lower(), add_special_tokens=False).ids == whole
 
 
 _WORD_IDS: dict[str, WordIds] = {}

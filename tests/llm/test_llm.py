@@ -511,3 +511,15 @@ def test_pipeline(spark):
     assert all(i == c for i, (_, c) in want.items())
     packed = corpus_pipeline.run(spark, SMALL)
     assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in left}
+
+
+def test_word_ids_are_the_library_s_when_words_are_forgotten(monkeypatch):
+    """Random texts with apostrophes, digits, white space and code points of either path."""
+    monkeypatch.setattr(packing, "REMEMBERED", 200)
+    ids_of = packing.WordIds(tokenizer_path("word_bpe_49k.json"))
+    draw = random.Random(5)
+    signs = ["abs'relvtmdT S.1\n", "abcEt'  \n\t.,!-éÉßĲž0129<|>«»'’ı中\x1c"]
+    texts = ["".join(draw.choices(signs[k % 2], k=draw.randint(0, 70))) for k in range(3000)] + ["", "<|endoftext|> a"]
+    for at in range(0, len(texts), 40):
+        for text, raw in zip(texts[at : at + 40], ids_of.many(texts[at : at + 40]), strict=False):
+            assert np.frombuffer(raw, "<u4").tolist() == ids_of.tokenizer.encode(text, add_special_tokens=False).ids
