@@ -1,15 +1,17 @@
 """Near-duplicate lines by a segment-partition edit join, in DataFrame functions only.
 
 Two lines are linked when at most ``max_edits`` inserted, deleted or replaced
-characters turn one into the other.  Each distinct line is cut into
-``max_edits + 1`` segments: of two linked lines, at least one segment of the
+characters turn one into the other; ``longer`` allows more edits where the shorter of
+the two has at least so many characters.  Each distinct line is cut into one segment
+more than its edits: of two linked lines, at least one segment of the
 shorter must stand in the longer as it is, moved by no more than the edits allow.
 
 1. *Distinct lines.*  Lines are grouped by hash, checksum and length, with
    map-side combination, so a line that holds a third of all rows is one row.
 2. *Index and probe.*  The index has (length, segment number, segment); a line
    probes it for each length it may link with, at the few starts that a matching
-   left and right rest leaves possible.  Candidates also need word parities
+   left and right rest leaves possible; unmoved segments of equal length
+   are the index's own keys, so the index also meets itself.  Candidates also need word parities
    (one bit a word hash) that differ by no more than ``3 * max_edits`` bits, as an
    edit changes three words at most; that is part of the join itself, so
    a family of lines that differ in many words gives no rows.
@@ -37,6 +39,8 @@ from pyspark.sql import functions as F
 from routeloom.llm.components import components
 from routeloom.session import dropped, tables_written, written
 
+#: (characters, edits) of the production queries: lines so long may be so many edits apart.
+LONG_LINES = ((64, 2),)
 _NULL_ID = -(2**63)  # stands for a null id inside joins
 
 
@@ -74,6 +78,46 @@ def probe_places(max_edits: int) -> list[tuple[int, int, int]]:
     return out
 
 
+def _edits(length: Column, max_edits: int, longer: tuple[tuple[int, int], ...]) -> Column:
+    """Edits that a line of ``length`` may be away from one at least as long."""
+    allowed = F.lit(max_edits)
+    for least, edits in sorted(longer):
+        allowed = F.when(length >= least, F.lit(edits)).otherwise(allowed)
+    return allowed
+
+
+def _checked(max_edits: int, longer: tuple[tuple[int, int], ...]) -> list[int]:
+    """The edits that lines may have, ascending; they must not fall as lines grow."""
+    edits = [max_edits, *[e for _, e in sorted(longer)]]
+    if edits != sorted(edits) or max_edits < 0:
+        raise ValueError("longer lines must be allowed at least the edits of shorter ones")
+    return sorted(set(edits))
+
+
+def _keys(max_edits: int, longer: tuple[tuple[int, int], ...]) -> tuple[dict[str, Column], dict[str, Column]]:
+    """(index keys, probe keys beyond these) of a line by name; null where its length has fewer."""
+    known = _checked(max_edits, longer)
+    line, length = F.col("line"), F.col("length")
+
+    def slots(name: str, of: Column, at: dict[int, list[tuple[int, int]]]) -> dict[str, Column]:
+        """One column per place in the longest list; ``at`` has (segment, shift) by the edits that lines of length ``of`` have."""
+        out = {}
+        for n in range(max(map(len, at.values()), default=0)):
+            key = F.lit(None).cast("long")
+            for edits, places in at.items():
+                if n < len(places):
+                    key = F.when(_edits(of, max_edits, longer) == edits, _segment_key(line, of, places[n][0], edits + 1, places[n][1])).otherwise(key)
+            out[f"{name}{n}"] = key
+        return out
+
+    index = slots("i", length, {t: [(k, 0) for k in range(t + 1)] for t in known})
+    probe = {}
+    for more in range(known[-1] + 1):
+        at = {t: [(k, shift) for d, k, shift in probe_places(t) if d == more and (more or shift)] for t in known}
+        probe |= slots(f"p{more}_", length - more, at)
+    return index, probe
+
+
 def _parity(parts: Column) -> Column:
     """64 bits: how often, even or odd, the parts of a hash class come."""
     return F.aggregate(parts, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(w).bitwiseAND(F.lit(63)).cast("int"))))
@@ -139,7 +183,7 @@ def within_edits(a: Column, b: Column, max_edits: int) -> Column:
 def _common(a: Column, b: Column, part) -> Column:
     """Length of the longest equal ``part(text, n)`` of two texts, by halving."""
     most = F.least(F.char_length(a), F.char_length(b)).cast("int")
-    steps = F.sequence(F.lit(1), F.lit(31))  # enough for any text
+    steps = F.sequence(F.lit(1), F.length(F.bin(most.cast("long"))))  # as many as the length has bits
 
     def halve(state: Column, _: Column) -> Column:
         middle = F.floor((state["low"] + state["high"] + 1) / 2).cast("int")
@@ -163,17 +207,18 @@ def _trimmed(a: Column, b: Column) -> Column:
     return _let(ahead, behind)
 
 
-def _linked(docs: DataFrame, distinct: DataFrame, max_edits: int, id_col: str, text_col: str, min_chars: int) -> DataFrame:
+def _linked(docs: DataFrame, distinct: DataFrame, max_edits: int, longer: tuple[tuple[int, int], ...], id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """(u, v): hashes of distinct lines that are linked."""
-    places = probe_places(max_edits)
-    segments = max_edits + 1
+    known = _checked(max_edits, longer)
+    names = [list(keys) for keys in _keys(max_edits, longer)]
     distinct = distinct.where(F.col("length") >= min_chars)
-    index = distinct.select("h", "parity", F.explode(F.array(*[F.col(f"i{k}") for k in range(segments)])).alias("key"))
-    probe = distinct.select("h", "parity", F.explode(F.array(*[F.col(f"p{k}") for k in range(len(places))])).alias("key"))
-    a, b = index.alias("a"), probe.alias("b")
-    apart = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))) <= 3 * max_edits
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.h") != F.col("b.h")) & apart)
-    pairs = written(pairs.select(F.least("a.h", "b.h").alias("u"), F.greatest("a.h", "b.h").alias("v")).distinct(), "pairs")
+    index, probe = (distinct.select("h", "parity", F.explode(F.array(*named) if named else F.array().cast("array<bigint>")).alias("key")).where("key is not null") for named in names)
+    apart = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))) <= 3 * known[-1]
+    meets = lambda other, which: index.alias("a").join(other.alias("b"), (F.col("a.key") == F.col("b.key")) & which & apart)
+    pairs = meets(index, F.col("a.h") < F.col("b.h")).select(F.col("a.h").alias("u"), F.col("b.h").alias("v"))
+    if names[1]:
+        pairs = pairs.union(meets(probe, F.col("a.h") != F.col("b.h")).select(F.least("a.h", "b.h"), F.greatest("a.h", "b.h")))
+    pairs = written(pairs.distinct(), "pairs")
 
     asked = pairs.select(F.col("u").alias("h")).union(pairs.select("v")).distinct()
     where = asked.join(distinct.select("h", "doc"), "h").groupBy("h").agg(F.min("doc").alias("doc"))
@@ -183,28 +228,30 @@ def _linked(docs: DataFrame, distinct: DataFrame, max_edits: int, id_col: str, t
     texts = written(texts.withColumn("letters", _parity(F.split("line", ""))), "texts")
     side = lambda c: texts.select(F.col("h").alias(c), F.col("line").alias(f"line_{c}"), F.col("letters").alias(f"letters_{c}"))
     full = pairs.join(side("u"), "u").join(side("v"), "v")
+    allowed = _edits(F.least(F.char_length("line_u"), F.char_length("line_v")), max_edits, longer)
     # an edit takes one character away or puts one in, or both
-    full = full.where(F.bit_count(F.col("letters_u").bitwiseXOR(F.col("letters_v"))) <= 2 * max_edits)
-    return full.where(within_edits(F.col("line_u"), F.col("line_v"), max_edits)).select("u", "v")
+    full = full.where(F.bit_count(F.col("letters_u").bitwiseXOR(F.col("letters_v"))) <= 2 * allowed)
+    near = F.lit(False)
+    for edits in known:
+        near = F.when(allowed == edits, within_edits(F.col("line_u"), F.col("line_v"), edits)).otherwise(near)
+    return full.where(near).select("u", "v")
 
 
-def repeated_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = True) -> DataFrame:
+def repeated_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = True, longer: tuple[tuple[int, int], ...] = ()) -> DataFrame:
     """(doc, line_no, first_doc, first_line) of every line of a class of more than one place.
 
     ``first_doc`` and ``first_line`` name the class by its first place.  ``doc`` is the
     id, with -2**63 for null.
     """
     lines = _lines(docs, id_col, text_col, min_chars, short_copies)
-    segments = max_edits + 1
-    keys = {f"i{k}": _segment_key(F.col("line"), F.col("length"), k, segments, 0) for k in range(segments)}
-    for n, (longer, k, shift) in enumerate(probe_places(max_edits)):
-        keys[f"p{n}"] = _segment_key(F.col("line"), F.col("length") - longer, k, segments, shift)
+    index, probe = _keys(max_edits, longer)
+    keys = {**index, **probe}
     keyed = lines.select("doc", "h", "crc", "length", _parity(F.split("line", " ")).alias("parity"), *[v.alias(n) for n, v in keys.items()])
     distinct = written(
         keyed.groupBy("h", "crc", "length").agg(F.min("doc").alias("doc"), F.count("*").alias("places"), F.max("parity").alias("parity"), *[F.max(n).alias(n) for n in keys]), "distinct"
     )
     before = tables_written()
-    found = components(_linked(docs, distinct, max_edits, id_col, text_col, min_chars)).withColumnRenamed("node", "h")
+    found = components(_linked(docs, distinct, max_edits, longer, id_col, text_col, min_chars)).withColumnRenamed("node", "h")
     dropped(docs.sparkSession, before, keep=1)  # all but what the components are read from
     marked = distinct.select("h", "crc", "length", "places").join(found, "h", "left").where("places > 1 or component is not null")
     marked = marked.select("h", "crc", "length", F.coalesce("component", "h").alias("c1"), F.when(F.col("component").isNull(), F.struct("crc", "length")).alias("c2"))
@@ -214,19 +261,19 @@ def repeated_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_
     return named.select("x.doc", "x.line_no", F.col("first.doc").alias("first_doc"), F.col("first.line_no").alias("first_line")).distinct()
 
 
-def _removed(docs: DataFrame, max_edits: int, min_chars: int, id_col: str, text_col: str, short_copies: bool) -> DataFrame:
+def _removed(docs: DataFrame, max_edits: int, min_chars: int, id_col: str, text_col: str, short_copies: bool, longer: tuple[tuple[int, int], ...]) -> DataFrame:
     """(doc, removed): per document the removed lines with the first places of their classes, in order."""
-    lines = repeated_lines(docs, max_edits, min_chars, id_col, text_col, short_copies).where("doc <> first_doc or line_no <> first_line")
+    lines = repeated_lines(docs, max_edits, min_chars, id_col, text_col, short_copies, longer).where("doc <> first_doc or line_no <> first_line")
     return lines.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("line_no", "first_doc", "first_line"))).alias("removed"))
 
 
-def line_report(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = True) -> DataFrame:
+def line_report(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = True, longer: tuple[tuple[int, int], ...] = ()) -> DataFrame:
     """One row per input row: id, n_lines, n_removed, removed.
 
     ``removed`` lists, in order of lines, ``line=first document:first line``; the right
     side names the class, and its first line stays.
     """
-    gone = _removed(docs, max_edits, min_chars, id_col, text_col, short_copies)
+    gone = _removed(docs, max_edits, min_chars, id_col, text_col, short_copies, longer)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("doc"), F.coalesce(F.size(F.split(text_col, "\n")), F.lit(0)).alias("n"))
     rows = rows.withColumn("n_lines", F.greatest("n", F.lit(0)))
     name = lambda r: F.concat(r["line_no"].cast("string"), F.lit("="), F.when(r["first_doc"] == _NULL_ID, "null").otherwise(r["first_doc"].cast("string")), F.lit(":"), r["first_line"].cast("string"))
@@ -235,12 +282,12 @@ def line_report(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col
     return joined.select(F.col("id").alias(id_col), "n_lines", F.size("removed").alias("n_removed"), F.array_join(F.transform("removed", name), ",").alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = True) -> DataFrame:
+def dedup_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = True, longer: tuple[tuple[int, int], ...] = ()) -> DataFrame:
     """``docs`` with repeated lines taken out of the text.
 
     A document that has no character left but white space, and had one before, goes.
     """
-    gone = _removed(docs, max_edits, min_chars, id_col, text_col, short_copies).select(F.col("doc").alias("_gone_doc"), F.transform("removed", lambda r: r["line_no"]).alias("_gone_lines"))
+    gone = _removed(docs, max_edits, min_chars, id_col, text_col, short_copies, longer).select(F.col("doc").alias("_gone_doc"), F.transform("removed", lambda r: r["line_no"]).alias("_gone_lines"))
     key = F.coalesce(docs[id_col].cast("long"), F.lit(_NULL_ID))
     joined = docs.join(gone, key == F.col("_gone_doc"), "left")
     kept = F.filter(F.split(F.col(text_col), "\n"), lambda line, k: ~F.array_contains("_gone_lines", k))

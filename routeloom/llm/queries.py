@@ -56,9 +56,9 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from routeloom.llm.line_dedup import line_report
+    from routeloom.llm.line_dedup import LONG_LINES, line_report
 
-    return line_report(read(spark, sf_dir, "documents"))
+    return line_report(read(spark, sf_dir, "documents"), longer=LONG_LINES)
 
 
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,10 +142,13 @@ SELECT n.doc_id, n.n::bigint AS n_shingles, min(r.m) AS component_id FROM n JOIN
 ORACLES["op7_line_dedup"] = """
 WITH RECURSIVE lines AS (SELECT doc_id, i - 1 AS line_no, l[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
 d AS (SELECT line, length(line) AS n, row_number() OVER (ORDER BY line) AS id FROM (SELECT DISTINCT line FROM lines WHERE length(line) >= 16 OR trim(translate(line, chr(9) || chr(13), '  ')) <> '')),
-near AS (SELECT a.id AS u, b.id AS v FROM d a JOIN d b ON a.id <> b.id AND a.n >= 16 AND b.n >= 16 AND abs(a.n - b.n) <= 1
-    AND (substr(a.line, 1, (least(a.n, b.n) // 2)) = substr(b.line, 1, (least(a.n, b.n) // 2))) AND levenshtein(a.line, b.line) <= 1
-  UNION SELECT a.id, b.id FROM d a JOIN d b ON a.id <> b.id AND a.n >= 16 AND b.n >= 16 AND abs(a.n - b.n) <= 1
-    AND (right(a.line, least(a.n, b.n) - least(a.n, b.n) // 2) = right(b.line, least(a.n, b.n) - least(a.n, b.n) // 2)) AND levenshtein(a.line, b.line) <= 1),
+s AS (SELECT id, n, e, k, substr(line, n * k // (e + 1) + 1, n * (k + 1) // (e + 1) - n * k // (e + 1)) AS seg
+    FROM (SELECT *, CASE WHEN n >= 64 THEN 2 ELSE 1 END AS e FROM d WHERE n >= 16), range(3) t(k) WHERE k <= e),
+q AS (SELECT id, m AS n, e, k, substr(line, m * k // (e + 1) + 1 + shift, m * (k + 1) // (e + 1) - m * k // (e + 1)) AS seg
+    FROM (SELECT *, n - more AS m, CASE WHEN n - more >= 64 THEN 2 ELSE 1 END AS e FROM d, range(3) x(more)), range(3) t(k), range(-2, 3) y(shift) WHERE m >= 16 AND more <= e AND k <= e AND m * k // (e + 1) + shift >= 0),
+c AS (SELECT DISTINCT s.id AS u, q.id AS v, e FROM s JOIN q USING (n, e, k, seg) WHERE s.id <> q.id),
+o AS (SELECT u, v FROM c JOIN d a ON a.id = u JOIN d b ON b.id = v WHERE levenshtein(a.line, b.line) <= e),
+near AS (SELECT u, v FROM o UNION SELECT v, u FROM o),
 r AS (SELECT id, id AS m FROM d UNION SELECT r.id, near.v FROM r JOIN near ON r.m = near.u),
 cl AS (SELECT id, min(m) AS c FROM r GROUP BY 1),
 p AS (SELECT l.doc_id, l.line_no, c, first_value(l.doc_id) OVER k AS fd, first_value(l.line_no) OVER k AS fl FROM lines l JOIN d USING (line) JOIN cl USING (id) WINDOW k AS (PARTITION BY c ORDER BY l.doc_id, l.line_no)),

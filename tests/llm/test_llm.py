@@ -344,6 +344,33 @@ def test_line_dedup(spark, k):
         assert kept.get(i, "gone") == (left if not gone or left.strip() else "gone")
 
 
+def test_line_dedup_of_long_lines_at_more_edits(spark):
+    rng = random.Random(17)
+    base = ["".join(rng.choice("abcd é") for _ in range(n)) for n in (10, 17, 18, 19, 20, 21, 22, 28, 29, 30, 31, 32, 40)]
+    lines = sorted({mutated(rng, x, rng.choice([0, 1, 1, 2, 2, 3])) for x in base for _ in range(14)})
+    longer = ((20, 2), (30, 3))
+    allowed = lambda n: 3 if n >= 30 else 2 if n >= 20 else 1
+    top = {x: x for x in lines}
+
+    def root(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a, b in itertools.combinations(lines, 2):
+        least = min(len(a), len(b))
+        if least >= 8 and edit_distance(a, b) <= allowed(least):
+            top[root(b)] = root(a)
+    first, want = {}, {}
+    for i, x in enumerate(lines):
+        f = first.setdefault(root(x), i)
+        want[i] = "" if f == i else f"0={f}:0"
+    got = line_dedup.line_report(docs_of(spark, lines), 1, 8, longer=longer).collect()
+    assert {r.doc_id: r.removed for r in got} == want and len(set(first)) < len(lines)
+    with pytest.raises(ValueError, match="longer lines"):
+        line_dedup.line_report(docs_of(spark, lines), 2, longer=((30, 1),))
+
+
 def test_pipeline_removes_repeats_of_short_lines(spark):
     from corpus_pipeline import line_dedup as stage
 
