@@ -17,7 +17,8 @@ shorter must stand in the longer as it is, moved by no more than the edits allow
    a family of lines that differ in many words gives no rows.
 3. *Verification.*  Pairs whose character parities differ by more than
    ``2 * max_edits`` bits are out.  For the rest the common beginning and end are
-   taken off, and the band of 2 * max_edits + 1 diagonals of what is left of the edit
+   taken off.  What is left begins and ends with an edit, so of its inside a segment must
+   stand in the other as it is (at one edit, nothing may be left); then the band of 2 * max_edits + 1 diagonals of what is left of the edit
    table is kept in two words of bits per column, by the recurrence of Hyyro.
 
 Linked lines form classes (connected components), and of a class the first line
@@ -120,7 +121,8 @@ def _keys(max_edits: int, longer: tuple[tuple[int, int], ...]) -> tuple[dict[str
 
 def _parity(parts: Column) -> Column:
     """64 bits: how often, even or odd, the parts of a hash class come."""
-    return F.aggregate(parts, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(w).bitwiseAND(F.lit(63)).cast("int"))))
+    # shifting a long takes the lowest six bits of the hash
+    return F.aggregate(parts, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.hash(w))))
 
 
 def within_edits(a: Column, b: Column, max_edits: int) -> Column:
@@ -169,13 +171,26 @@ def within_edits(a: Column, b: Column, max_edits: int) -> Column:
         start = F.struct(word(band & ~((1 << k) - 1)).alias("up"), word(0).alias("down"), word(k).alias("score"))
         return F.aggregate(F.sequence(F.lit(1), F.greatest(width, F.lit(1))), start, column, lambda s: s["score"])
 
+    def possible(x: Column, y: Column) -> Column:
+        """False where the rests of two texts, which begin and end apart, need more than k edits.
+
+        One edit goes to the beginning and another to the end, so between the ends of ``x`` at
+        most k - 2 are left, and one of k - 1 segments there must stand in ``y`` as it is.
+        """
+        inner = F.char_length(x) - 2
+        cut = lambda n: F.floor(inner * n / (k - 1))
+        found = (inner <= 0) & F.lit(k > 1)
+        for n in range(k - 1):
+            found |= F.contains(y, F.substr(x, (cut(n) + 2).cast("int"), (cut(n + 1) - cut(n)).cast("int")))
+        return found
+
     def apart(pair: Column) -> Column:
         x, y = pair["x"], pair["y"]
         near = F.abs(F.char_length(x) - F.char_length(y)) <= k
         # with so few characters left the band would lie over the edge; no more than k edits are left either
         few = F.greatest(F.char_length(x), F.char_length(y)) <= k
         tight = F.least(F.char_length(x), F.char_length(y)) <= k
-        return F.when(~near, F.lit(False)).when(few, F.lit(True)).when(tight, F.levenshtein(x, y) <= k).otherwise(table(F.split(x, ""), F.split(y, "")) <= k)
+        return F.when(~near, F.lit(False)).when(few, F.lit(True)).when(~possible(x, y), F.lit(False)).when(tight, F.levenshtein(x, y) <= k).otherwise(table(F.split(x, ""), F.split(y, "")) <= k)
 
     return F.when(a == b, F.lit(True)).when(F.abs(F.char_length(a) - F.char_length(b)) > k, F.lit(False)).otherwise(_let(_trimmed(a, b), apart))
 
