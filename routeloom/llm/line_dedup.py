@@ -12,9 +12,10 @@ shorter must stand in the longer as it is, moved by no more than the edits allow
    probes it for each length it may link with, at the few starts that a matching
    left and right rest leaves possible; unmoved segments of equal length
    are the index's own keys, so the index also meets itself.  Candidates also need word parities
-   (one bit a word hash) that differ by no more than ``3 * max_edits`` bits, as an
-   edit changes three words at most; that is part of the join itself, so
-   a family of lines that differ in many words gives no rows.
+   (one bit a word hash) that differ by no more than ``3 * edits`` bits, as an
+   edit changes three words at most, and counts of eight frequent letters that differ by no
+   more than ``2 * edits`` in sum; that is part of the join itself, so
+   a family of lines that differ in whole words gives few rows.
 3. *Verification.*  Pairs whose character parities differ by more than
    ``2 * max_edits`` bits are out.  For the rest the common beginning and end are
    taken off.  What is left begins and ends with an edit, so of its inside a segment must
@@ -42,6 +43,8 @@ from routeloom.session import dropped, tables_written, written
 
 #: (characters, edits) of the production queries: lines so long may be so many edits apart.
 LONG_LINES = ((64, 2),)
+#: Letters whose counts tell lines apart; any eight are right, frequent ones tell most.
+_LETTERS = "eainsrto"
 _NULL_ID = -(2**63)  # stands for a null id inside joins
 
 
@@ -125,6 +128,26 @@ def _parity(parts: Column) -> Column:
     return F.aggregate(parts, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.hash(w))))
 
 
+def _signature(line: Column) -> Column:
+    """Word parity in the upper 32 bits; below, counts of ``_LETTERS`` modulo 16."""
+    words = _let(_parity(F.split(line, " ")), lambda p: F.call_function("shiftleft", p.bitwiseXOR(F.call_function("shiftrightunsigned", p, F.lit(32))), F.lit(32)))
+    for n, letter in enumerate(_LETTERS):
+        count = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))).bitwiseAND(F.lit(15))
+        words = words.bitwiseOR(F.call_function("shiftleft", count.cast("long"), F.lit(4 * n)))
+    return words
+
+
+def _alike(a: Column, b: Column, edits: int) -> Column:
+    """False where two signatures say that lines are more than ``edits`` apart."""
+    apart = F.lit(0).cast("long")
+    for n in range(len(_LETTERS)):
+        more, less = (F.call_function("shiftrightunsigned", x, F.lit(4 * n)).bitwiseAND(F.lit(15).cast("long")) for x in (a, b))
+        ahead, behind = (d.bitwiseAND(F.lit(15).cast("long")) for d in (more - less, less - more))
+        apart += F.least(ahead, behind)
+    words = F.bit_count(F.call_function("shiftrightunsigned", a.bitwiseXOR(b), F.lit(32)))
+    return (words <= 3 * edits) & (apart <= 2 * edits)
+
+
 def within_edits(a: Column, b: Column, max_edits: int) -> Column:
     """True where the edit distance of two texts is at most ``max_edits`` (banded, bit-parallel).
 
@@ -227,9 +250,9 @@ def _linked(docs: DataFrame, distinct: DataFrame, max_edits: int, longer: tuple[
     known = _checked(max_edits, longer)
     names = [list(keys) for keys in _keys(max_edits, longer)]
     distinct = distinct.where(F.col("length") >= min_chars)
-    index, probe = (distinct.select("h", "parity", F.explode(F.array(*named) if named else F.array().cast("array<bigint>")).alias("key")).where("key is not null") for named in names)
-    apart = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))) <= 3 * known[-1]
-    meets = lambda other, which: index.alias("a").join(other.alias("b"), (F.col("a.key") == F.col("b.key")) & which & apart)
+    index, probe = (distinct.select("h", "signature", F.explode(F.array(*named) if named else F.array().cast("array<bigint>")).alias("key")).where("key is not null") for named in names)
+    alike = _alike(F.col("a.signature"), F.col("b.signature"), known[-1])
+    meets = lambda other, which: index.alias("a").join(other.alias("b"), (F.col("a.key") == F.col("b.key")) & which & alike)
     pairs = meets(index, F.col("a.h") < F.col("b.h")).select(F.col("a.h").alias("u"), F.col("b.h").alias("v"))
     if names[1]:
         pairs = pairs.union(meets(probe, F.col("a.h") != F.col("b.h")).select(F.least("a.h", "b.h"), F.greatest("a.h", "b.h")))
@@ -261,9 +284,9 @@ def repeated_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16, id_
     lines = _lines(docs, id_col, text_col, min_chars, short_copies)
     index, probe = _keys(max_edits, longer)
     keys = {**index, **probe}
-    keyed = lines.select("doc", "h", "crc", "length", _parity(F.split("line", " ")).alias("parity"), *[v.alias(n) for n, v in keys.items()])
+    keyed = lines.select("doc", "h", "crc", "length", _signature(F.col("line")).alias("signature"), *[v.alias(n) for n, v in keys.items()])
     distinct = written(
-        keyed.groupBy("h", "crc", "length").agg(F.min("doc").alias("doc"), F.count("*").alias("places"), F.max("parity").alias("parity"), *[F.max(n).alias(n) for n in keys]), "distinct"
+        keyed.groupBy("h", "crc", "length").agg(F.min("doc").alias("doc"), F.count("*").alias("places"), F.max("signature").alias("signature"), *[F.max(n).alias(n) for n in keys]), "distinct"
     )
     before = tables_written()
     found = components(_linked(docs, distinct, max_edits, longer, id_col, text_col, min_chars)).withColumnRenamed("node", "h")
