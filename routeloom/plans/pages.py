@@ -105,13 +105,17 @@ def frame_numbering(spark, sf_dir):
 
 
 def _supported(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """(candidates (id, page, box, pale_or_dark, white_or_blue), support (id, object_id)): widened rectangles, and the centres they hold."""
+    """(candidates (id, page, box, pale_or_dark, white_or_blue), dots (page, object_id, x, y)): widened rectangles, and the centres that support what holds them."""
     f = frames(spark, sf_dir)
     m = F.col("size") * 6.0
     c = f.select("id", "page", rect.rect(F.col("x0") - m, F.col("y0") - m, F.col("x1") + m, F.col("y1") + m).alias("box"), (F.col("id") % 3 < 2).alias("pale_or_dark"), (F.col("id") % 2 == 0).alias("white_or_blue"))
-    dots = f.select(F.col("id").alias("object_id"), F.col("page").alias("p"), ((F.col("x0") + F.col("x1")) / 2).alias("cx"), ((F.col("y0") + F.col("y1")) / 2).alias("cy"))
-    held = c.join(dots, (F.col("page") == F.col("p")) & rect.holds_point(F.col("box"), F.col("cx"), F.col("cy"))).select("id", "object_id")
-    return c, held
+    return c, f.select("page", F.col("id").alias("object_id"), ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y1")) / 2).alias("y"))
+
+
+def _held(spark, sf_dir) -> DataFrame:
+    c, dots = _supported(spark, sf_dir)
+    d = dots.withColumnRenamed("page", "p")
+    return c.join(d, (F.col("page") == F.col("p")) & rect.holds_point(F.col("box"), F.col("x"), F.col("y"))).select("id", "object_id")
 
 
 _SUPPORT = """, cand AS (SELECT id, page, x0 - 6.0::double * size AS x0, y0 - 6.0::double * size AS y0, x1 + 6.0::double * size AS x1, y1 + 6.0::double * size AS y1 FROM frames),
@@ -121,15 +125,15 @@ _INSIDE = "a.x0 - {0} <= b.x0 AND a.y0 - {0} <= b.y0 AND a.x1 + {0} >= b.x1 AND
 
 
 def parent_suppress(spark, sf_dir):
-    return graph.suppressed_parents(*_supported(spark, sf_dir)).select(F.col("parent").alias("suppressed"))
+    return graph.suppressed_parents(_supported(spark, sf_dir)[0], _held(spark, sf_dir)).select(F.col("parent").alias("suppressed"))
 
 
 def redundant_suppress(spark, sf_dir):
-    return graph.redundant_parents(*_supported(spark, sf_dir)).select(F.col("parent").alias("suppressed"))
+    return graph.redundant_parents_of_dots(*_supported(spark, sf_dir)).select(F.col("parent").alias("suppressed"))
 
 
 def legend_suppress(spark, sf_dir):
-    return graph.inner_legends(*_supported(spark, sf_dir)).select(F.col("child").alias("suppressed"))
+    return graph.inner_legends(_supported(spark, sf_dir)[0], _held(spark, sf_dir)).select(F.col("child").alias("suppressed"))
 
 
 def rect_components(spark, sf_dir):
@@ -150,7 +154,7 @@ def frame_merge(spark, sf_dir):
 
 
 def greedy_cover(spark, sf_dir):
-    _, held = _supported(spark, sf_dir)
+    held = _held(spark, sf_dir)
     f = frames(spark, sf_dir).select("id", "page", (F.col("id") % 7).cast("double").alias("score"), rect.area(F.col("box")).alias("area"))
     return graph.greedy_cover(held.groupBy("id").agg(F.collect_set("object_id").alias("objects")).join(f, "id"))
 
