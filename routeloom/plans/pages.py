@@ -133,7 +133,7 @@ def redundant_suppress(spark, sf_dir):
 
 
 def legend_suppress(spark, sf_dir):
-    return graph.inner_legends(_supported(spark, sf_dir)[0], _held(spark, sf_dir)).select(F.col("child").alias("suppressed"))
+    return graph.inner_legends_of_dots(*_supported(spark, sf_dir)).select(F.col("child").alias("suppressed"))
 
 
 def rect_components(spark, sf_dir):
