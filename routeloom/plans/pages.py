@@ -125,7 +125,7 @@ _INSIDE = "a.x0 - {0} <= b.x0 AND a.y0 - {0} <= b.y0 AND a.x1 + {0} >= b.x1 AND
 
 
 def parent_suppress(spark, sf_dir):
-    return graph.suppressed_parents(_supported(spark, sf_dir)[0], _held(spark, sf_dir)).select(F.col("parent").alias("suppressed"))
+    return graph.suppressed_parents_of_dots(*_supported(spark, sf_dir)).select(F.col("parent").alias("suppressed"))
 
 
 def redundant_suppress(spark, sf_dir):
