@@ -7,12 +7,17 @@ and ``h``, which closes the path, none.  ``seq`` orders the items of a drawing.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import LongType, StructField, StructType
 
-from routeloom.functions import geo, line
+from routeloom.functions import line
+from routeloom.session import ship
 
 #: Fixed value: points nearer than this are one.
 SAME_POINT = 0.01
@@ -80,8 +85,9 @@ def joined_lines(items: DataFrame, keys: Sequence[str]) -> DataFrame:
 def covered_cells(lines: DataFrame, keys: Sequence[str], width: float = 6.0) -> DataFrame:
     """(keys, cx, cy): grid cells whose whole-number centre is within half of ``width`` of a line; a single point fills a disc of radius ``width``.
 
-    Lines: (keys, points).  Row by row only the stretch of a segment that can reach
-    the row is looked at, so work grows with its length, not with its box.
+    Lines: (keys, points).  Row by row the stretch that a segment covers is computed
+    whole, and stretches are merged before they become cells, so work grows with the
+    height of the lines and the cells that come out, not with how often these are covered.
     Distances count to a millionth, so that rounding does not decide at the rim.
     """
     n = F.size("points")
@@ -89,13 +95,54 @@ def covered_cells(lines: DataFrame, keys: Sequence[str], width: float = 6.0) ->
     pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda k: F.struct(F.get("points", k - 1).alias("a"), F.get("points", k).alias("b"), F.lit(width / 2).alias("r")))
     d = lines.select(*keys, F.explode(F.when(n > 1, pairs).otherwise(ends)).alias("s"))
     d = d.select(*keys, F.col("s.a.x").alias("ax"), F.col("s.a.y").alias("ay"), F.col("s.b.x").alias("bx"), F.col("s.b.y").alias("by"), F.col("s.r").alias("r"))
-    cells = lambda low, high: F.when(F.ceil(low - RIM) <= F.floor(high + RIM), F.sequence(F.ceil(low - RIM), F.floor(high + RIM)))
     c = F.col
-    d = d.withColumn("cy", F.explode(cells(F.least("ay", "by") - c("r"), F.greatest("ay", "by") + c("r"))))
-    cut = lambda y: F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce(F.try_divide(y - c("ay"), c("by") - c("ay")), F.lit(0.0))))
-    level = c("ay") == c("by")
-    t0, t1 = F.when(level, 0.0).otherwise(cut(c("cy") - c("r"))), F.when(level, 1.0).otherwise(cut(c("cy") + c("r")))
-    d = d.withColumn("_x0", c("ax") + t0 * (c("bx") - c("ax"))).withColumn("_x1", c("ax") + t1 * (c("bx") - c("ax")))
-    d = d.withColumn("cx", F.explode(cells(F.least("_x0", "_x1") - c("r"), F.greatest("_x0", "_x1") + c("r"))))
-    near = geo.segment_offset(c("cx").cast("double"), c("cy").cast("double"), c("ax"), c("ay"), c("bx"), c("by"))["distance"]
-    return d.where(F.round(near, 6) <= c("r")).select(*keys, "cx", "cy").distinct()
+    d = d.where("ax is not null and ay is not null and bx is not null and by is not null")
+    ship(d.sparkSession)
+    d = d.select(*keys, "ax", "ay", "bx", "by", "r").repartition(2 * d.sparkSession.sparkContext.defaultParallelism)
+    schema = StructType([*(d.schema[k] for k in keys), StructField("cy", LongType()), StructField("_low", LongType()), StructField("_high", LongType())])
+
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 2000):
+                part = batch.slice(k, 2000)
+                at, y, low, high = _stretches(*[part[name].to_numpy() for name in ("ax", "ay", "bx", "by", "r")])
+                picked = pa.array(at)
+                yield pa.RecordBatch.from_arrays([*[part[name].take(picked) for name in keys], pa.array(y), pa.array(low), pa.array(high)], schema=to_arrow_schema(schema))
+
+    # of stretches that begin together the longest is enough; what the ones before have is left out
+    d = d.mapInArrow(stretches, schema).groupBy(*keys, "cy", "_low").agg(F.max("_high").alias("_high"))
+    before = Window.partitionBy(*keys, "cy").orderBy("_low").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("_low", F.greatest("_low", F.max("_high").over(before) + 1)).where("_low <= _high")
+    return d.select(*keys, F.explode(F.sequence("_low", "_high")).alias("cx"), "cy")
+
+
+def _stretches(ax, ay, bx, by, r) -> tuple[np.ndarray, ...]:
+    """(segment, row, lowest, highest): cells of whole numbers that count as at most ``r`` from a segment to a millionth.
+
+    What is so near is convex: the discs around both ends and the strip between them.
+    """
+    top = np.floor(np.maximum(ay, by) + r + RIM).astype(np.int64)
+    rows = np.maximum(0, top - np.ceil(np.minimum(ay, by) - r - RIM).astype(np.int64) + 1)
+    at = np.repeat(np.arange(len(ax)), rows)
+    y = np.repeat(top, rows) - (np.arange(len(at)) - np.repeat(np.cumsum(rows) - rows, rows))
+    far = np.floor(r * 1e6 + 1e-3) / 1e6 + 5e-7
+    dx, dy = bx - ax, by - ay
+    square = dx * dx + dy * dy
+    with np.errstate(all="ignore"):
+        lean, half, rise, run = (v[at] for v in (dx / dy, far * np.sqrt(square) / np.abs(dy), dy / dx, square / dx))
+        a, b, f, level, upright = y - ay[at], y - by[at], far[at], (dy == 0)[at], (dx == 0)[at]
+        near_a, near_b = np.abs(a) < f, np.abs(b) < f
+        wide_a, wide_b = np.sqrt(f * f - a * a), np.sqrt(f * f - b * b)
+        xa, xb = ax[at], bx[at]
+        middle, end = xa + a * lean, xa - a * rise
+        # beside the line by less than ``far``, and along it between its ends
+        left = np.where(level, -np.inf, middle - half), np.where(upright, -np.inf, np.minimum(end, end + run))
+        right = np.where(level, np.inf, middle + half), np.where(upright, np.inf, np.maximum(end, end + run))
+        left, right = np.maximum(*left), np.minimum(*right)
+        between = (y >= np.minimum(ay, by)[at]) & (y <= np.maximum(ay, by)[at])
+        strip = (square > 1e-12)[at] & (left <= right) & (~level | near_a) & (~upright | between)
+    low = np.minimum(np.where(near_a, xa - wide_a, np.inf), np.minimum(np.where(near_b, xb - wide_b, np.inf), np.where(strip, left, np.inf)))
+    high = np.maximum(np.where(near_a, xa + wide_a, -np.inf), np.maximum(np.where(near_b, xb + wide_b, -np.inf), np.where(strip, right, -np.inf)))
+    low, high = np.ceil(low), np.floor(high)
+    kept = low <= high
+    return at[kept], y[kept], low[kept].astype(np.int64), high[kept].astype(np.int64)

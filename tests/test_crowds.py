@@ -35,3 +35,23 @@ def test_support_by_dots_is_support(spark, kind):
     assert sorted(r[0] for r in frame.collect()) == want and 2 < len(want) < 155
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+def test_cells_of_many_lines_on_one_spot(spark):
+    from routeloom.operators import paths
+
+    rng = np.random.default_rng(11)
+    ends = [((3.0, 4.0), (3.0, 30.0)), ((0.0, 7.0), (25.0, 7.0)), ((5.0, 5.0), (5.0, 5.0))] + [tuple(map(tuple, e)) for e in rng.integers(0, 40, (60, 2, 2)).astype(float).tolist() + rng.uniform(0, 40, (20, 2, 2)).tolist()]
+    want = {}
+    grid = np.stack(np.meshgrid(np.arange(-10, 55), np.arange(-10, 55), indexing="ij"), -1).reshape(-1, 2).astype(float)
+    for k, (a, b) in enumerate(ends):
+        d = np.subtract(b, a)
+        t = np.clip((grid - a) @ d / (d @ d), 0, 1) if d @ d > 1e-12 else np.zeros(len(grid))
+        away = np.hypot(*(grid - a - t[:, None] * d).T)
+        want.setdefault(k % 3, set()).update(map(tuple, grid[np.round(away, 6) <= 3].astype(int).tolist()))
+    lines = spark.createDataFrame([(k % 3, [a, b]) for k, (a, b) in enumerate(ends)] * 3, "k long, points array<struct<x:double,y:double>>")
+    got = paths.covered_cells(lines, ["k"])
+    rows = got.collect()
+    assert len(rows) == len(set(rows)) and {(r.k, r.cx, r.cy) for r in rows} == {(k, *c) for k, cells in want.items() for c in cells}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("HashAggregate") > plan.index("Window")  # merged as stretches, not as cells
