@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from routeloom.functions import rect, text
-from routeloom.operators.joins import best_per
+from routeloom.operators import tiles
 
 # Dash patterns of routes; largest side of a small drawing; marker search, cluster and score limits.
 ROUTE_DASHES = ("[ .05 2.5 ] 0", "[ .02 3 ] 0")
@@ -56,19 +59,18 @@ def redness(c: Column) -> Column:
     return F.coalesce(c[0] - (c[1] + c[2]) / 2, F.lit(0.0))
 
 
-def marker_score(distance: Column, kind: Column, box: Column, fill: Column, stroke: Column, items: Column, route_like: Column) -> Column:
-    """How much a small drawing looks like the marker of a label at ``distance``."""
+def marker_points(kind: Column, box: Column, fill: Column, stroke: Column, items: Column, route_like: Column) -> list[Column]:
+    """What a small drawing scores as a marker whatever its distance: the terms in order, the last to be taken off."""
     wide, high = box["x1"] - box["x0"], box["y1"] - box["y0"]
     given = lambda test, points: F.when(test, points).otherwise(0.0)
-    return (
-        F.greatest(F.lit(0.0), 40.0 - distance) / 10.0
-        + F.when(kind.isin("f", "fs"), 1.1).when(kind == "s", 0.2).otherwise(0.0)
-        + F.when(wide.between(1.5, 12.0) & high.between(1.5, 12.0), 1.0).when((wide <= 18.0) & (high <= 18.0), 0.4).otherwise(0.0)
-        + given(F.least(brightness(fill), brightness(stroke)) < 0.45, 1.1)
-        + given((redness(fill) > 0.25) | (redness(stroke) > 0.25), 0.5)
-        + given(items.between(2, 80), 0.3)
-        - given(route_like, 2.2)
-    )
+    return [
+        F.when(kind.isin("f", "fs"), 1.1).when(kind == "s", 0.2).otherwise(0.0),
+        F.when(wide.between(1.5, 12.0) & high.between(1.5, 12.0), 1.0).when((wide <= 18.0) & (high <= 18.0), 0.4).otherwise(0.0),
+        given(F.least(brightness(fill), brightness(stroke)) < 0.45, 1.1),
+        given((redness(fill) > 0.25) | (redness(stroke) > 0.25), 0.5),
+        given(items.between(2, 80), 0.3),
+        given(route_like, 2.2),
+    ]
 
 
 def snap_to_markers(labels: DataFrame, markers: DataFrame) -> DataFrame:
@@ -77,40 +79,121 @@ def snap_to_markers(labels: DataFrame, markers: DataFrame) -> DataFrame:
     Markers: (marker, page, x, y, box, kind, fill, stroke, items, route_like).  Of the
     markers within 42 points the best score counts, then the least id; the cluster are
     those within 8 points of it whose score is at most 1.25 lower.  A label without a
-    marker, or with a score below 1.25, keeps its own place.
+    marker, or with a score below 1.25, keeps its own place.  The score is
+    (40 - distance) / 10, 0 at least, and the terms of ``marker_points``.  Labels meet
+    the markers of their tile and what is 42 around it, as arrays.
     """
-    a, b = labels.select("label", F.col("page").alias("_page"), F.col("x").alias("_x"), F.col("y").alias("_y")), markers
-    away = F.hypot(F.col("x") - F.col("_x"), F.col("y") - F.col("_y"))
-    near = a.join(b, (F.col("page") == F.col("_page")) & F.col("x").between(F.col("_x") - MARKER_REACH, F.col("_x") + MARKER_REACH) & (away <= MARKER_REACH)).withColumn("distance", away)
-    near = near.withColumn("score", marker_score(*[F.col(c) for c in ("distance", "kind", "box", "fill", "stroke", "items", "route_like")]))
-    best = best_per(near, ["label"], F.desc("score"), F.col("marker")).select("label", F.col("score").alias("best"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    held = near.join(best.where(F.col("best") >= LEAST_SCORE), "label")
-    held = held.where((F.hypot(F.col("x") - F.col("bx"), F.col("y") - F.col("by")) <= CLUSTER_REACH) & (F.col("score") >= F.col("best") - SCORE_WINDOW))
-    found = held.groupBy("label").agg(
-        F.avg("x").alias("cx"), F.avg("y").alias("cy"), F.count("*").alias("cluster"),
-        rect.rect(F.min("box.x0"), F.min("box.y0"), F.max("box.x1"), F.max("box.y1")).alias("marker_box"),
-    )
-    d = a.join(best.select("label", "best"), "label", "left").join(found, "label", "left")
+    a = labels.select("label", F.col("page").alias("_page"), F.col("x").cast("double").alias("_x"), F.col("y").cast("double").alias("_y"))
+    terms = marker_points(*[F.col(c) for c in ("kind", "box", "fill", "stroke", "items", "route_like")])
+    count_of_terms = len(terms)
+    b = markers.where("page is not null and x is not null and y is not null")
+    b = b.select("marker", F.col("page").alias("_page"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), "box", *[t.cast("double").alias(f"_s{k}") for k, t in enumerate(terms)])
+    names = ("best", "cx", "cy", "cluster", "x0", "y0", "x1", "y1")
+    schema = StructType([*a.schema.fields, *[StructField(c, DoubleType()) for c in names]])
+
+    def work(a: pa.Table, b: pa.Table) -> pa.Table:
+        n = a.num_rows
+        out = {c: np.full(n, np.nan) for c in names}
+        if n and b.num_rows:
+            b = tiles.ordered(b, "marker")
+            px, py, x, y = tiles.numbers(a, "_x"), tiles.numbers(a, "_y"), tiles.numbers(b, "x"), tiles.numbers(b, "y")
+            sides = [tiles.numbers(b, f"box.{c}") for c in ("x0", "y0", "x1", "y1")]
+            plus = [tiles.numbers(b, f"_s{k}") for k in range(count_of_terms)]
+            for k in tiles.steps(n, b.num_rows):
+                dx, dy = x - px[k, None], y - py[k, None]
+                away = np.sqrt(dx * dx + dy * dy)
+                score = np.maximum(0.0, 40.0 - away) / 10.0
+                for term in plus[:-1]:
+                    score += term
+                score -= plus[-1]
+                score[~(away <= MARKER_REACH)] = -np.inf
+                first = score.argmax(axis=1)
+                best = score[np.arange(len(first)), first]
+                ok = best >= LEAST_SCORE
+                rows, at = np.nonzero(ok[:, None] & (score >= np.where(ok, best, np.inf)[:, None] - SCORE_WINDOW))
+                ux, uy = x[at] - x[first[rows]], y[at] - y[first[rows]]
+                held = np.sqrt(ux * ux + uy * uy) <= CLUSTER_REACH
+                rows, at = rows[held], at[held]
+                out["best"][k] = np.where(np.isfinite(best), best, np.nan)
+                if not len(rows):
+                    continue
+                whose, begin, count = np.unique(rows, return_index=True, return_counts=True)
+                whose = whose + k.start
+                out["cluster"][whose] = count
+                out["cx"][whose], out["cy"][whose] = np.add.reduceat(x[at], begin) / count, np.add.reduceat(y[at], begin) / count
+                for c, side, low in zip(("x0", "y0", "x1", "y1"), sides, (True, True, False, False), strict=True):
+                    out[c][whose] = (np.fmin if low else np.fmax).reduceat(side[at], begin)
+        t = a.select(["label", "_page", "_x", "_y"])
+        for c in names:
+            t = t.append_column(c, pa.array(out[c], from_pandas=True))
+        return t
+
+    spot = rect.rect(F.col("x"), F.col("y"), F.col("x"), F.col("y"))
+    spread = tiles.covering(b.withColumn("_spot", spot), F.col("_spot"), MARKER_REACH, MARKER_REACH).drop("_spot")
+    d = tiles.by_tile(tiles.placed(a, F.col("_x"), F.col("_y"), MARKER_REACH), spread, ["_page"], work, schema)
     x, y = F.coalesce("cx", "_x"), F.coalesce("cy", "_y")
     reason = F.when(F.col("best").isNull(), "marker_not_found").when(F.col("cluster").isNull(), "marker_score_low").otherwise("marker_snapped")
+    box = F.when(F.col("cluster").isNotNull(), rect.rect(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")))
     return d.select(
-        "label", F.col("cluster").isNotNull().alias("marker_found"), x.alias("x"), y.alias("y"), "marker_box",
+        "label", F.col("cluster").isNotNull().alias("marker_found"), x.alias("x"), y.alias("y"), box.alias("marker_box"),
         F.round(F.hypot(x - F.col("_x"), y - F.col("_y")), 3).alias("snap_distance"), F.round(F.coalesce("best", F.lit(0.0)), 3).alias("score"),
-        F.coalesce("cluster", F.lit(0)).alias("cluster"), reason.alias("reason"),
+        F.coalesce(F.col("cluster").cast("long"), F.lit(0)).alias("cluster"), reason.alias("reason"),
     )
 
 
+def best_partners(names: DataFrame, others: DataFrame, keys: Sequence[str], reach: float, score, columns: Sequence[str]) -> DataFrame:
+    """(name, other, score): of the others of equal ``keys`` within ``reach`` of a name the one of the highest score, then the least label.
+
+    Both: (label, x, y, keys, columns); keys may be null, and then equal.  ``score(away, high,
+    a, b)`` gets distances, differences in y and the columns as numbers, by name and by
+    other; it gives scores, negative infinity for none.
+    """
+    names, others = (d.select("label", *keys, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), *columns).where("x is not null and y is not null") for d in (names, others))
+    kind = names.schema["label"].dataType
+    schema = StructType([StructField("name", kind), StructField("other", others.schema["label"].dataType), StructField("score", DoubleType())])
+    fields = list(columns)
+
+    def work(a: pa.Table, b: pa.Table) -> pa.Table:
+        n = a.num_rows
+        best, top = np.full(n, -1), np.full(n, -np.inf)
+        if n and b.num_rows:
+            b = tiles.ordered(b, "label")
+            p, q = ({c: tiles.numbers(t, c) for c in ("x", "y", *fields)} for t in (a, b))
+            for k in tiles.steps(n, b.num_rows):
+                dx, dy = p["x"][k, None] - q["x"], p["y"][k, None] - q["y"]
+                away = np.sqrt(dx * dx + dy * dy)
+                s = score(away, dy, {c: p[c][k, None] for c in fields}, q)
+                s[~(away <= reach)] = -np.inf
+                first = s.argmax(axis=1)
+                top[k] = s[np.arange(len(first)), first]
+                best[k] = first
+        kept = np.isfinite(top)
+        picked = pa.array(np.flatnonzero(kept))
+        return pa.table({"name": a["label"].take(picked), "other": tiles.taken(b["label"], best[kept]), "score": pa.array(top[kept])})
+
+    spot = rect.rect(F.col("x"), F.col("y"), F.col("x"), F.col("y"))
+    spread = tiles.covering(others.withColumn("_spot", spot), F.col("_spot"), reach, reach).drop("_spot")
+    return tiles.by_tile(tiles.placed(names, F.col("x"), F.col("y"), reach), spread, keys, work, schema)
+
+
 def reading_of(names: DataFrame, readings: DataFrame) -> DataFrame:
     """(name, reading, score): the reading label that goes with each name label, if one scores over 0.7.
 
     Both: (label, page, frame, x, y, color, size).  Labels belong to one page and frame and lie within 26 points.
     """
-    a, b = names.alias("a"), readings.alias("b")
-    away = F.hypot(F.col("a.x") - F.col("b.x"), F.col("a.y") - F.col("b.y"))
-    test = (F.col("a.page") == F.col("b.page")) & F.col("a.frame").eqNullSafe(F.col("b.frame")) & (F.col("a.label") != F.col("b.label")) & (away <= READING_REACH)
-    score = F.greatest(F.lit(0.0), 24.0 - away) / 10.0 + F.when(F.col("a.color") == F.col("b.color"), 1.0).otherwise(0.0) + F.when(F.col("b.size") < F.col("a.size"), 0.3).otherwise(0.0)
-    d = a.join(b, test).select(F.col("a.label").alias("name"), F.col("b.label").alias("reading"), score.alias("score"))
-    return best_per(d, ["name"], F.desc("score"), F.col("reading")).where(F.col("score") > READING_SCORE)
+
+    def score(away, high, a, b):
+        s = np.maximum(0.0, 24.0 - away) / 10.0 + np.where(a["_color"] == b["_color"], 1.0, 0.0) + np.where(b["size"] < a["size"], 0.3, 0.0)
+        return np.where(a["_own"] == b["_own"], -np.inf, s)
+
+    coded = lambda d: d.where("page is not null").withColumn("_color", _code("color")).withColumn("_own", _code("label"))
+    d = best_partners(coded(names), coded(readings), ["page", "frame"], READING_REACH, score, ["_color", "size", "_own"])
+    return d.select("name", F.col("other").alias("reading"), "score").where(F.col("score") > READING_SCORE)
+
+
+def _code(column: str) -> Column:
+    """A number for a value, whatever its type; null without one.  53 bits of a hash, so that a double holds it."""
+    return F.when(F.col(column).isNotNull(), F.shiftrightunsigned(F.xxhash64(F.col(column).cast("string")), 11))
 
 
 def gazetteer_matches(labels: DataFrame, gazetteer: DataFrame) -> DataFrame:
