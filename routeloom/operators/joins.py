@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from routeloom.functions import geo, rect
-from routeloom.session import written
+from routeloom.functions import rect
+from routeloom.operators import tiles
+from routeloom.session import ship, written
 
 
 def best_per(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
@@ -22,20 +26,74 @@ def assign_container(items: DataFrame, frames: DataFrame, reach: float = 24.0, c
 
     Frames: (frame_id, frame_page, frame_box, score).  Of the frames that hold the centre
     the least area wins, then the highest score; else the least distance between the
-    boxes, then the area.  Items without a frame stay, with nulls.  Both meet in the
-    grid cells that they cover, so a crowded page is dealt over many tasks.
+    boxes, then the area.  Items without a frame stay, with nulls.  Items go to the tile
+    of their centre and frames to all that they can reach; a tile is worked off as arrays.
+    Items larger than a tile meet the frames in grid cells of the size ``cell``.
     """
     b = F.col("box")
-    cells = lambda low, high: F.sequence(F.floor(low / cell).cast("long"), F.floor(high / cell).cast("long"))
-    put = lambda d, r, slack: d.withColumn("cx", F.explode(cells(r["x0"] - slack, r["x1"] + slack))).withColumn("cy", F.explode(cells(r["y0"] - slack, r["y1"] + slack)))
-    look = put(items.withColumnRenamed("page", "frame_page"), b, 0.0)
-    met = look.join(put(frames, F.col("frame_box"), reach), ["frame_page", "cx", "cy"])
+    tile = max(reach, min(cell, tiles.mean_side(frames, F.col("frame_box"))))
+    wide = F.coalesce(F.greatest(F.abs(b["x1"] - b["x0"]), F.abs(b["y1"] - b["y0"])) > tile, F.lit(False))
+    return _contained(items.where(~wide), frames, reach, tile).unionByName(_contained_by_cells(items.where(wide), frames, reach, cell))
+
+
+def _contained(items: DataFrame, frames: DataFrame, reach: float, tile: float) -> DataFrame:
+    """``assign_container`` of items whose sides are at most ``tile``."""
+    b = F.col("box")
+    left = tiles.placed(items, (b["x0"] + b["x1"]) / 2, (b["y0"] + b["y1"]) / 2, tile).withColumn("frame_page", F.col("page"))
+    right = tiles.covering(frames.select("frame_id", "frame_page", "frame_box", "score").where("frame_page is not null"), F.col("frame_box"), tile, reach + tile / 2)
+    schema = StructType([*items.schema.fields, StructField("frame_id", frames.schema["frame_id"].dataType), StructField("gap", DoubleType())])
+    names = items.columns
+
+    def work(a: pa.Table, f: pa.Table) -> pa.Table:
+        n = a.num_rows
+        best, gap = np.full(n, -1), np.full(n, np.nan)
+        if n and f.num_rows:
+            f = f.append_column("_area", pa.array(_area(f, "frame_box")))
+            f = tiles.ordered(f, "_area", "frame_id")
+            worth = tiles.ordered(f.append_column("_at", pa.array(np.arange(f.num_rows))), "_area", "-score", "frame_id")["_at"].to_numpy()
+            u, v, x, y = (tiles.numbers(f, f"frame_box.{k}") for k in ("x0", "x1", "y0", "y1"))
+            p, q, r, s = (tiles.numbers(a, f"box.{k}") for k in ("x0", "x1", "y0", "y1"))
+            cx, cy = (p + q) / 2, (r + s) / 2
+            # only frames that reach the centres of this tile can hold one
+            able = worth[(u[worth] <= cx.max()) & (v[worth] >= cx.min()) & (x[worth] <= cy.max()) & (y[worth] >= cy.min())] if not np.isnan(cx).any() else worth
+            for k in tiles.steps(n, len(able)):
+                if len(able):
+                    m = (cx[k, None] >= u[able]) & (cx[k, None] <= v[able]) & (cy[k, None] >= x[able]) & (cy[k, None] <= y[able])
+                    first = m.argmax(axis=1)
+                    hit = m[np.arange(len(first)), first]
+                    best[k], gap[k] = np.where(hit, able[first], -1), np.where(hit, 0.0, np.nan)
+            free = np.flatnonzero(best < 0)
+            for k in tiles.steps(len(free), f.num_rows):
+                i = free[k]
+                dx = np.maximum(0.0, np.maximum(u - q[i, None], p[i, None] - v))
+                dy = np.maximum(0.0, np.maximum(x - s[i, None], r[i, None] - y))
+                away = np.sqrt(dx * dx + dy * dy)
+                away[np.isnan(away)] = np.inf
+                first = away.argmin(axis=1)
+                least = away[np.arange(len(first)), first]
+                best[i], gap[i] = np.where(least <= reach, first, -1), np.where(least <= reach, least, np.nan)
+        out = a.select(names).append_column("frame_id", tiles.taken(f["frame_id"], best))
+        return out.append_column("gap", pa.array(gap, mask=best < 0))
+
+    return tiles.by_tile(left, right, ["frame_page"], work, schema)
+
+
+def _area(t: pa.Table, box: str) -> np.ndarray:
+    x0, y0, x1, y1 = (tiles.numbers(t, f"{box}.{k}") for k in ("x0", "y0", "x1", "y1"))
+    return np.maximum(0.0, x1 - x0) * np.maximum(0.0, y1 - y0)
+
+
+def _contained_by_cells(items: DataFrame, frames: DataFrame, reach: float, cell: float) -> DataFrame:
+    """``assign_container`` of large items, which go to all cells that they cover."""
+    b = F.col("box")
+    look = tiles.covering(items.withColumnRenamed("page", "frame_page"), b, cell)
+    met = look.join(tiles.covering(frames, F.col("frame_box"), cell, reach), ["frame_page", "_cx", "_cy"])
     held = rect.holds_point(F.col("frame_box"), (b["x0"] + b["x1"]) / 2, (b["y0"] + b["y1"]) / 2)
     gap = F.when(held, F.lit(-1.0)).otherwise(rect.gap(b, F.col("frame_box")))
     near = met.withColumn("gap", gap).where(F.col("gap") <= reach).withColumn("box_area", rect.area(F.col("frame_box")))
     order = [F.col("gap"), F.col("box_area"), F.when(F.col("gap") < 0, -F.col("score")), F.col("frame_id")]
     best = best_per(near, ["item_id"], *order).select("item_id", "frame_id", F.greatest("gap", F.lit(0.0)).alias("gap"))
-    return items.join(best, "item_id", "left")
+    return items.join(best, "item_id", "left").select(*items.columns, "frame_id", "gap")
 
 
 def parallel_lines(segments: DataFrame) -> DataFrame:
@@ -56,46 +114,74 @@ def parallel_lines(segments: DataFrame) -> DataFrame:
     return met.where((wide >= least * 0.7) & (level <= 4)).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
 
 
-def rect_pairs(left: DataFrame, limit: float) -> DataFrame:
-    """(a, b, page): rectangles of a page whose gap is at most ``limit``, a < b.  Input: (id, page, box)."""
-    a, b = left.alias("a"), left.alias("b")
-    test = (F.col("a.page") == F.col("b.page")) & (F.col("a.id") < F.col("b.id")) & (rect.gap(F.col("a.box"), F.col("b.box")) <= limit)
-    return a.join(b, test).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.page").alias("page"))
+def rect_pairs(left: DataFrame, limit: float, boxes: bool = False) -> DataFrame:
+    """(a, b, page): rectangles of a page whose gap is at most ``limit``, a < b; with ``boxes`` also (left, right).  Input: (id, page, box).
+
+    They meet in the grid cells that they cover, each pair in one of them.
+    """
+    cell = tiles.mean_side(left, F.col("box")) + limit
+    d = left.repartition(2 * left.sparkSession.sparkContext.defaultParallelism)
+    a, b = (d.select("page", F.col("id").alias(i), F.col("box").alias(n)) for i, n in (("a", "left"), ("b", "right")))
+    met = tiles.meeting(a, b, ["page"], "left", "right", limit, cell).where((F.col("a") < F.col("b")) & (rect.gap(F.col("left"), F.col("right")) <= limit))
+    return met.select("a", "b", "page", *(["left", "right"] if boxes else []))
 
 
 def nearest_segment(points: DataFrame, segments: DataFrame, cell: float) -> DataFrame:
     """Each point (point_id, x, y) with the nearest of segments (segment_id, ax, ay, bx, by), however far.
 
-    Segments are put into the grid cells of their box; a point looks at its own
-    cell and the eight around it, which is right for anything within ``cell``.
-    Points that found nothing so near look again with cells eight times as wide.
-    What a level found and left is written, so no level computes the ones before again.  Ties go to the lesser segment id.
+    Points are dealt into tiles, and a segment goes to all tiles within ``width`` of its
+    box, which is right for anything within ``width``; a tile is worked off as arrays.
+    The first width follows the number of segments on the area, ``cell`` at most.  Points
+    that found nothing so near look again at eight times the width.  What a level found
+    and left is written, so no level computes the ones before again.  Ties go to the lesser segment id.
     """
-    corners = [F.least("ax", "bx"), F.greatest("ax", "bx"), F.least("ay", "by"), F.greatest("ay", "by")]
-    box = segments.select("segment_id", "ax", "ay", "bx", "by", *[c.alias(n) for c, n in zip(corners, ("x0", "x1", "y0", "y1"), strict=True)])
-    ends = box.agg(F.max(F.greatest(F.abs("x0"), F.abs("x1"), F.abs("y0"), F.abs("y1"))).alias("s")).first()["s"]
-    if ends is None:
-        return points.select("point_id", F.lit(None).cast("long").alias("segment_id"), F.lit(None).cast("double").alias("t"), F.lit(None).cast("double").alias("distance")).where("false")
+    s = segments.select("segment_id", "ax", "ay", "bx", "by").withColumn("box", rect.rect(F.least("ax", "bx"), F.least("ay", "by"), F.greatest("ax", "bx"), F.greatest("ay", "by")))
+    x0, y0, x1, y1 = (F.col(f"box.{k}") for k in ("x0", "y0", "x1", "y1"))
+    row = s.agg(
+        F.max(F.greatest(F.abs(x0), F.abs(x1), F.abs(y0), F.abs(y1))).alias("ends"), F.count("*").alias("n"), ((F.max(x1) - F.min(x0)) * (F.max(y1) - F.min(y0))).alias("area"), F.avg(F.greatest(x1 - x0, y1 - y0)).alias("side")
+    ).first()
+    found = StructType([*points.schema.fields, StructField("segment_id", segments.schema["segment_id"].dataType), StructField("t", DoubleType()), StructField("distance", DoubleType())])
+    if row["ends"] is None:
+        return points.sparkSession.createDataFrame([], found).select("point_id", "segment_id", "t", "distance")
     reach = points.agg(F.max(F.greatest(F.abs("x"), F.abs("y"))).alias("s")).first()["s"] or 0.0
+    names = points.columns
+
+    def work(a: pa.Table, b: pa.Table) -> pa.Table:
+        n = a.num_rows
+        best, share, away = np.full(n, -1), np.full(n, np.nan), np.full(n, np.nan)
+        if n and b.num_rows:
+            b = tiles.ordered(b, "segment_id")
+            ax, ay, bx, by = (tiles.numbers(b, c) for c in ("ax", "ay", "bx", "by"))
+            dx, dy = bx - ax, by - ay
+            square = dx * dx + dy * dy
+            length = np.where(square <= 1e-12, np.inf, square)  # a point where it has no length
+            x, y = tiles.numbers(a, "x"), tiles.numbers(a, "y")
+            for k in tiles.steps(n, b.num_rows):
+                px, py = x[k, None] - ax, y[k, None] - ay
+                t = np.maximum(0.0, np.minimum(1.0, (px * dx + py * dy) / length))
+                u, v = px - t * dx, py - t * dy
+                d = np.sqrt(u * u + v * v)
+                d[np.isnan(d)] = np.inf
+                first = d.argmin(axis=1)
+                at = np.arange(len(first)), first
+                known = np.isfinite(d[at])
+                best[k], share[k], away[k] = np.where(known, first, -1), t[at], d[at]
+        out = a.select(names).append_column("segment_id", tiles.taken(b["segment_id"], best))
+        return out.append_column("t", pa.array(share, mask=best < 0)).append_column("distance", pa.array(away, mask=best < 0))
+
     done: list[DataFrame] = []
-    left, width = points, float(cell)
+    left, width = points, max(float(np.sqrt(2 * (row["area"] or 0.0) / row["n"])), (row["side"] or 0.0) / 4)
+    width = min(float(cell), width) if width > 0 else float(cell)
     while True:
-        last = width > 2 * (ends + reach)
-        step = lambda c, w=width: F.floor(F.col(c) / w).cast("long")
-        spread = box.withColumn("cx", F.explode(F.sequence(step("x0"), step("x1")))).withColumn("cy", F.explode(F.sequence(step("y0"), step("y1"))))
-        ring = F.array(*[F.lit(k) for k in (-1, 0, 1)])
-        looking = left.withColumn("dx", F.explode(ring)).withColumn("dy", F.explode(ring))
-        looking = looking.withColumn("cx", step("x") + F.col("dx")).withColumn("cy", step("y") + F.col("dy"))
-        hit = geo.segment_offset(*[F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")])
-        met = looking.join(spread, ["cx", "cy"]).select("point_id", "segment_id", hit.alias("hit"))
-        # the least by (distance, id) of a point needs no sort: partial results meet in one aggregate
-        best = met.groupBy("point_id").agg(F.min(F.struct(F.col("hit.distance").alias("distance"), F.col("segment_id").alias("segment_id"), F.col("hit.t").alias("t"))).alias("b"))
-        level = written(left.join(best.select("point_id", "b.*"), "point_id", "left"), "nearest")
+        last = width > 2 * (row["ends"] + reach)
+        spread = tiles.covering(s, F.col("box"), 2 * width, width)
+        met = tiles.by_tile(tiles.placed(left, F.col("x"), F.col("y"), 2 * width), spread, [], work, found)
+        level = written(met, "nearest")
         near = F.coalesce(F.col("distance") <= width, F.lit(False)) if not last else F.lit(True)
         done.append(level.where(near).select("point_id", "segment_id", "t", "distance"))
         if last:
             break
-        left = level.where(~near).select(*points.columns)
+        left = level.where(~near).select(*names)
         if left.isEmpty():
             break
         width *= 8
@@ -105,6 +191,25 @@ def nearest_segment(points: DataFrame, segments: DataFrame, cell: float) -> Data
     return whole
 
 
+def points_inside(frames: DataFrame, points: DataFrame) -> DataFrame:
+    """(id, n): how many points (page, x, y) the boxes of frames (id, page, box) hold, borders included; frames without any go.
+
+    Points of a page are counted by rank, not met one by one.
+    """
+    ship(frames.sparkSession)
+    schema = StructType([StructField("id", frames.schema["id"].dataType), StructField("n", LongType())])
+
+    def page(a: pa.Table, b: pa.Table) -> pa.Table:
+        counts = tiles.PointCounts(tiles.numbers(b, "x"), tiles.numbers(b, "y"))
+        n = counts.inside(*[tiles.numbers(a, f"box.{c}") for c in ("x0", "y0", "x1", "y1")])
+        return pa.table({"id": a["id"], "n": pa.array(n, pa.int64())})
+
+    left = frames.select("page", "id", "box").where("page is not null and box.x0 is not null and box.y0 is not null and box.x1 is not null and box.y1 is not null")
+    right = points.select(F.col("page").cast(left.schema["page"].dataType).alias("page"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).where("x is not null and y is not null")
+    d = left.groupBy("page").cogroup(right.groupBy("page")).applyInArrow(page, schema)
+    return d.groupBy("id").agg(F.sum("n").alias("n")).where("n > 0")
+
+
 def merge_preferred(automatic: DataFrame, manual: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Automatic rows of groups without manual ones, and all manual rows."""
     return automatic.join(manual.select(*keys).distinct(), list(keys), "left_anti").unionByName(manual, allowMissingColumns=True)
