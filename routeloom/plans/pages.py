@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from routeloom.functions import rect, text
-from routeloom.operators import graph, joins, labels, rules
+from routeloom.operators import graph, joins, labels, rules, tiles
 from routeloom.plans.base import drawings, frames, table, with_
 
 GAP = 34.0
@@ -41,9 +42,9 @@ def top_pages(spark, sf_dir):
 
 def frame_score(spark, sf_dir):
     f = frames(spark, sf_dir)
-    d = _classified(spark, sf_dir).where(F.col("class") == rules.ROUTE_CLASS).select(F.col("page").alias("dpage"), "px", "py")
-    inside = (F.col("page") == F.col("dpage") % 32) & rect.holds_point(rect.rect(F.col("x0") - 60, F.col("y0") - 60, F.col("x1") + 60, F.col("y1") + 60), F.col("px"), F.col("py"))
-    counts = f.join(d, inside).groupBy("id").agg(F.count("*").alias("routes"))
+    d = _classified(spark, sf_dir).where(F.col("class") == rules.ROUTE_CLASS).select((F.col("page") % 32).alias("page"), F.col("px").alias("x"), F.col("py").alias("y"))
+    wide = f.select("id", "page", rect.rect(F.col("x0") - 60, F.col("y0") - 60, F.col("x1") + 60, F.col("y1") + 60).alias("box"))
+    counts = joins.points_inside(wide, d).withColumnRenamed("n", "routes")
     s = f.join(counts, "id", "left").withColumn("routes", F.coalesce("routes", F.lit(0)))
     k = F.col("id")
     shade = lambda m: ((k * m) % 101) / F.lit(100.0)
@@ -65,16 +66,11 @@ _FRAME_SCORE = f""", hits AS (SELECT f.id, count(*) AS routes FROM frames f JOIN
       + CASE WHEN w / h > 5.5 OR w / h < 0.18 THEN -1.5 ELSE 0 END + CASE WHEN cx <= 2 AND NOT rl THEN -2.5 ELSE 0 END + CASE WHEN routes = 0 THEN -3.0 ELSE 0 END, 4) AS score FROM n"""
 
 
-def _pairs(spark, sf_dir, gap: float) -> DataFrame:
-    return joins.rect_pairs(frames(spark, sf_dir).select("id", "page", "box"), gap)
-
-
 _GAP_SQL = "sqrt(pow(greatest(0, a.x0 - b.x1, b.x0 - a.x1), 2) + pow(greatest(0, a.y0 - b.y1, b.y0 - a.y1), 2))"
 
 
 def rect_pairs_iou(spark, sf_dir):
-    f = frames(spark, sf_dir)
-    p = _pairs(spark, sf_dir, 0.0).join(f.select(F.col("id").alias("a"), F.col("box").alias("left")), "a").join(f.select(F.col("id").alias("b"), F.col("box").alias("right")), "b")
+    p = joins.rect_pairs(frames(spark, sf_dir).select("id", "page", "box"), 0.0, boxes=True)
     return p.select("a", "b", F.round(rect.iou(F.col("left"), F.col("right")), 6).alias("iou"), F.round(rect.overlap_ratio(F.col("left"), F.col("right")), 6).alias("overlap"))
 
 
@@ -92,9 +88,10 @@ def assign_frame(spark, sf_dir):
 
 def overlap_assign(spark, sf_dir):
     f = frames(spark, sf_dir)
-    small = f.where("size <= 12").select(F.col("id").alias("label"), F.col("page").alias("p"), F.col("box").alias("small"))
-    share = rect.overlap_ratio(F.col("small"), F.col("box"))
-    d = small.join(f.where("size > 12"), (F.col("p") == F.col("page")) & (share >= 0.25)).withColumn("share", share)
+    small = f.where("size <= 12").select(F.col("id").alias("label"), "page", F.col("box").alias("small"))
+    large = f.where("size > 12").select("id", "page", "box")
+    met = tiles.meeting(small, large, ["page"], "small", "box", 0.0, tiles.mean_side(large, F.col("box")))
+    d = met.withColumn("share", rect.overlap_ratio(F.col("small"), F.col("box"))).where("share >= 0.25").select("label", "id", "share")
     return joins.best_per(d, ["label"], F.desc("share"), F.col("id")).select("label", F.col("id").alias("frame_id"), F.round("share", 6).alias("share"))
 
 
@@ -105,19 +102,13 @@ def frame_numbering(spark, sf_dir):
 
 
 def _supported(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """(candidates (id, page, box, pale_or_dark, white_or_blue), dots (page, object_id, x, y)): widened rectangles, and the centres that support what holds them."""
+    """(candidates (id, page, box, area, pale_or_dark, white_or_blue), dots (page, object_id, x, y)): widened rectangles with the areas of the narrow ones, and the centres that support what holds them."""
     f = frames(spark, sf_dir)
     m = F.col("size") * 6.0
-    c = f.select("id", "page", rect.rect(F.col("x0") - m, F.col("y0") - m, F.col("x1") + m, F.col("y1") + m).alias("box"), (F.col("id") % 3 < 2).alias("pale_or_dark"), (F.col("id") % 2 == 0).alias("white_or_blue"))
+    c = f.select("id", "page", rect.rect(F.col("x0") - m, F.col("y0") - m, F.col("x1") + m, F.col("y1") + m).alias("box"), rect.area(F.col("box")).alias("area"), (F.col("id") % 3 < 2).alias("pale_or_dark"), (F.col("id") % 2 == 0).alias("white_or_blue"))
     return c, f.select("page", F.col("id").alias("object_id"), ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y1")) / 2).alias("y"))
 
 
-def _held(spark, sf_dir) -> DataFrame:
-    c, dots = _supported(spark, sf_dir)
-    d = dots.withColumnRenamed("page", "p")
-    return c.join(d, (F.col("page") == F.col("p")) & rect.holds_point(F.col("box"), F.col("x"), F.col("y"))).select("id", "object_id")
-
-
 _SUPPORT = """, cand AS (SELECT id, page, x0 - 6.0::double * size AS x0, y0 - 6.0::double * size AS y0, x1 + 6.0::double * size AS x1, y1 + 6.0::double * size AS y1 FROM frames),
     held AS (SELECT c.id, d.id AS o FROM cand c JOIN frames d ON c.page = d.page AND (d.x0 + d.x1) / 2 BETWEEN c.x0 AND c.x1 AND (d.y0 + d.y1) / 2 BETWEEN c.y0 AND c.y1),
     sup AS (SELECT c.*, (x1 - x0) * (y1 - y0) AS area, n FROM cand c JOIN (SELECT id, count(DISTINCT o) AS n FROM held GROUP BY 1) USING (id))"""
@@ -138,7 +129,7 @@ def legend_suppress(spark, sf_dir):
 
 def rect_components(spark, sf_dir):
     f = frames(spark, sf_dir)
-    c = graph.rect_clusters(_pairs(spark, sf_dir, GAP), f.select("id", "page"))
+    c = graph.touching(f.select("id", "page", "box"), GAP)
     d = c.join(f, "id").groupBy("component").agg(F.count("*").alias("members"), *[fn(k).alias(k) for fn, k in ((F.min, "x0"), (F.min, "y0"), (F.max, "x1"), (F.max, "y1"))])
     return d
 
@@ -154,9 +145,8 @@ def frame_merge(spark, sf_dir):
 
 
 def greedy_cover(spark, sf_dir):
-    held = _held(spark, sf_dir)
-    f = frames(spark, sf_dir).select("id", "page", (F.col("id") % 7).cast("double").alias("score"), rect.area(F.col("box")).alias("area"))
-    return graph.greedy_cover(held.groupBy("id").agg(F.collect_set("object_id").alias("objects")).join(f, "id"))
+    c, dots = _supported(spark, sf_dir)
+    return graph.greedy_cover_of_dots(c.withColumn("score", (F.col("id") % 7).cast("double")), dots)
 
 
 def _edges(spark, sf_dir) -> DataFrame:
@@ -218,12 +208,13 @@ def parallel_duplicates(spark, sf_dir):
 def name_group_top1(spark, sf_dir):
     """Number labels with their best name label: near, of like colour, scored by distance."""
     f = frames(spark, sf_dir).select("id", "page", "size", ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y1")) / 2).alias("y"))
-    a, b = f.where("size % 4 = 0").alias("a"), f.where("size % 4 > 0").alias("b")
-    gap = F.hypot(F.col("a.x") - F.col("b.x"), F.col("a.y") - F.col("b.y"))
-    d = a.join(b, (F.col("a.page") == F.col("b.page")) & (gap <= 54) & (F.abs(F.col("a.y") - F.col("b.y")) <= 38))
-    score = F.greatest(F.lit(0.0), 36 - gap) / 12 + F.when(F.col("a.size") % 3 == F.col("b.size") % 3, 1.6).otherwise(0.0) + F.when(F.col("b.size") % 4 == 1, 2.0).otherwise(0.0)
-    d = d.select(F.col("a.id").alias("number"), F.col("b.id").alias("name"), F.round(score, 6).alias("score"))
-    return joins.best_per(d, ["number"], F.desc("score"), F.col("name")).where("score > 1.0")
+    def score(away, high, a, b):
+        s = np.maximum(0.0, 36 - away) / 12 + np.where(a["size"] % 3 == b["size"] % 3, 1.6, 0.0) + np.where(b["size"] % 4 == 1, 2.0, 0.0)
+        return np.where(np.abs(high) <= 38, np.round(s, 6), -np.inf)
+
+    f = f.withColumnRenamed("id", "label")
+    d = labels.best_partners(f.where("size % 4 = 0"), f.where("size % 4 > 0"), ["page"], 54.0, score, ["size"])
+    return d.select(F.col("name").alias("number"), F.col("other").alias("name"), F.round("score", 6).alias("score")).where("score > 1.0")
 
 
 _NAMES = """, l AS (SELECT id, page, size, (x0 + x1) / 2 AS x, (y0 + y1) / 2 AS y FROM frames), s AS (SELECT a.id AS number, b.id AS name, round(greatest(0.0::double, 36 - sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))) / 12
