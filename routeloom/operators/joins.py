@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from routeloom.functions import rect
@@ -114,16 +115,73 @@ def parallel_lines(segments: DataFrame) -> DataFrame:
     return met.where((wide >= least * 0.7) & (level <= 4)).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
 
 
-def rect_pairs(left: DataFrame, limit: float, boxes: bool = False) -> DataFrame:
-    """(a, b, page): rectangles of a page whose gap is at most ``limit``, a < b; with ``boxes`` also (left, right).  Input: (id, page, box).
+def rect_pairs(left: DataFrame, limit: float) -> DataFrame:
+    """(a, b, page, iou, overlap): rectangles (id, page, box) of a page whose gap is at most ``limit``, a < b; overlap is the share of a that lies in b.
 
-    They meet in the grid cells that they cover, each pair in one of them.
+    They go to all tiles that they cover; a pair comes from the one that has the low
+    corner of what a, widened by the limit, and b share.
     """
-    cell = tiles.mean_side(left, F.col("box")) + limit
-    d = left.repartition(2 * left.sparkSession.sparkContext.defaultParallelism)
-    a, b = (d.select("page", F.col("id").alias(i), F.col("box").alias(n)) for i, n in (("a", "left"), ("b", "right")))
-    met = tiles.meeting(a, b, ["page"], "left", "right", limit, cell).where((F.col("a") < F.col("b")) & (rect.gap(F.col("left"), F.col("right")) <= limit))
-    return met.select("a", "b", "page", *(["left", "right"] if boxes else []))
+    box, wide = F.col("box"), limit * (1 + 1e-9) + 1e-9
+    tile = tiles.mean_side(left, box) + limit
+    d = left.select("id", "page", "box").where("page is not null")
+    kind = d.schema["id"].dataType
+    schema = StructType([StructField("a", kind), StructField("b", kind), d.schema["page"], StructField("iou", DoubleType()), StructField("overlap", DoubleType())])
+    sides = ("x0", "y0", "x1", "y1")
+
+    def work(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not a.num_rows or not b.num_rows:
+            return pa.table({f.name: pa.array([], t.type) for f, t in zip(schema.fields, to_arrow_schema(schema), strict=True)})
+        cx, cy = a["_cx"][0].as_py(), a["_cy"][0].as_py()
+        p, q = ([tiles.numbers(t, f"box.{c}") for c in sides] for t in (a, b))
+        ids, others = a["id"].to_numpy(), b["id"].to_numpy()
+        west, north = (np.minimum(p[c], p[c + 2]) - wide for c in (0, 1))
+        left_of, top_of = np.minimum(q[0], q[2]), np.minimum(q[1], q[3])
+        rows, at = [], []
+        for k in tiles.steps(a.num_rows, b.num_rows):
+            x0, y0, x1, y1 = (v[k, None] for v in p)
+            dx = np.maximum(0.0, np.maximum(x0 - q[2], q[0] - x1))
+            dy = np.maximum(0.0, np.maximum(y0 - q[3], q[1] - y1))
+            near = (ids[k, None] < others) & (np.sqrt(dx * dx + dy * dy) <= limit)
+            i, n = np.nonzero(near)
+            i += k.start
+            here = (np.floor(np.maximum(west[i], left_of[n]) / tile) == cx) & (np.floor(np.maximum(north[i], top_of[n]) / tile) == cy)
+            rows.append(i[here])
+            at.append(n[here])
+        i, n = np.concatenate(rows), np.concatenate(at)
+        share = lambda u, v: np.maximum(0.0, np.minimum(p[v][i], q[v][n]) - np.maximum(p[u][i], q[u][n]))
+        both, own, other = share(0, 2) * share(1, 3), _area(a, "box")[i], _area(b, "box")[n]
+        whole = own + other - both
+        iou = np.divide(both, whole, out=np.zeros(len(both)), where=whole != 0)
+        picked = pa.array(i)
+        return pa.table({"a": a["id"].take(picked), "b": b["id"].take(pa.array(n)), "page": a["page"].take(picked), "iou": iou, "overlap": both / np.maximum(own, 1e-6)})
+
+    return tiles.by_tile(tiles.covering(d, box, tile, wide), tiles.covering(d.select("id", F.col("page").alias("page"), "box"), box, tile), ["page"], work, schema)
+
+
+def best_overlap(small: DataFrame, large: DataFrame, least: float) -> DataFrame:
+    """(label, id, share): of the large boxes (id, page, box) of its page the one that has most of a small one (label, page, box), if it has ``least``; of equals the least id."""
+    b = F.col("box")
+    half = small.agg(F.max(F.greatest(F.abs(b["x1"] - b["x0"]), F.abs(b["y1"] - b["y0"]))).alias("m")).first()["m"] or 0.0
+    tile = max(half, tiles.mean_side(large, b))
+    schema = StructType([small.schema["label"], large.schema["id"], StructField("share", DoubleType())])
+
+    def work(a: pa.Table, f: pa.Table) -> pa.Table:
+        best, top = np.full(a.num_rows, -1), np.full(a.num_rows, np.nan)
+        if a.num_rows and f.num_rows:
+            f = tiles.ordered(f, "id")
+            p, q = ([tiles.numbers(t, f"box.{c}") for c in ("x0", "y0", "x1", "y1")] for t in (a, f))
+            own = np.maximum(_area(a, "box"), 1e-6)
+            for k in tiles.steps(a.num_rows, f.num_rows):
+                x0, y0, x1, y1 = (v[k, None] for v in p)
+                share = np.maximum(0.0, np.minimum(x1, q[2]) - np.maximum(x0, q[0])) * np.maximum(0.0, np.minimum(y1, q[3]) - np.maximum(y0, q[1])) / own[k, None]
+                share[np.isnan(share)] = -1.0
+                best[k] = share.argmax(axis=1)
+                top[k] = share.max(axis=1)
+        kept = np.flatnonzero(top >= least)
+        return pa.table({"label": a["label"].take(pa.array(kept)), "id": tiles.taken(f["id"], best[kept]), "share": pa.array(top[kept])})
+
+    left = tiles.placed(small.where("page is not null"), (b["x0"] + b["x1"]) / 2, (b["y0"] + b["y1"]) / 2, tile)
+    return tiles.by_tile(left, tiles.covering(large.select("id", F.col("page").alias("page"), "box"), b, tile, half / 2 + 1e-6), ["page"], work, schema)
 
 
 def nearest_segment(points: DataFrame, segments: DataFrame, cell: float) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from routeloom.functions import rect, text
-from routeloom.operators import graph, joins, labels, rules, tiles
+from routeloom.operators import graph, joins, labels, rules
 from routeloom.plans.base import drawings, frames, table, with_
 
 GAP = 34.0
@@ -70,8 +70,8 @@ _GAP_SQL = "sqrt(pow(greatest(0, a.x0 - b.x1, b.x0 - a.x1), 2) + pow(greatest(0,
 
 
 def rect_pairs_iou(spark, sf_dir):
-    p = joins.rect_pairs(frames(spark, sf_dir).select("id", "page", "box"), 0.0, boxes=True)
-    return p.select("a", "b", F.round(rect.iou(F.col("left"), F.col("right")), 6).alias("iou"), F.round(rect.overlap_ratio(F.col("left"), F.col("right")), 6).alias("overlap"))
+    p = joins.rect_pairs(frames(spark, sf_dir).select("id", "page", "box"), 0.0)
+    return p.select("a", "b", F.round("iou", 6).alias("iou"), F.round("overlap", 6).alias("overlap"))
 
 
 _BOTH = "greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0))"
@@ -88,11 +88,8 @@ def assign_frame(spark, sf_dir):
 
 def overlap_assign(spark, sf_dir):
     f = frames(spark, sf_dir)
-    small = f.where("size <= 12").select(F.col("id").alias("label"), "page", F.col("box").alias("small"))
-    large = f.where("size > 12").select("id", "page", "box")
-    met = tiles.meeting(small, large, ["page"], "small", "box", 0.0, tiles.mean_side(large, F.col("box")))
-    d = met.withColumn("share", rect.overlap_ratio(F.col("small"), F.col("box"))).where("share >= 0.25").select("label", "id", "share")
-    return joins.best_per(d, ["label"], F.desc("share"), F.col("id")).select("label", F.col("id").alias("frame_id"), F.round("share", 6).alias("share"))
+    d = joins.best_overlap(f.where("size <= 12").select(F.col("id").alias("label"), "page", "box"), f.where("size > 12").select("id", "page", "box"), 0.25)
+    return d.select("label", F.col("id").alias("frame_id"), F.round("share", 6).alias("share"))
 
 
 def frame_numbering(spark, sf_dir):

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from routeloom.operators import graph, tiles
+from routeloom.operators import graph, joins, tiles
 
 BOX = "struct<x0:double,y0:double,x1:double,y1:double>"
 
@@ -55,3 +55,88 @@ def test_cells_of_many_lines_on_one_spot(spark):
     assert len(rows) == len(set(rows)) and {(r.k, r.cx, r.cy) for r in rows} == {(k, *c) for k, cells in want.items() for c in cells}
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.rindex("HashAggregate") > plan.index("Window")  # merged as stretches, not as cells
+
+
+def table_of(spark, rows, *names):
+    return spark.createDataFrame([r[: 3] for r in rows], f"{names[0]} long, {names[1]} long, {names[2]} {BOX}")
+
+
+def apart(a, b):
+    return np.hypot(max(0, a[0] - b[2], b[0] - a[2]), max(0, a[1] - b[3], b[1] - a[3]))
+
+
+def test_pairs_and_components(spark):
+    rows = boxes(90, 6, 12)
+    d = table_of(spark, rows, "id", "page", "box")
+    want = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[1] == b[1] and apart(a[2], b[2]) <= 5}
+    frame = joins.rect_pairs(d, 5.0)
+    got = [(r.a, r.b) for r in frame.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert "Join" not in frame._jdf.queryExecution().executedPlan().toString()
+    top = {r[0]: r[0] for r in rows}
+    for _ in rows:
+        for a, b in want:
+            top[a] = top[b] = min(top[a], top[b])
+    found = graph.touching(d, 5.0)
+    assert dict(map(tuple, found.collect())) == top
+    assert graph.touching(d.unionByName(d), 5.0).count() == len(rows)
+
+
+def test_containers_with_large_items(spark):
+    frames = [(k, p, b, k % 5) for k, p, b in boxes(50, 1, 30)]
+    items = [(k, p, b) for k, p, b in boxes(120, 2, 6, width=260)] + [(500, 0, (0.0, 0.0, 150.0, 150.0)), (501, 7, (0.0, 0.0, 1.0, 1.0))]
+    want = {}
+    for k, p, b in items:
+        cx, cy = (b[0] + b[2]) / 2, (b[1] + b[3]) / 2
+        able = []
+        for i, q, f, s in frames:
+            if p == q:
+                held, area = f[0] <= cx <= f[2] and f[1] <= cy <= f[3], (f[2] - f[0]) * (f[3] - f[1])
+                able.append((-1, area, -s, i) if held else (apart(b, f), area, 0, i))
+        best = min(able, default=(99,))
+        want[k] = (best[3], pytest.approx(max(0, best[0]))) if best[0] <= 24 else (None, None)
+    f = spark.createDataFrame(frames, f"frame_id long, frame_page long, frame_box {BOX}, score long")
+    d = joins.assign_container(table_of(spark, items, "item_id", "page", "box"), f)
+    assert {r.item_id: (r.frame_id, r.gap) for r in d.collect()} == want
+
+
+def test_points_inside(spark):
+    rows, dots = boxes(60, 9, 40), np.random.default_rng(1).integers(0, 220, (300, 2)).tolist()
+    d = joins.points_inside(table_of(spark, rows, "id", "page", "box"), spark.createDataFrame([(k % 2, float(x), float(y)) for k, (x, y) in enumerate(dots)], "page long, x double, y double"))
+    want = {i: sum(p == k % 2 and b[0] <= x <= b[2] and b[1] <= y <= b[3] for k, (x, y) in enumerate(dots)) for i, p, b in rows}
+    assert dict(map(tuple, d.collect())) == {k: n for k, n in want.items() if n}
+    assert "Join" not in d._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cover_by_dots_is_cover(spark):
+    c = table_of(spark, boxes(80, 4, 90), "id", "page", "box").withColumn("score", (F.col("id") % 7).cast("double")).withColumn("area", F.col("box.x1") - F.col("box.x0"))
+    dots = spark.createDataFrame([(k, k % 2, float(x), float(y)) for k, (x, y) in enumerate(np.random.default_rng(8).integers(0, 250, (200, 2)).tolist())], "object_id long, page long, x double, y double")
+    held = c.join(dots, "page").where("x between box.x0 and box.x1 and y between box.y0 and box.y1").groupBy("id").agg(F.collect_set("object_id").alias("objects"))
+    want = sorted(map(tuple, graph.greedy_cover(c.join(held, "id")).collect()))
+    assert sorted(map(tuple, graph.greedy_cover_of_dots(c, dots).collect())) == want and len(want) > 10
+
+
+def test_best_overlap(spark):
+    small, large = boxes(50, 12, 12), boxes(40, 13, 50)
+    want = {}
+    for k, p, a in small:
+        share = lambda b: max(0, min(a[2], b[2]) - max(a[0], b[0])) * max(0, min(a[3], b[3]) - max(a[1], b[1])) / ((a[2] - a[0]) * (a[3] - a[1]))  # noqa: B023, E731
+        best = max(((share(b), -i) for i, q, b in large if p == q))
+        if best[0] >= 0.25:
+            want[k] = -best[1]
+    d = joins.best_overlap(table_of(spark, small, "label", "page", "box"), table_of(spark, large, "id", "page", "box"), 0.25)
+    assert {r.label: r.id for r in d.collect()} == want and len(want) > 5
+    assert "Join" not in d._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["nearest_segment", "road_summary", "marker_cluster", "reading_labels", "name_group_top1", "first_panel", "panel_manifest", "frame_score", "fallback_frames", "rect_components"])
+def test_no_pairs_become_rows(spark, name):
+    from conftest import SMALL
+
+    from routeloom.plans.queries import QUERIES
+
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    for line in plan.splitlines():
+        assert "NestedLoop" not in line and "CartesianProduct" not in line
+        if "Join" in line:  # joins left are by key alone
+            assert not any(test in line for test in (" <= ", " >= ", " < ", "HYPOT"))
