@@ -65,3 +65,21 @@ def leave_one_out(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     du = F.col("su") / F.col("n") + F.col("a") * dx - F.col("b") * dy - F.col("u")
     dv = F.col("sv") / F.col("n") + F.col("b") * dx + F.col("a") * dy - F.col("v")
     return d.withColumn("error", F.sqrt(du * du + dv * dv)).drop(*names, "a", "b")
+
+
+def nearest_places(df: DataFrame, keys: Sequence[str], order: Sequence[str], x: float, y: float, reach: float) -> DataFrame:
+    """(keys, n, place, back): where a point goes into lines of points (keys, order, x, y), counted from both ends; null beyond ``reach``.
+
+    It goes behind the nearest segment, the first of equals in the order of the line,
+    and seen from the end into the same one.  Segments without length do not count.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order)
+    c = F.col
+    d = df.withColumn("_i", F.row_number().over(w) - 1).withColumn("_bx", F.lead("x").over(w)).withColumn("_by", F.lead("y").over(w))
+    dx, dy = c("_bx") - c("x"), c("_by") - c("y")
+    square = dx * dx + dy * dy
+    d = d.withColumn("_t", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide((x - c("x")) * dx + (y - c("y")) * dy, square)))).withColumn("_able", square >= 1e-6)
+    u, v = x - c("x") - c("_t") * dx, y - c("y") - c("_t") * dy
+    g = d.groupBy(*keys).agg(F.count("*").alias("n"), F.min(F.when(c("_able"), F.struct(F.sqrt(u * u + v * v).alias("d"), c("_i").alias("i")))).alias("b"))
+    near = c("b.d") <= reach
+    return g.select(*keys, "n", F.when(near, c("b.i") + 1).alias("place"), F.when(near, c("n") - 1 - c("b.i")).alias("back"))

@@ -140,3 +140,25 @@ def test_no_pairs_become_rows(spark, name):
         assert "NestedLoop" not in line and "CartesianProduct" not in line
         if "Join" in line:  # joins left are by key alone
             assert not any(test in line for test in (" <= ", " >= ", " < ", "HYPOT"))
+
+
+def test_places_at_a_shared_corner_are_the_same_from_both_ends(spark):
+    from routeloom.operators import windows
+
+    pts = [(1, k, x, y) for k, (x, y) in enumerate([(0.0, 0.0), (10.0, 0.0), (10.0, 0.0), (20.0, 5.0), (30.0, 5.0)])] + [(2, 0, 0.0, 0.0), (2, 1, 1.0, 0.0), (3, 0, 0.0, 0.0)]
+    d = spark.createDataFrame(pts, "k long, i long, x double, y double")
+    got = {r.k: (r.n, r.place, r.back) for r in windows.nearest_places(d, ["k"], ["i"], 10.0, -3.0, 5.0).collect()}
+    assert got == {1: (5, 1, 4), 2: (2, None, None), 3: (1, None, None)}
+
+
+def test_insertion_into_crowded_lines(spark, duck, tmp_path):
+    import duckdb
+    from parity import rows_of
+
+    from routeloom.plans.queries import ORACLES, QUERIES
+
+    path = f"{tmp_path}/customer.parquet"
+    duck.sql(f"COPY (SELECT c.* REPLACE (c_custkey + i * 150 AS c_custkey, (c_nationkey % 2)::int AS c_nationkey) FROM range(40) r(i), customer c) TO '{path}' (FORMAT parquet)")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW customer AS SELECT * FROM read_parquet('{path}')")
+    assert rows_of(QUERIES["insertion"](spark, str(tmp_path)).toPandas()) == rows_of(con.sql(ORACLES["insertion"]).df())
