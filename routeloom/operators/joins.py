@@ -184,8 +184,12 @@ def best_overlap(small: DataFrame, large: DataFrame, least: float) -> DataFrame:
     return tiles.by_tile(left, tiles.covering(large.select("id", F.col("page").alias("page"), "box"), b, tile, half / 2 + 1e-6), ["page"], work, schema)
 
 
-def nearest_segment(points: DataFrame, segments: DataFrame, cell: float) -> DataFrame:
-    """Each point (point_id, x, y) with the nearest of segments (segment_id, ax, ay, bx, by), however far.
+def nearest_segment(points: DataFrame, segments: DataFrame, cell: float, columns: Sequence[str] = ("point_id", "segment_id", "t", "distance")) -> DataFrame:
+    """Each point (x, y) with the nearest of segments (segment_id, ax, ay, bx, by), however far.
+
+    ``columns`` come back, of those of the point, of its segment, the share ``t`` of the
+    segment at the nearest place, and ``distance``; all are null without a segment but the
+    point's.  What goes along here need not be joined to the points again.
 
     Points are dealt into tiles, and a segment goes to all tiles within ``width`` of its
     box, which is right for anything within ``width``; a tile is worked off as arrays.
@@ -193,14 +197,16 @@ def nearest_segment(points: DataFrame, segments: DataFrame, cell: float) -> Data
     that found nothing so near look again at eight times the width.  What a level found
     and left is written, so no level computes the ones before again.  Ties go to the lesser segment id.
     """
-    s = segments.select("segment_id", "ax", "ay", "bx", "by").withColumn("box", rect.rect(F.least("ax", "bx"), F.least("ay", "by"), F.greatest("ax", "bx"), F.greatest("ay", "by")))
+    along = [c for c in columns if c not in points.columns and c not in ("t", "distance")]
+    s = segments.select(*dict.fromkeys(["segment_id", "ax", "ay", "bx", "by", *along])).withColumn("box", rect.rect(F.least("ax", "bx"), F.least("ay", "by"), F.greatest("ax", "bx"), F.greatest("ay", "by")))
     x0, y0, x1, y1 = (F.col(f"box.{k}") for k in ("x0", "y0", "x1", "y1"))
     row = s.agg(
         F.max(F.greatest(F.abs(x0), F.abs(x1), F.abs(y0), F.abs(y1))).alias("ends"), F.count("*").alias("n"), ((F.max(x1) - F.min(x0)) * (F.max(y1) - F.min(y0))).alias("area"), F.avg(F.greatest(x1 - x0, y1 - y0)).alias("side")
     ).first()
-    found = StructType([*points.schema.fields, StructField("segment_id", segments.schema["segment_id"].dataType), StructField("t", DoubleType()), StructField("distance", DoubleType())])
+    measured = [c for c in ("t", "distance") if c in columns or c == "distance"]
+    found = StructType([*points.schema.fields, *[StructField(c, segments.schema[c].dataType) for c in along], *[StructField(c, DoubleType()) for c in measured]])
     if row["ends"] is None:
-        return points.sparkSession.createDataFrame([], found).select("point_id", "segment_id", "t", "distance")
+        return points.sparkSession.createDataFrame([], found).select(*columns)
     reach = points.agg(F.max(F.greatest(F.abs("x"), F.abs("y"))).alias("s")).first()["s"] or 0.0
     names = points.columns
 
@@ -224,8 +230,12 @@ def nearest_segment(points: DataFrame, segments: DataFrame, cell: float) -> Data
                 at = np.arange(len(first)), first
                 known = np.isfinite(d[at])
                 best[k], share[k], away[k] = np.where(known, first, -1), t[at], d[at]
-        out = a.select(names).append_column("segment_id", tiles.taken(b["segment_id"], best))
-        return out.append_column("t", pa.array(share, mask=best < 0)).append_column("distance", pa.array(away, mask=best < 0))
+        out = a.select(names)
+        for c in along:
+            out = out.append_column(c, tiles.taken(b[c], best))
+        for c in measured:
+            out = out.append_column(c, pa.array({"t": share, "distance": away}[c], mask=best < 0))
+        return out
 
     done: list[DataFrame] = []
     left, width = points, max(float(np.sqrt(2 * (row["area"] or 0.0) / row["n"])), (row["side"] or 0.0) / 4)
@@ -236,7 +246,7 @@ def nearest_segment(points: DataFrame, segments: DataFrame, cell: float) -> Data
         met = tiles.by_tile(tiles.placed(left, F.col("x"), F.col("y"), 2 * width), spread, [], work, found)
         level = written(met, "nearest")
         near = F.coalesce(F.col("distance") <= width, F.lit(False)) if not last else F.lit(True)
-        done.append(level.where(near).select("point_id", "segment_id", "t", "distance"))
+        done.append(level.where(near).select(*columns))
         if last:
             break
         left = level.where(~near).select(*names)

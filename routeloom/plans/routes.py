@@ -120,14 +120,15 @@ def _segments(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(k.alias("segment_id"), ax.alias("ax"), ay.alias("ay"), (ax + (k * 31) % 120 - 60).alias("bx"), (ay + (k * 17) % 90 - 45).alias("by"), F.get(kinds, (k % 6).cast("int")).alias("highway"))
 
 
-def _near(spark, sf_dir) -> DataFrame:
+def _near(spark, sf_dir, *columns: str) -> DataFrame:
     p = points(spark, sf_dir)
-    places = p.select(F.col("event_id").alias("point_id"), ((F.col("event_id") * 7919) % 2503).cast("double").alias("x"), ((F.col("event_id") * 104729) % 1709).cast("double").alias("y"))
-    return joins.nearest_segment(places, _segments(spark, sf_dir).drop("highway"), cell=150.0)
+    places = p.select(F.col("event_id").alias("point_id"), "user_id", ((F.col("event_id") * 7919) % 2503).cast("double").alias("x"), ((F.col("event_id") * 104729) % 1709).cast("double").alias("y"))
+    own = [c for c in ("point_id", "user_id") if c in columns]
+    return joins.nearest_segment(places.select(*own, "x", "y"), _segments(spark, sf_dir), 150.0, columns)
 
 
 def nearest_segment(spark, sf_dir):
-    return _near(spark, sf_dir).select(F.col("point_id").alias("event_id"), F.round("distance", 6).alias("distance"))
+    return _near(spark, sf_dir, "point_id", "distance").select(F.col("point_id").alias("event_id"), F.round("distance", 6).alias("distance"))
 
 
 SNAP_REACH = 35.0
@@ -140,8 +141,7 @@ FOOT_CLASSES = ("footway", "path", "track", "steps", "pedestrian", "cycleway")
 
 
 def road_summary(spark, sf_dir):
-    d = _near(spark, sf_dir).join(F.broadcast(_segments(spark, sf_dir).select("segment_id", "highway")), "segment_id")
-    d = d.join(points(spark, sf_dir).select(F.col("event_id").alias("point_id"), "user_id"), "point_id")
+    d = _near(spark, sf_dir, "user_id", "highway", "distance").where("distance is not null")
     snapped = (F.col("distance") <= SNAP_REACH) & F.col("highway").isin(*SNAP_CLASSES)
     far = F.col("distance") > 50
     s = d.groupBy("user_id").agg(

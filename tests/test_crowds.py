@@ -142,6 +142,20 @@ def test_no_pairs_become_rows(spark, name):
             assert not any(test in line for test in (" <= ", " >= ", " < ", "HYPOT"))
 
 
+def test_nearest_brings_columns_along(spark):
+    from conftest import SMALL
+
+    from routeloom.plans.queries import QUERIES
+
+    pts = spark.createDataFrame([("a", 1.0, 1.0), ("a", 1.0, 1.0), ("b", 9.0, 1.0), ("c", 900.0, 1.0), ("d", None, 1.0)], "who string, x double, y double")
+    seg = spark.createDataFrame([(7, 0.0, 0.0, 2.0, 0.0, "path"), (8, 9.0, 0.0, 9.0, 0.0, None)], "segment_id long, ax double, ay double, bx double, by double, kind string")
+    got = joins.nearest_segment(pts, seg, 5.0, ["who", "kind", "distance"])
+    assert got.columns == ["who", "kind", "distance"]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [("a", "path", 1.0), ("a", "path", 1.0), ("b", None, 1.0), ("c", None, float(np.hypot(891, 1))), ("d", None, None)]))
+    assert joins.nearest_segment(pts, seg.limit(0), 5.0, ["who", "kind", "distance"]).columns == got.columns
+    assert "Join" not in QUERIES["road_summary"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_places_at_a_shared_corner_are_the_same_from_both_ends(spark):
     from routeloom.operators import windows
 
