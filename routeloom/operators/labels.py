@@ -146,7 +146,8 @@ def best_partners(names: DataFrame, others: DataFrame, keys: Sequence[str], reac
 
     Both: (label, x, y, keys, columns); keys may be null, and then equal.  ``score(away, high,
     a, b)`` gets distances, differences in y and the columns as numbers, by name and by
-    other; it gives scores, negative infinity for none.
+    other; it gives scores, negative infinity for none.  Tiles are three times as wide as
+    the reach, so that an other goes to few of them; within a tile names go along x.
     """
     names, others = (d.select("label", *keys, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), *columns).where("x is not null and y is not null") for d in (names, others))
     kind = names.schema["label"].dataType
@@ -159,21 +160,29 @@ def best_partners(names: DataFrame, others: DataFrame, keys: Sequence[str], reac
         if n and b.num_rows:
             b = tiles.ordered(b, "label")
             p, q = ({c: tiles.numbers(t, c) for c in ("x", "y", *fields)} for t in (a, b))
-            for k in tiles.steps(n, b.num_rows):
-                dx, dy = p["x"][k, None] - q["x"], p["y"][k, None] - q["y"]
+            by_x = np.argsort(p["x"], kind="stable")
+            for part in tiles.steps(n, b.num_rows):
+                k = by_x[part]
+                # others that are near enough by x alone, still in order of their labels
+                near = np.flatnonzero((np.fmin.reduce(p["x"][k]) - q["x"] <= reach) & (np.fmax.reduce(p["x"][k]) - q["x"] >= -reach))
+                if not len(near):
+                    continue
+                other = {c: v[near] for c, v in q.items()}
+                dx, dy = p["x"][k, None] - other["x"], p["y"][k, None] - other["y"]
                 away = np.sqrt(dx * dx + dy * dy)
-                s = score(away, dy, {c: p[c][k, None] for c in fields}, q)
+                s = score(away, dy, {c: p[c][k, None] for c in fields}, other)
                 s[~(away <= reach)] = -np.inf
                 first = s.argmax(axis=1)
                 top[k] = s[np.arange(len(first)), first]
-                best[k] = first
+                best[k] = near[first]
         kept = np.isfinite(top)
         picked = pa.array(np.flatnonzero(kept))
         return pa.table({"name": a["label"].take(picked), "other": tiles.taken(b["label"], best[kept]), "score": pa.array(top[kept])})
 
     spot = rect.rect(F.col("x"), F.col("y"), F.col("x"), F.col("y"))
-    spread = tiles.covering(others.withColumn("_spot", spot), F.col("_spot"), reach, reach).drop("_spot")
-    return tiles.by_tile(tiles.placed(names, F.col("x"), F.col("y"), reach), spread, keys, work, schema)
+    tile = 3 * reach
+    spread = tiles.covering(others.withColumn("_spot", spot), F.col("_spot"), tile, reach).drop("_spot")
+    return tiles.by_tile(tiles.placed(names, F.col("x"), F.col("y"), tile), spread, keys, work, schema)
 
 
 def reading_of(names: DataFrame, readings: DataFrame) -> DataFrame:

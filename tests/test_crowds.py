@@ -171,6 +171,26 @@ def test_first_panel_of_crowded_pages(spark, sent):
     assert sent[0] <= 4 * len(held)
 
 
+def test_readings_of_crowded_pages(spark, sent):
+    from routeloom.operators import labels
+
+    rows = [(k, k % 2, k % 3 // 2, float(x), float(y), k * 5 % 3, k * 7 % 4) for k, (x, y) in enumerate(np.random.default_rng(4).integers(0, 300, (600, 2)).tolist())]
+    names, readings = rows[:200], rows[150:]  # some are both
+    frame = lambda d: spark.createDataFrame(d, "label long, page long, frame long, x double, y double, color long, size long")
+    want = {}
+    for a in names:
+        able = []
+        for b in readings:
+            away = np.sqrt((a[3] - b[3]) ** 2 + (a[4] - b[4]) ** 2)
+            if a[0] != b[0] and a[1:3] == b[1:3] and away <= 26:
+                able.append((max(0.0, 24.0 - away) / 10.0 + (1.0 if a[5] == b[5] else 0.0) + (0.3 if b[6] < a[6] else 0.0), -b[0]))
+        if able and max(able)[0] > 0.7:
+            want[a[0]] = (-max(able)[1], pytest.approx(max(able)[0]))
+    got = {r.name: (r.reading, r.score) for r in labels.reading_of(frame(names), frame(readings)).collect()}
+    assert got == want and len(want) > 100
+    assert sent[0] <= 4 * len(readings)
+
+
 def test_nearest_brings_columns_along(spark):
     from conftest import SMALL
 
