@@ -264,18 +264,29 @@ def points_inside(frames: DataFrame, points: DataFrame) -> DataFrame:
 
     Points of a page are counted by rank, not met one by one.
     """
+    return _counted(frames.select("page", "id", "box"), points, "n").groupBy("id").agg(F.sum("n").alias("n")).where("n > 0")
+
+
+def with_points_inside(frames: DataFrame, points: DataFrame, name: str) -> DataFrame:
+    """All frames (id, page, box, ...) with how many points their id holds as ``name``, as by ``points_inside``, and no box; nothing is joined."""
+    d = _counted(frames, points, name)
+    return d.withColumn(name, F.sum(name).over(Window.partitionBy("id")))
+
+
+def _counted(frames: DataFrame, points: DataFrame, name: str) -> DataFrame:
+    """Frames (page, box, ...) with a column ``name``, the number of points of their page in the box, instead of the box."""
     ship(frames.sparkSession)
-    schema = StructType([StructField("id", frames.schema["id"].dataType), StructField("n", LongType())])
+    kept = [c for c in frames.columns if c != "box"]
+    schema = StructType([*[frames.schema[c] for c in kept], StructField(name, LongType())])
 
     def page(a: pa.Table, b: pa.Table) -> pa.Table:
         counts = tiles.PointCounts(tiles.numbers(b, "x"), tiles.numbers(b, "y"))
         n = counts.inside(*[tiles.numbers(a, f"box.{c}") for c in ("x0", "y0", "x1", "y1")])
-        return pa.table({"id": a["id"], "n": pa.array(n, pa.int64())})
+        return a.select(kept).append_column(name, pa.array(n, pa.int64()))
 
-    left = frames.select("page", "id", "box").where("page is not null and box.x0 is not null and box.y0 is not null and box.x1 is not null and box.y1 is not null")
-    right = points.select(F.col("page").cast(left.schema["page"].dataType).alias("page"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).where("x is not null and y is not null")
-    d = left.groupBy("page").cogroup(right.groupBy("page")).applyInArrow(page, schema)
-    return d.groupBy("id").agg(F.sum("n").alias("n")).where("n > 0")
+    right = points.select(F.col("page").cast(frames.schema["page"].dataType).alias("page"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    right = right.where("page is not null and x is not null and y is not null")
+    return frames.groupBy("page").cogroup(right.groupBy("page")).applyInArrow(page, schema)
 
 
 def merge_preferred(automatic: DataFrame, manual: DataFrame, keys: Sequence[str]) -> DataFrame:

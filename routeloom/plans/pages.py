@@ -40,18 +40,22 @@ def top_pages(spark, sf_dir):
     return d.orderBy(F.desc("total_length"), F.desc("objects"), "page").limit(25)
 
 
-def frame_score(spark, sf_dir):
+def _scored(spark, sf_dir) -> DataFrame:
+    """Frames with the routes in and around them and their score."""
     f = frames(spark, sf_dir)
     d = _classified(spark, sf_dir).where(F.col("class") == rules.ROUTE_CLASS).select((F.col("page") % 32).alias("page"), F.col("px").alias("x"), F.col("py").alias("y"))
-    wide = f.select("id", "page", rect.rect(F.col("x0") - 60, F.col("y0") - 60, F.col("x1") + 60, F.col("y1") + 60).alias("box"))
-    counts = joins.points_inside(wide, d).withColumnRenamed("n", "routes")
-    s = f.join(counts, "id", "left").withColumn("routes", F.coalesce("routes", F.lit(0)))
+    wide = rect.rect(F.col("x0") - 60, F.col("y0") - 60, F.col("x1") + 60, F.col("y1") + 60)
+    s = joins.with_points_inside(f.select("id", "page", "x0", "y0", "x1", "y1", wide.alias("box")), d, "routes")
     k = F.col("id")
     shade = lambda m: ((k * m) % 101) / F.lit(100.0)
     fill = F.when(k % 2 == 0, F.array(*[0.7 + 0.3 * shade(m) for m in (3, 3, 5)]))
     stroke = F.array(*[0.6 * shade(m) for m in (7, 7, 11)])
     score = rules.frame_score(F.col("x1") - F.col("x0") + 120, F.col("y1") - F.col("y0") + 120, F.when(k % 3 == 0, "f").otherwise("s"), stroke, fill, (k % 20) / 10.0, F.col("routes"), k % 5 > 0, k % 9, F.lit(595.0), F.lit(842.0))
-    return s.select("id", "routes", F.round(score, 4).alias("score"))
+    return s.withColumn("score", F.round(score, 4))
+
+
+def frame_score(spark, sf_dir):
+    return _scored(spark, sf_dir).select("id", "routes", "score")
 
 
 _SHADE = lambda m: f"((id * {m}) % 101) / 100.0::double"

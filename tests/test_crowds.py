@@ -137,6 +137,22 @@ def test_points_inside(spark):
     assert "Join" not in d._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("name", ["frame_score", "candidate_gates"])
+def test_counts_of_routes_are_not_joined(spark, name):
+    from conftest import SMALL
+
+    from routeloom.plans.queries import QUERIES
+
+    assert "Join" not in QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_all_frames_with_points_inside(spark):
+    rows = [(1, 0, (0.0, 0.0, 5.0, 5.0)), (1, 1, (0.0, 0.0, 5.0, 5.0)), (2, 0, (50.0, 50.0, 60.0, 60.0)), (3, None, (0.0, 0.0, 9.0, 9.0)), (4, 0, None), (5, 9, (0.0, 0.0, 9.0, 9.0))]
+    dots = spark.createDataFrame([(0, 1.0, 5.0), (1, 2.0, 2.0), (1, 3.0, 3.0), (None, 1.0, 1.0), (0, None, 1.0)], "page long, x double, y double")
+    d = joins.with_points_inside(table_of(spark, rows, "id", "page", "box").withColumn("kept", F.col("id") * 2), dots, "n")
+    assert sorted((r.id, r.kept, r.n) for r in d.collect()) == [(1, 2, 3), (1, 2, 3), (2, 4, 0), (3, 6, 0), (4, 8, 0), (5, 10, 0)]
+
+
 def test_cover_by_dots_is_cover(spark):
     c = table_of(spark, boxes(80, 4, 90), "id", "page", "box").withColumn("score", (F.col("id") % 7).cast("double")).withColumn("area", F.col("box.x1") - F.col("box.x0"))
     dots = spark.createDataFrame([(k, k % 2, float(x), float(y)) for k, (x, y) in enumerate(np.random.default_rng(8).integers(0, 250, (200, 2)).tolist())], "object_id long, page long, x double, y double")
